@@ -12,9 +12,18 @@ from ..rules import STOCK_RULES, StockRule
 KEY_PATTERN = "^[A-Z0-9]{10}$"
 
 
+# The characters stripped from both ends of keys and titles.
+_BLANKS = " \t\n\r\f\v"
+
+
+def strip(col: Column) -> Column:
+    """Trim every kind of blank, not only spaces."""
+    return F.trim(col, F.lit(_BLANKS))
+
+
 def normalise_key(col: Column) -> Column:
     """Trimmed, upper-cased product key."""
-    return F.upper(F.trim(col))
+    return F.upper(strip(col))
 
 
 def valid_key(col: Column) -> Column:
@@ -23,7 +32,7 @@ def valid_key(col: Column) -> Column:
 
 def clean_title(col: Column) -> Column:
     """Title text before the first dash, then before the first pipe."""
-    return F.trim(F.split_part(F.split_part(col, F.lit("-"), F.lit(1)), F.lit("|"), F.lit(1)))
+    return strip(F.split_part(F.split_part(col, F.lit("-"), F.lit(1)), F.lit("|"), F.lit(1)))
 
 
 def product_url(domain: Column, asin: Column) -> Column:
@@ -60,7 +69,7 @@ def stock_signal(col: Column, compat: bool = False) -> Column:
             F.lit(action).cast("string").alias("action"),
         )
 
-    text = F.lower(F.trim(F.coalesce(col, F.lit(""))))
+    text = F.lower(strip(F.coalesce(col, F.lit(""))))
     if compat:
         gone = text.isin("", "none", "unavailable") | _mentions(text, ("out of stock",))
     else:

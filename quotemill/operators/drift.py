@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, timedelta
-from math import exp, gcd, lgamma
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,53 +20,68 @@ from .ordered import running_counts
 EXACT_LIMIT = 10_000
 
 
-def ks_exact_p(statistic: float, n: int, m: int) -> float:
-    """Exact two-sided p-value: share of lattice paths that leave the band of width D.
+def _p_value_functions():
+    """The p-value helpers as closures, so that Spark ships them to workers by value."""
+    from math import exp, gcd, lgamma, log
 
-    A path from (0, 0) to (n, m) stays inside while |i/n - j/m| < D. Path counts of one
-    lattice row are a running sum of the row before it, rescaled to avoid overflow.
-    """
-    common = n * m // gcd(n, m)
-    width = round(statistic * common)
-    if width == 0:
-        return 1.0
-    up, right = common // n, common // m
-    j = np.arange(m + 1)
-    row = (j * right < width).astype(float)
-    log_scale = 0.0
-    for i in range(1, n + 1):
-        inside = np.abs(i * up - j * right) < width
-        row = np.where(inside, np.cumsum(np.where(inside, row, 0.0)), 0.0)
-        top = row.max()
-        if top == 0.0:
+    import numpy as np
+
+    def exact(statistic: float, n: int, m: int) -> float:
+        """Exact two-sided p-value: share of lattice paths that leave the band of width D.
+
+        A path from (0, 0) to (n, m) stays inside while |i/n - j/m| < D. Path counts of
+        one lattice row are a running sum of the row before it, rescaled against overflow.
+        """
+        common = n * m // gcd(n, m)
+        width = round(statistic * common)
+        if width == 0:
             return 1.0
-        row /= top
-        log_scale += np.log(top)
-    if row[m] == 0.0:
-        return 1.0
-    log_all = lgamma(n + m + 1) - lgamma(n + 1) - lgamma(m + 1)
-    return float(min(1.0, max(0.0, 1.0 - exp(np.log(row[m]) + log_scale - log_all))))
+        up, right = common // n, common // m
+        across = np.arange(m + 1) * right
+        row = (across < width).astype(float)
+        log_scale = 0.0
+        for i in range(1, n + 1):
+            inside = np.abs(i * up - across) < width
+            row = np.where(inside, np.cumsum(np.where(inside, row, 0.0)), 0.0)
+            top = row.max()
+            if top == 0.0:
+                return 0.0
+            row /= top
+            log_scale += log(top)
+        if row[m] == 0.0:
+            return 0.0
+        log_all = lgamma(n + m + 1) - lgamma(n + 1) - lgamma(m + 1)
+        return float(min(1.0, max(0.0, 1.0 - exp(log(row[m]) + log_scale - log_all))))
+
+    def asymptotic(statistic: float, n: int, m: int) -> float:
+        """Kolmogorov's limiting series."""
+        lam = statistic * (n * m / (n + m)) ** 0.5
+        if lam < 0.04:
+            return 1.0
+        k = np.arange(1, 101)
+        total = 2 * np.sum((-1.0) ** (k - 1) * np.exp(-2 * (k * lam) ** 2))
+        return float(min(1.0, max(0.0, total)))
+
+    return exact, asymptotic
 
 
-def ks_asymptotic_p(statistic: float, n: int, m: int) -> float:
-    """Kolmogorov's limiting series."""
-    if statistic <= 0:
-        return 1.0
-    lam = statistic * np.sqrt(n * m / (n + m))
-    k = np.arange(1, 101)
-    total = 2 * np.sum((-1.0) ** (k - 1) * np.exp(-2 * (k * lam) ** 2))
-    return float(min(1.0, max(0.0, total))) if lam > 0.04 else 1.0
+ks_exact_p, ks_asymptotic_p = _p_value_functions()
 
 
-def ks_p(statistic: float, n: int, m: int) -> float:
-    exact = max(n, m) <= EXACT_LIMIT
-    return ks_exact_p(statistic, n, m) if exact else ks_asymptotic_p(statistic, n, m)
+def _p_value_udf():
+    """Vectorised p-value; runs on one row per feature, after all aggregation."""
+    exact, asymptotic, limit = ks_exact_p, ks_asymptotic_p, EXACT_LIMIT
 
+    def p_values(statistic: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series(
+            [
+                (exact if max(a, b) <= limit else asymptotic)(d, int(a), int(b))
+                for d, a, b in zip(statistic, n, m)
+            ],
+            dtype=float,
+        )
 
-@F.pandas_udf(T.DoubleType())
-def _p_values(statistic: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-    """Runs on one row per feature, after all aggregation."""
-    return pd.Series([ks_p(d, int(a), int(b)) for d, a, b in zip(statistic, n, m)])
+    return F.pandas_udf(p_values, T.DoubleType())
 
 
 def ks_statistics(
@@ -125,7 +138,7 @@ def drift_report(
 ) -> DataFrame:
     """Rounded report, drifted features first; the flag uses unrounded figures."""
     stats = drift_statistics(gold, day, lookback, features)
-    tested = stats.withColumn("_p", _p_values("ks_statistic", "baseline_rows", "current_rows"))
+    tested = stats.withColumn("_p", _p_value_udf()("ks_statistic", "baseline_rows", "current_rows"))
     drifted = (F.col("_p") < p_thresh) | (F.col("mean_drift_pct") > mean_thresh)
     largest = F.greatest("baseline_rows", "current_rows")
     return tested.select(

@@ -62,13 +62,20 @@ def _audit(
     return row
 
 
+def _by_partition(df: DataFrame, table: Table) -> DataFrame:
+    """Few files per partition value: rows are rebalanced by it, and adaptive execution
+    splits a value that is much larger than the others."""
+    return df.hint("rebalance", F.col(table.partition))
+
+
 def append_table(df: DataFrame, table: Table, root: str, batch: str = "") -> dict:
     """Append rows; the row count comes from the write itself."""
     seen = Observation()
     rows = conform(df, table).observe(seen, F.count(F.lit(1)).alias("n"))
-    writer = rows.write.mode("append")
     if table.partition:
-        writer = writer.partitionBy(table.partition)
+        writer = _by_partition(rows, table).write.mode("append").partitionBy(table.partition)
+    else:
+        writer = rows.write.mode("append")
     writer.parquet(table.path(root))
     n = seen.get["n"]
     return _audit(df.sparkSession, root, table, batch, "APPEND", n, n, 0)
@@ -116,7 +123,7 @@ def upsert_table(
         seen, F.count_if("_inserted").alias("inserted"), F.count_if("_matched").alias("updated")
     )
     (
-        counted.drop("_inserted", "_matched")
+        _by_partition(counted.drop("_inserted", "_matched"), table)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)

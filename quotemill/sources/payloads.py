@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import product_url
+from ..functions.text import product_url, strip
 
 _STRINGS = "array<string>"
 
@@ -78,7 +78,7 @@ def flatten_product_payload(raw: DataFrame) -> DataFrame:
         _get(root, "$.url", "string").alias("url"),
         _strings(root, "images").alias("images"),
         F.when(F.size(category) > 0, category).otherwise(categories).alias("categories"),
-        F.coalesce(F.transform(path, F.trim), F.array().cast(_STRINGS)).alias("category_path"),
+        F.coalesce(F.transform(path, lambda c: strip(c)), F.array().cast(_STRINGS)).alias("category_path"),
         _json_text(root, "buybox").alias("buybox"),
         _json_text(root, "product_overview").alias("product_overview"),
         "amazon_domain",

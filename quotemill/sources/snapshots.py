@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.binning import as_day
-from ..functions.text import normalise_key
+from ..functions.text import normalise_key, strip
 from ..schemas import COMPETITOR_SNAPSHOT, PRODUCT_SNAPSHOT
 
 CORRUPT = "_corrupt_record"
@@ -91,7 +91,7 @@ def read_competitors(
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Tracked keys: one per line, trimmed and upper-cased; blanks and ``#`` lines skipped."""
     lines = spark.read.text(path)
-    kept = lines.where((F.trim("value") != "") & ~F.col("value").startswith("#"))
+    kept = lines.where((strip(F.col("value")) != "") & ~F.col("value").startswith("#"))
     return kept.select(normalise_key(F.col("value")).alias("asin"))
 
 
