@@ -1 +1,4 @@
-"""DataFrame-to-DataFrame operators. No I/O and no actions in this package."""
+"""DataFrame-to-DataFrame operators.
+
+They write no tables. Those built on ``ordered.split_hot`` count group sizes when called.
+"""

@@ -1,25 +1,28 @@
 """Latest rows, exact ranks and exact percentiles that survive hot groups.
 
-A plain window or ``percentile`` puts each group into one task. The operators here keep
-that plan for ordinary groups and switch the few groups above ``HOT_GROUP_ROWS`` to a
+A plain window or ``percentile`` puts each group into one task. The operators here first
+count rows per group (one aggregation, combined map-side). If no group is above
+``HOT_GROUP_ROWS`` they keep the plain plan; otherwise the few hot groups take a
 distributed one:
 
-* count per distinct value (combined map-side, so ties collapse before the shuffle),
+* count per distinct value, again combined map-side, so ties collapse before the shuffle,
 * cut the value axis into fixed, order-preserving buckets,
 * prefix-sum the bucket totals, then the values inside each bucket.
 
-Both plans are exact. When no group is hot, adaptive execution finds the list of hot
-groups empty and drops the second plan before it runs.
+Both plans are exact. The count runs when the plan is built, so give these operators
+stored tables rather than long unmaterialised chains.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..rules import HOT_GROUP_ROWS
+from ..rules import BROADCAST_ROWS, HOT_GROUP_ROWS
+from ..session import stored
 
 # Buckets per unit of ln(1 + |value|): each spans about 0.1 % of its value.
 BUCKETS_PER_LOG = 1024
@@ -48,16 +51,34 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS)
     return counts.where(F.col("_rows") > limit).select(*keys)
 
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows of ordinary groups, rows of hot groups, hot keys). Keys must not be null.
+@dataclass
+class HotSplit:
+    """Rows of ordinary groups; rows, keys and number of hot groups (None if there are none)."""
 
-    The hot keys are broadcast; their number is bounded by rows / limit.
+    ordinary: DataFrame
+    hot: DataFrame | None = None
+    keys: DataFrame | None = None
+    groups: int = 0
+
+    def small(self, df: DataFrame) -> DataFrame:
+        """``df`` has one row per hot group: broadcast it if their counted number is small."""
+        return F.broadcast(df) if self.groups <= BROADCAST_ROWS else df
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) -> HotSplit:
+    """Separate the rows of hot groups. Keys must not be null.
+
+    The hot keys are stored, so both joins see their real size: Spark broadcasts them below
+    its threshold and otherwise shuffles with skew handling.
     """
     hot = hot_groups(df, keys, limit)
-    small = F.broadcast(hot)
-    return df.join(small, list(keys), "left_anti"), df.join(small, list(keys), "left_semi"), hot
+    groups = hot.count()
+    if not groups:
+        return HotSplit(df)
+    hot = stored(hot, "hot_groups")
+    return HotSplit(
+        df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi"), hot, groups
+    )
 
 
 def value_bucket(col: Column) -> Column:
@@ -161,11 +182,13 @@ def exact_percentiles(
     if not by:
         spread = percentiles_distributed(df, by, value, points)
         return spread.crossJoin(df.agg(*extra)) if extra else spread
-    ordinary, hot_rows, _ = split_hot(df, by, limit)
-    direct = ordinary.groupBy(*by).agg(
+    split = split_hot(df, by, limit)
+    direct = split.ordinary.groupBy(*by).agg(
         *[F.percentile(value, F.lit(p)).alias(name) for name, p in points.items()], *extra
     )
-    spread = percentiles_distributed(hot_rows, by, value, points)
+    if split.hot is None:
+        return direct
+    spread = percentiles_distributed(split.hot, by, value, points)
     if extra:
-        spread = hot_rows.groupBy(*by).agg(*extra).join(spread, by, "left")
+        spread = split.hot.groupBy(*by).agg(*extra).join(spread, by, "left")
     return direct.unionByName(spread)

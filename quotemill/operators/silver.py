@@ -85,8 +85,7 @@ def competitor_map(
 
     Ranking and the lookup of the parent's own price share one exchange on
     (parent, day). A parent with more than ``hot_rows`` competitors on one day is ranked
-    by the distributed plan and gets its own price from a broadcast of the hot parents'
-    rows, so it never lands in one task.
+    by the distributed plan, so it never lands in one task.
     ``descriptions`` optionally adds title and brand on (parent_asin, asin, scrape_date).
     """
     rows = price_history
@@ -99,17 +98,12 @@ def competitor_map(
         "parent_asin", "asin", "price", "currency", "rating", "scrape_date"
     )
     keys = ["parent_asin", "scrape_date"]
-    ordinary, hot, hot_keys = split_hot(rivals, keys, hot_rows)
-    hot_own = own.join(F.broadcast(hot_keys), keys, "left_semi")
-    ranked = (
-        rank_rows(ordinary, keys, "price", "price_rank")
-        .join(own, keys, "left")
-        .unionByName(
-            rank_rows_distributed(hot, keys, "price", "price_rank").join(
-                F.broadcast(hot_own), keys, "left"
-            )
-        )
-    )
+    split = split_hot(rivals, keys, hot_rows)
+    ranked = rank_rows(split.ordinary, keys, "price", "price_rank").join(own, keys, "left")
+    if split.hot is not None:
+        hot_own = own.join(split.keys, keys, "left_semi")
+        hot_ranked = rank_rows_distributed(split.hot, keys, "price", "price_rank")
+        ranked = ranked.unionByName(hot_ranked.join(split.small(hot_own), keys, "left"))
     if descriptions is not None:
         ranked = ranked.join(
             descriptions.select("parent_asin", "asin", "scrape_date", "title", "brand"),

@@ -5,20 +5,20 @@ from __future__ import annotations
 from .binding import _SNAPSHOT
 
 
+def decimals(expr: str, digits: int) -> str:
+    """Rounding on the decimal value, halves away from zero, so that exact halves agree."""
+    return f"(CAST(round(CAST(round({expr}, 9) AS DECIMAL(28, 9)), {digits}) AS DOUBLE) + 0.0)"
+
+
 def r6(expr: str) -> str:
-    return f"(round({expr}, 6) + 0.0)"
+    return decimals(expr, 6)
 
 
 def money(expr: str) -> str:
-    """Two digits, halves away from zero on the decimal value."""
+    """Two digits after dropping noise beyond six."""
     return f"CAST(round(CAST(round({expr}, 6) AS DECIMAL(18, 6)), 2) AS DOUBLE)"
 
 
-def decimals(expr: str, digits: int) -> str:
-    """Rounding on the decimal value, for results that may be exact halves."""
-    return f"(CAST(round(CAST(round({expr}, 9) AS DECIMAL(28, 9)), {digits}) AS DOUBLE) + 0.0)"
-
-
 STOCK_LEVEL = """CASE
   WHEN contains(lower(stock), 'out of stock') OR contains(lower(stock), 'unavailable') THEN 'out_of_stock'
   WHEN contains(lower(stock), 'limited') OR contains(lower(stock), 'low stock') OR contains(lower(stock), 'only') THEN 'low_stock'

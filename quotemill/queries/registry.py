@@ -20,7 +20,7 @@ def portable(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         col = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            col = F.round(col, 6) + F.lit(0.0)
+            col = F.round(F.round(col, 9), 6) + F.lit(0.0)
         elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             col = col.cast("string")
         columns.append(col.alias(field.name))

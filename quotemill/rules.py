@@ -85,6 +85,8 @@ STOCK_RULES_COMPAT = (
 RULES = PriceRules()
 
 # A group with more rows than this leaves the one-task-per-group plan for the
-# distributed one. At most rows / HOT_GROUP_ROWS groups can exceed it, which bounds
-# the broadcast list of such groups (10^12 rows: 10^6 keys, tens of megabytes).
+# distributed one. At most rows / HOT_GROUP_ROWS groups can exceed it.
 HOT_GROUP_ROWS = 1_000_000
+
+# Frames with one row per hot group are broadcast only up to this counted size.
+BROADCAST_ROWS = 100_000

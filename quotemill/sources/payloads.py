@@ -19,21 +19,39 @@ def _present(value: Column) -> Column:
     return value.isNotNull()
 
 
-def content_root(payload: Column) -> Column:
-    """The content object as a variant.
+def _once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once per row.
+
+    Plain projections are merged, which would parse the payload again for every use; a
+    one-row generator keeps them apart without a shuffle.
+    """
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(row)))
+
+
+def with_content(raw: DataFrame) -> DataFrame:
+    """Replace ``payload`` by ``_root``, the content object as a variant.
 
     ``results[0].content`` if that field exists (null counts as an empty object), else
     ``content``, else the payload itself.
     """
-    whole = F.try_parse_json(payload)
-    first = F.variant_get(whole, "$.results[0].content", "variant")
-    content = F.variant_get(whole, "$.content", "variant")
+    keep = [c for c in raw.columns if c != "payload"]
+    parsed = _once(raw, keep, _whole=F.try_parse_json("payload"))
+    whole = F.col("_whole")
+    fields = _once(
+        parsed,
+        [*keep, "_whole"],
+        _first=F.variant_get(whole, "$.results[0].content", "variant"),
+        _content=F.variant_get(whole, "$.content", "variant"),
+    )
+    first, content = F.col("_first"), F.col("_content")
     empty = F.parse_json(F.lit("{}"))
-    return (
+    root = (
         F.when(_present(first), F.when(F.is_variant_null(first), empty).otherwise(first))
         .when(_present(content), F.when(F.is_variant_null(content), empty).otherwise(content))
         .otherwise(whole)
     )
+    return _once(fields, keep, _root=root)
 
 
 def split_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -63,7 +81,7 @@ def _json_text(root: Column, name: str) -> Column:
 
 def flatten_product_payload(raw: DataFrame) -> DataFrame:
     """Product snapshot rows from (queried_asin, payload, amazon_domain, geo_location, scraped_at)."""
-    rows = raw.withColumn("_root", content_root(F.col("payload")))
+    rows = with_content(raw)
     root = F.col("_root")
     category, categories = _strings(root, "category"), _strings(root, "categories")
     path = F.filter(_strings(root, "category_path"), lambda c: c.isNotNull() & (c != ""))
@@ -93,7 +111,7 @@ def flatten_search_payload(raw: DataFrame) -> DataFrame:
     Organic results come before paid ones; the first occurrence of a key wins. Both are
     settled inside the response's own array, so no shuffle is needed.
     """
-    rows = raw.withColumn("_root", content_root(F.col("payload")))
+    rows = with_content(raw)
     root = F.col("_root")
     items_type = "array<variant>"
     none = F.array().cast(items_type)
@@ -110,12 +128,9 @@ def flatten_search_payload(raw: DataFrame) -> DataFrame:
             F.nullif(_get(item, "$.product_asin", "string"), F.lit("")),
         )
 
-    listed = rows.select(
-        "parent_asin",
-        "amazon_domain",
-        "fetched_at",
-        F.when(has_results, results).otherwise(products).alias("_items"),
-    ).withColumn("_keys", F.transform("_items", key))
+    keep = ["parent_asin", "amazon_domain", "fetched_at"]
+    listed = _once(rows, keep, _items=F.when(has_results, results).otherwise(products))
+    listed = _once(listed, [*keep, "_items"], _keys=F.transform("_items", key))
     first = F.filter(
         F.arrays_zip(F.col("_items").alias("item"), F.col("_keys").alias("asin")),
         lambda pair, i: pair["asin"].isNotNull()
@@ -124,8 +139,7 @@ def flatten_search_payload(raw: DataFrame) -> DataFrame:
     )
     item = F.col("item")
     return (
-        listed.withColumn("_first", first)
-        .select("parent_asin", "amazon_domain", "fetched_at", F.inline("_first"))
+        listed.select(*keep, F.inline(first))
         .select(
             "parent_asin",
             "asin",
