@@ -45,11 +45,11 @@ def _p_value_functions():
             row = np.where(inside, np.cumsum(np.where(inside, row, 0.0)), 0.0)
             top = row.max()
             if top == 0.0:
-                return 0.0
+                return 1.0
             row /= top
             log_scale += log(top)
         if row[m] == 0.0:
-            return 0.0
+            return 1.0
         log_all = lgamma(n + m + 1) - lgamma(n + 1) - lgamma(m + 1)
         return float(min(1.0, max(0.0, 1.0 - exp(log(row[m]) + log_scale - log_all))))
 

@@ -41,7 +41,7 @@ def load_bronze(
     multi_line: bool = True,
     once: bool = False,
 ) -> DayResult:
-    """Append the day's snapshots. Days without any row are reported as skipped.
+    """Append the day's snapshots. Tables without any new row are reported as skipped.
 
     Bronze is an audit trail, so a repeated run appends again and silver removes the
     copies; ``once`` leaves out rows that the day's partition already holds.
@@ -53,13 +53,14 @@ def load_bronze(
     )
     for table, reader, keys in sources:
         rows = reader(spark, snapshots, result.day, multi_line)
-        if rows.isEmpty():
-            result.skipped.append(table.full_name)
-            continue
         if once:
             today = read_table(spark, root, table).where(F.col("ingest_date") == F.lit(result.day))
             rows = new_rows_only(rows, today, keys)
-        result.loads[table.full_name] = append_table(rows, table, root, result.day.isoformat())
+        audit = append_table(rows, table, root, result.day.isoformat())
+        if audit["rows_in"]:
+            result.loads[table.full_name] = audit
+        else:
+            result.skipped.append(table.full_name)
     return result
 
 

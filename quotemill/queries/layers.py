@@ -12,6 +12,7 @@ from ..operators.merge import duplicate_keys, merge_rows
 from ..operators.ordered import last_rows_per
 from ..operators.quality import quality_report
 from ..operators.silver import clean_competitors, clean_products, competitor_map
+from ..session import stored
 from . import binding as B
 from .oracle import GOLD_COLUMNS, STOCK_LEVEL, chain, decimals, money, r6
 from .registry import query
@@ -431,11 +432,12 @@ _REPORT = " UNION ALL ".join(
 
 def _report(spark, sf, **options):
     now = F.lit("2024-01-29 00:00:00").cast("timestamp_ntz")
+    history = B.stored_history(spark, sf)
     tables = {
         "bronze.products": B.bronze_products(spark, sf),
         "bronze.competitors": B.bronze_competitors(spark, sf),
-        "silver.price_history": B.price_history(spark, sf),
-        "gold.price_features": B.stored_gold(spark, sf),
+        "silver.price_history": history,
+        "gold.price_features": stored(G.gold_from_silver(history, competitor_map(history)), "gold"),
     }
     return quality_report(tables, now, **options)
 

@@ -216,7 +216,7 @@ def snapshot_quarantine(spark, sf):
         f"CASE WHEN event_id % 13 = 0 THEN substring({text}, 1, 9) ELSE {text} END AS value"
     ).write.text(path)
     rows = S.read_json_folder(spark, path, PRODUCT_SNAPSHOT, multi_line=False)
-    good, bad = S.split_corrupt(rows, PRODUCT_SNAPSHOT)
+    good, bad = S.split_corrupt(rows)
     return good.agg(F.count(F.lit(1)).alias("ok")).crossJoin(bad.agg(F.count(F.lit(1)).alias("failed")))
 
 

@@ -59,9 +59,3 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def materialise(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Reliable checkpoint: the rows are written to the shared folder and re-read."""
-    checkpoint_root(spark or df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..operators.merge import merge_rows
 from ..schemas import OPS_LOAD_AUDIT, OPS_RUN_METRICS, Table
-from ..session import materialise
+from ..session import stored
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -69,7 +69,9 @@ def _by_partition(df: DataFrame, table: Table) -> DataFrame:
 
 
 def append_table(df: DataFrame, table: Table, root: str, batch: str = "") -> dict:
-    """Append rows; the row count comes from the write itself."""
+    """Append rows; the row count comes from the write itself. No rows, no write."""
+    if df.isEmpty():
+        return _audit(df.sparkSession, root, table, batch, "APPEND", 0, 0, 0)
     seen = Observation()
     rows = conform(df, table).observe(seen, F.count(F.lit(1)).alias("n"))
     if table.partition:
@@ -97,7 +99,7 @@ def upsert_table(
 ) -> dict:
     """Update matching keys, insert the rest, and rewrite only the touched partitions.
 
-    The staged rows are checkpointed: they are read for the key check, the partition list
+    The staged rows are stored first: they are read for the key check, the partition list
     and the merge. Duplicate source keys raise before anything is written. The partition
     list holds at most one value per day of the load.
     """
@@ -105,7 +107,7 @@ def upsert_table(
     staged = source
     if table.stamp:
         staged = staged.withColumn(table.stamp, F.current_timestamp())
-    staged = materialise(conform(staged, table), spark)
+    staged = stored(conform(staged, table), f"staged_{table.name}")
     day = table.partition
     per_key = staged.groupBy(*table.keys).agg(F.count(F.lit(1)).alias("_n"))
     per_day = per_key.groupBy(day).agg(F.sum("_n").alias("rows"), F.max("_n").alias("most")).collect()

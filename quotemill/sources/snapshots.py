@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.binning import as_day
 from ..functions.text import normalise_key, strip
 from ..schemas import COMPETITOR_SNAPSHOT, PRODUCT_SNAPSHOT
+from ..session import stored
 
 CORRUPT = "_corrupt_record"
 
@@ -45,18 +46,15 @@ def read_json_folder(
         return spark.createDataFrame([], full)
 
 
-def _bad(schema: T.StructType):
-    """Unparsable text: the parser's note, and no field at all was recovered."""
-    empty = F.lit(True)
-    for name in schema.fieldNames():
-        empty = empty & F.col(name).isNull()
-    return F.col(CORRUPT).isNotNull() & empty
+def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(readable rows, quarantined text). A row with one bad field stays readable.
 
-
-def split_corrupt(rows: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(readable rows, quarantined text). A row with one bad field stays readable."""
-    bad = _bad(schema)
-    return rows.where(~bad).drop(CORRUPT), rows.where(bad).select(CORRUPT)
+    The parsed rows are stored first: the corrupt-record column is only reliable when all
+    columns are parsed together.
+    """
+    parsed = stored(rows, "parsed")
+    bad = F.col(CORRUPT).isNotNull() & F.try_parse_json(CORRUPT).isNull()
+    return parsed.where(~bad).drop(CORRUPT), parsed.where(bad).select(CORRUPT)
 
 
 def _snapshot(
