@@ -48,6 +48,13 @@ def rolling_features(
     return out
 
 
+def price_tails(history: DataFrame, as_of: str | date, rules: PriceRules = RULES) -> DataFrame:
+    """The last rows per product up to a day: all that later rolling features need of the past."""
+    past = history.where(F.col("scrape_date") <= F.lit(as_day(as_of)))
+    rows = max(rules.window_rows, rules.lag_rows + 1)
+    return last_rows_per(past, ["asin"], "scrape_date", rows)
+
+
 def window_comparison(history: DataFrame, windows: tuple[int, ...] = (3, 7, 14)) -> DataFrame:
     """Moving averages and deviations for several window lengths in one pass."""
     timeline = Window.partitionBy("asin").orderBy("scrape_date")
@@ -134,14 +141,18 @@ def gold_from_silver(
     as_of: str | date | None = None,
     exact: bool = False,
     rules: PriceRules = RULES,
+    history: DataFrame | None = None,
 ) -> DataFrame:
-    """Gold rows of one day, or of every day when ``as_of`` is not given."""
+    """Gold rows of one day, or of every day when ``as_of`` is not given.
+
+    ``history`` replaces the own-price rows of ``price_history``, for instance by the
+    tails of the day before plus the new day.
+    """
     rivals = competitor_map
     if as_of is not None:
         rivals = rivals.where(F.col("scrape_date") == F.lit(as_day(as_of)))
-    rolling = rolling_features(
-        own_prices(price_history), rules.window_rows, rules.lag_rows, as_of=as_of
-    )
+    history = own_prices(price_history) if history is None else history
+    rolling = rolling_features(history, rules.window_rows, rules.lag_rows, as_of=as_of)
     return gold_price_features(rolling, competitor_landscape(rivals, exact=exact), rules)
 
 

@@ -52,6 +52,9 @@ PRICE_PREDICTIONS = _struct(
     "asin:str! scrape_date:date! predicted_price:dbl current_price:dbl price_diff_pct:dbl "
     "model_version:str scored_at:ts"
 )
+PRICE_TAILS = _struct(
+    "asin:str! scrape_date:date! price:dbl rating:dbl currency:str stock:str as_of:date!"
+)
 LOAD_AUDIT = _struct(
     "table_name:str! batch:str operation:str rows_in:long inserted:long updated:long loaded_at:ts"
 )
@@ -63,7 +66,11 @@ MODEL_VERSIONS = _struct(
 
 @dataclass(frozen=True)
 class Table:
-    """One managed table: where it lives, what identifies a row, how it is laid out."""
+    """One managed table: where it lives, what identifies a row, how it is laid out.
+
+    Files are sorted by ``cluster`` inside a partition, so that row-group statistics let
+    a filter on those columns skip most of a file.
+    """
 
     layer: str
     name: str
@@ -71,6 +78,7 @@ class Table:
     keys: tuple[str, ...] = ()
     partition: str | None = None
     stamp: str | None = None
+    cluster: tuple[str, ...] = ()
     comment: str = ""
 
     @property
@@ -109,22 +117,26 @@ BRONZE_COMPETITORS = Table(
 SILVER_PRICE_HISTORY = Table(
     "silver", "price_history", PRICE_HISTORY,
     keys=("asin", "scrape_date", "source", "parent_asin"), partition="scrape_date",
-    stamp="_updated_at", comment="One cleaned price per key and day",
+    stamp="_updated_at", cluster=("source", "asin"), comment="One cleaned price per key and day",
 )
 SILVER_COMPETITOR_MAP = Table(
     "silver", "competitor_map", COMPETITOR_MAP,
     keys=("parent_asin", "asin", "scrape_date"), partition="scrape_date",
-    stamp="_updated_at", comment="Competitors of each product and day, ranked by price",
+    stamp="_updated_at", cluster=("parent_asin",), comment="Competitors of each product and day, ranked by price",
+)
+SILVER_PRICE_TAILS = Table(
+    "silver", "price_tails", PRICE_TAILS, keys=("asin", "scrape_date"), partition="as_of",
+    cluster=("asin",), comment="Last rows of each own product as of a day",
 )
 GOLD_PRICE_FEATURES = Table(
     "gold", "price_features", PRICE_FEATURES,
     keys=("asin", "scrape_date"), partition="scrape_date",
-    stamp="_computed_at", comment="Feature row per product and day",
+    stamp="_computed_at", cluster=("asin",), comment="Feature row per product and day",
 )
 GOLD_PRICE_PREDICTIONS = Table(
     "gold", "price_predictions", PRICE_PREDICTIONS,
     keys=("asin", "scrape_date"), partition="scrape_date",
-    stamp="scored_at", comment="Model output per product and day",
+    stamp="scored_at", cluster=("asin",), comment="Model output per product and day",
 )
 OPS_LOAD_AUDIT = Table("ops", "load_audit", LOAD_AUDIT, comment="One row per load")
 OPS_RUN_METRICS = Table("ops", "run_metrics", RUN_METRICS, comment="Metrics per run")
@@ -137,6 +149,7 @@ TABLES = (
     BRONZE_COMPETITORS,
     SILVER_PRICE_HISTORY,
     SILVER_COMPETITOR_MAP,
+    SILVER_PRICE_TAILS,
     GOLD_PRICE_FEATURES,
     GOLD_PRICE_PREDICTIONS,
 )

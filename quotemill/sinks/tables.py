@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from ..operators.merge import merge_rows
 from ..schemas import OPS_LOAD_AUDIT, OPS_RUN_METRICS, Table
-from ..session import stored
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -46,7 +45,7 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
 
 def _audit(
     spark: SparkSession, root: str, table: Table, batch: str, operation: str,
-    rows_in: int, inserted: int, updated: int,
+    rows_in: int, inserted: int, updated: int, at: datetime | None = None,
 ) -> dict:
     row = {
         "table_name": table.full_name,
@@ -55,17 +54,39 @@ def _audit(
         "rows_in": rows_in,
         "inserted": inserted,
         "updated": updated,
-        "loaded_at": datetime.now(timezone.utc),
+        "loaded_at": at or datetime.now(timezone.utc),
     }
     frame = spark.createDataFrame([tuple(row.values())], OPS_LOAD_AUDIT.schema)
     frame.coalesce(1).write.mode("append").parquet(OPS_LOAD_AUDIT.path(root))
     return row
 
 
-def _by_partition(df: DataFrame, table: Table) -> DataFrame:
-    """Few files per partition value: rows are rebalanced by it, and adaptive execution
-    splits a value that is much larger than the others."""
-    return df.hint("rebalance", F.col(table.partition))
+def _laid_out(df: DataFrame, table: Table) -> DataFrame:
+    """Few files per partition value, sorted by the table's cluster columns.
+
+    Rows are rebalanced by the partition column; adaptive execution splits a value that is
+    much larger than the others and merges small ones.
+    """
+    rows = df.hint("rebalance", F.col(table.partition))
+    return rows.sortWithinPartitions(table.partition, *table.cluster) if table.cluster else rows
+
+
+def _overwrite_partitions(df: DataFrame, table: Table, root: str) -> None:
+    """Replace the partitions present in ``df``; the others stay."""
+    (
+        _laid_out(df, table)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(table.partition)
+        .parquet(table.path(root))
+    )
+
+
+def _staged(df: DataFrame, table: Table, root: str) -> DataFrame:
+    """The rows written to the table's own staging folder, replacing the last load's."""
+    path = f"{root.rstrip('/')}/_staging/{table.full_name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(_nullable(df.schema)).parquet(path)
 
 
 def append_table(df: DataFrame, table: Table, root: str, batch: str = "") -> dict:
@@ -75,7 +96,7 @@ def append_table(df: DataFrame, table: Table, root: str, batch: str = "") -> dic
     seen = Observation()
     rows = conform(df, table).observe(seen, F.count(F.lit(1)).alias("n"))
     if table.partition:
-        writer = _by_partition(rows, table).write.mode("append").partitionBy(table.partition)
+        writer = _laid_out(rows, table).write.mode("append").partitionBy(table.partition)
     else:
         writer = rows.write.mode("append")
     writer.parquet(table.path(root))
@@ -107,7 +128,7 @@ def upsert_table(
     staged = source
     if table.stamp:
         staged = staged.withColumn(table.stamp, F.current_timestamp())
-    staged = stored(conform(staged, table), f"staged_{table.name}")
+    staged = _staged(conform(staged, table), table, root)
     day = table.partition
     per_key = staged.groupBy(*table.keys).agg(F.count(F.lit(1)).alias("_n"))
     per_day = per_key.groupBy(day).agg(F.sum("_n").alias("rows"), F.max("_n").alias("most")).collect()
@@ -124,17 +145,28 @@ def upsert_table(
     counted = merged.observe(
         seen, F.count_if("_inserted").alias("inserted"), F.count_if("_matched").alias("updated")
     )
-    (
-        _by_partition(counted.drop("_inserted", "_matched"), table)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
-        .parquet(table.path(root))
-    )
+    _overwrite_partitions(counted.drop("_inserted", "_matched"), table, root)
     counts = seen.get
     return _audit(spark, root, table, batch, "MERGE", rows_in, counts["inserted"], counts["updated"])
 
 
+def replace_partition(df: DataFrame, table: Table, root: str, batch: str) -> dict:
+    """Write ``df`` as the new content of its partitions."""
+    spark = df.sparkSession
+    started = datetime.now(timezone.utc)
+    rows = _staged(conform(df, table), table, root)
+    n = rows.count()
+    if n:
+        _overwrite_partitions(rows, table, root)
+    return _audit(spark, root, table, batch, "REPLACE", n, n, 0, started)
+
+
+def create_views(spark: SparkSession, root: str, tables: Sequence[Table]) -> None:
+    """Temporary views named ``layer_table`` for SQL text."""
+    for table in tables:
+        read_table(spark, root, table).createOrReplaceTempView(f"{table.layer}_{table.name}")
+
+
 def log_metrics(spark: SparkSession, root: str, run: str, metrics: dict[str, float]) -> None:
     """Append one row per metric of a run."""
     now = datetime.now(timezone.utc)

@@ -103,6 +103,46 @@ def test_checks_pass(spark, warehouse):
     assert daily.check_layers(spark, warehouse[0], only_failures=True).isEmpty()
 
 
+def test_tails_carry_the_history(spark, sf, tmp_path):
+    """Daily runs from tails equal one pass over everything, also after a correction."""
+    root = str(tmp_path)
+    history = B.stored_history(spark, sf)
+    days = [f"2024-01-{d:02d}" for d in range(1, 13)]
+
+    def load(day, price=None):
+        rows = history.where(f"scrape_date = DATE '{day}'")
+        if price:
+            rows = rows.withColumn("price", F.lit(price))
+        upsert_table(rows, SILVER_PRICE_HISTORY, root, day)
+
+    def gold_of(day):
+        daily.build_gold(spark, root, day)
+        rows = read_table(spark, root, GOLD_PRICE_FEATURES).where(f"scrape_date = DATE '{day}'")
+        return sorted(map(repr, rows.select(columns).collect()))
+
+    columns = [c for c in GOLD_PRICE_FEATURES.schema.fieldNames() if c != "_computed_at"]
+
+    def full(day):
+        stored = read_table(spark, root, SILVER_PRICE_HISTORY)
+        market = read_table(spark, root, SILVER_COMPETITOR_MAP)
+        features = gold_from_silver(stored, market).where(f"scrape_date = DATE '{day}'")
+        return sorted(map(repr, features.select(columns).collect()))
+
+    for day in days[:10]:
+        load(day)
+    gold_of(days[8])
+    assert daily.last_valid_tails(spark, root, date.fromisoformat(days[9])) == date.fromisoformat(days[8])
+    assert gold_of(days[9]) == full(days[9])
+    load(days[10])
+    assert daily.last_valid_tails(spark, root, date.fromisoformat(days[10])) == date.fromisoformat(days[9])
+    load(days[7], price=77.0)  # correcting an old day makes every stored tail stale
+    assert daily.last_valid_tails(spark, root, date.fromisoformat(days[10])) is None
+    assert gold_of(days[10]) == full(days[10])
+    load(days[11])
+    assert daily.last_valid_tails(spark, root, date.fromisoformat(days[11])) == date.fromisoformat(days[10])
+    assert gold_of(days[11]) == full(days[11])
+
+
 def test_day_by_day_equals_backfill(spark, sf):
     history = B.stored_history(spark, sf)
     market = competitor_map(history)
