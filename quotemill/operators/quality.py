@@ -87,28 +87,26 @@ def missing_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
-    missing = missing_columns(df, columns)
-    if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+    absent = missing_columns(df, columns)
+    if absent:
+        raise ValueError("Missing required columns: " + ", ".join(absent))
 
 
 def require_rows(df: DataFrame, minimum: int, context: str = "") -> None:
-    """Stops counting at ``minimum`` rows."""
+    """Raise when there are fewer rows; counting stops at ``minimum``."""
     found = df.limit(minimum).count()
     if found < minimum:
-        suffix = f" {context}" if context else ""
-        raise ValueError(f"Only {found} rows available (minimum {minimum} required){suffix}")
+        note = f"Only {found} rows available, at least {minimum} are required"
+        raise ValueError(" ".join(filter(None, (note, context))))
 
 
 def require_null_fraction(
     df: DataFrame, columns: Sequence[str], max_null_fraction: float = 0.5
 ) -> None:
-    """One aggregation over all columns; raises for the first that is too empty."""
-    present = [c for c in columns if c in df.columns]
-    shares = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in present]).first()
-    for name in present:
-        share = shares[name]
-        if share is not None and share > max_null_fraction:
-            raise ValueError(
-                f"Column '{name}' has {share:.1%} nulls — exceeds maximum {max_null_fraction:.1%}"
-            )
+    """Raise for columns with too many nulls; all of them are measured in one aggregation."""
+    measured = [c for c in columns if c in df.columns]
+    row = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in measured]).first()
+    over = {c: row[c] for c in measured if (row[c] or 0.0) > max_null_fraction}
+    if over:
+        found = ", ".join(f"{c} {share:.1%}" for c, share in over.items())
+        raise ValueError(f"Too many nulls (at most {max_null_fraction:.1%} allowed): {found}")

@@ -42,7 +42,7 @@ def prepare(
     """
     require_columns(gold, [TARGET_COLUMN, "current_price", "comp_median_price", "asin", "scrape_date"])
     frame = stored(training_frame(gold, min_history), "training_frame")
-    require_rows(frame, 10, f"— at least {min_history} days of history are needed per product")
+    require_rows(frame, 10, f"(products need {min_history} days of history)")
     train, test = time_split(frame, test_size)
     medians = fit_medians(frame if compat else train, MODEL_COLUMNS)
     medians = stored(medians, "medians")
@@ -146,7 +146,7 @@ def score_day(spark: SparkSession, root: str, day: str | date = "") -> dict:
     version = latest_version(spark, root, PRODUCTION)
     model, medians = load_version(spark, version)
     gold = read_table(spark, root, GOLD_PRICE_FEATURES).where(F.col("scrape_date") == F.lit(run_day))
-    require_rows(gold, 1, f"for scrape_date={run_day.isoformat()}")
+    require_rows(gold, 1, f"(scoring {run_day.isoformat()})")
     rows = score(model, gold, medians, str(version["version"]))
     return upsert_table(rows, GOLD_PRICE_PREDICTIONS, root, run_day.isoformat())
 
