@@ -18,7 +18,7 @@ from ..session import stored
 # Last day of the given event stream.
 DAY = "2024-01-30"
 
-_SNAPSHOT = {
+SNAPSHOT = {
     "asin": "'B' || lpad(CAST(user_id AS STRING), 9, '0')",
     "parent_asin": "'B' || lpad(CAST(user_id - user_id % 10 AS STRING), 9, '0')",
     "title": "'Item ' || CAST(user_id AS STRING) || ' - ' || event_type",
@@ -46,7 +46,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _SNAPSHOT
+    s = SNAPSHOT
     return table(spark, sf_dir, "events").where("user_id % 10 = 0").selectExpr(
         *[f"{s[c]} AS {c}" for c in ("asin", "title", "brand", "price", "currency", "stock", "rating")],
         "ts AS scraped_at",
@@ -54,7 +54,7 @@ def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_competitors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _SNAPSHOT
+    s = SNAPSHOT
     return table(spark, sf_dir, "events").where("user_id % 10 <> 0").selectExpr(
         *[f"{s[c]} AS {c}" for c in ("parent_asin", "asin", "title", "brand", "price", "currency", "rating")],
         "ts AS fetched_at",
@@ -109,7 +109,7 @@ def fetches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = bronze_competitors(spark, sf_dir).withColumn("fetched_at", F.to_date("fetched_at"))
     log = (
         table(spark, sf_dir, "events")
-        .selectExpr(f"{_SNAPSHOT['parent_asin']} AS parent_asin", f"{day} AS fetched_at")
+        .selectExpr(f"{SNAPSHOT['parent_asin']} AS parent_asin", f"{day} AS fetched_at")
         .distinct()
     )
     return rows, log

@@ -239,13 +239,13 @@ def price_vs_ma(spark, sf):
     chain(
         "SELECT l.event_id, l.asin, CAST(g.scrape_date AS VARCHAR) AS feature_date, "
         f"{r6('g.current_price')} AS current_price, {r6('g.suggested_price')} AS suggested_price "
-        "FROM (SELECT event_id, asin, scrape_date FROM obs WHERE own) l ASOF LEFT JOIN gold g "
+        "FROM (SELECT event_id, parent_asin AS asin, scrape_date FROM obs) l ASOF LEFT JOIN gold g "
         "ON l.asin = g.asin AND l.scrape_date >= g.scrape_date"
     ),
 )
 def point_in_time_query(spark, sf):
-    labels = B.table(spark, sf, "events").where("user_id % 10 = 0").selectExpr(
-        "event_id", f"{B._SNAPSHOT['asin']} AS asin", "ts"
+    labels = B.table(spark, sf, "events").selectExpr(
+        "event_id", f"{B.SNAPSHOT['parent_asin']} AS asin", "ts"
     )
     found = point_in_time(labels, B.gold(spark, sf), ["current_price", "suggested_price"], "ts")
     return found.drop("ts")

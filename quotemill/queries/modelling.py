@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from ..operators import models as L
 from ..operators.metrics import regression_metrics
+from ..plans import modelling as M
 from ..plans.modelling import prepare
 from ..rules import TARGET_COLUMN
+from ..schemas import GOLD_PRICE_FEATURES, GOLD_PRICE_PREDICTIONS
+from ..session import scratch_path
+from ..sinks.tables import read_table, upsert_table
 from . import binding as B
 from .registry import query
 
@@ -52,3 +56,14 @@ def parameter_sweep(spark, sf):
 def learning_curve(spark, sf):
     split = _split(spark, sf)
     return L.learning_curve(split.train, split.test, (0.5, 1.0), {**_SMALL, "n_estimators": 3})
+
+
+@query("model_lifecycle")
+def model_lifecycle(spark, sf):
+    """Train, gate, promote and score against stored tables; returns the stored predictions."""
+    root = scratch_path(spark, "warehouse")
+    upsert_table(B.gold(spark, sf), GOLD_PRICE_FEATURES, root)
+    M.train(spark, root, _SMALL)
+    M.evaluate(spark, root, max_rmse=None, max_mape=None)
+    M.score_day(spark, root, B.DAY)
+    return read_table(spark, root, GOLD_PRICE_PREDICTIONS).drop("scored_at")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .binding import _SNAPSHOT
+from .binding import SNAPSHOT
 
 
 def decimals(expr: str, digits: int) -> str:
@@ -25,7 +25,7 @@ STOCK_LEVEL = """CASE
   WHEN contains(lower(stock), 'in stock') OR contains(lower(stock), 'available') THEN 'in_stock'
   ELSE 'unknown' END"""
 
-_BRONZE = ", ".join(f"{expr.replace('STRING', 'VARCHAR')} AS {name}" for name, expr in _SNAPSHOT.items())
+_BRONZE = ", ".join(f"{expr.replace('STRING', 'VARCHAR')} AS {name}" for name, expr in SNAPSHOT.items())
 
 CTES = {
     "obs": f"SELECT user_id % 10 = 0 AS own, CAST(ts AS DATE) AS scrape_date, event_id, {_BRONZE} FROM events",

@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.merge import duplicate_keys
-from ..schemas import OPS_LOAD_AUDIT, PRODUCT_SNAPSHOT, SILVER_PRICE_HISTORY
+from ..plans import daily
+from ..schemas import (
+    BRONZE_PRODUCTS,
+    GOLD_PRICE_FEATURES,
+    OPS_LOAD_AUDIT,
+    PRODUCT_SNAPSHOT,
+    SILVER_PRICE_HISTORY,
+)
 from ..session import scratch_path
-from ..sinks.files import write_csv
+from ..sinks.files import write_csv, write_snapshots
 from ..sinks.tables import append_table, read_table, upsert_table
 from ..sources import payloads as L
 from ..sources import snapshots as S
+from ..streaming.snapshots import stream_bronze_products
 from . import binding as B
-from .oracle import chain, r6
+from .oracle import GOLD_COLUMNS, chain, r6
 from .registry import query
 
 _DATE = "CAST(scrape_date AS VARCHAR) AS scrape_date"
@@ -35,8 +43,9 @@ def manifest_keys(spark, sf):
 
 
 def _product_events(spark, sf):
-    snap = B._SNAPSHOT
-    return B.table(spark, sf, "events").where("user_id % 10 = 0").selectExpr(
+    """Every event as the scrape of one product."""
+    snap = B.SNAPSHOT
+    return B.table(spark, sf, "events").selectExpr(
         "event_id", "ts", "value", "event_type", f"{snap['asin']} AS asin", f"{snap['rating']} AS rating"
     )
 
@@ -70,7 +79,7 @@ def _product_payloads(spark, sf):
 
 
 _EMPTY = "(event_id % 3 = 0 AND event_id % 41 = 0)"
-_OWN = "FROM obs JOIN (SELECT event_id AS id, value, event_type FROM events) e ON e.id = obs.event_id WHERE own AND event_id % 13 <> 0"
+_OWN = "FROM obs JOIN (SELECT event_id AS id, value, event_type FROM events) e ON e.id = obs.event_id WHERE event_id % 13 <> 0"
 
 
 @query(
@@ -106,7 +115,7 @@ def payload_product(spark, sf):
 
 @query(
     "payload_outcome",
-    chain("SELECT count(*) FILTER (WHERE event_id % 13 <> 0) AS ok, count(*) FILTER (WHERE event_id % 13 = 0) AS failed FROM obs WHERE own"),
+    chain("SELECT count(*) FILTER (WHERE event_id % 13 <> 0) AS ok, count(*) FILTER (WHERE event_id % 13 = 0) AS failed FROM obs"),
 )
 def payload_outcome(spark, sf):
     return L.payload_outcome(_product_payloads(spark, sf))
@@ -127,8 +136,8 @@ def _search_payloads(spark, sf):
         WHEN 0 THEN '{{"results":[{{"content":{{"results":{{"organic":' || {items(0, 3)} || ',"paid":' || {items(4, 5)} || '}}}}}}]}}'
         WHEN 1 THEN '{{"content":{{"results":{{"organic":null,"paid":' || {items(0, 5)} || '}}}}}}'
         ELSE '{{"products":' || {items(0, 5)} || '}}' END"""
-    return B.table(spark, sf, "events").where("user_id % 10 = 0").selectExpr(
-        f"{B._SNAPSHOT['asin']} AS parent_asin",
+    return B.table(spark, sf, "events").selectExpr(
+        f"{B.SNAPSHOT['asin']} AS parent_asin",
         f"{payload} AS payload",
         "'com' AS amazon_domain",
         "ts AS fetched_at",
@@ -142,7 +151,7 @@ def _search_payloads(spark, sf):
         SELECT 'B' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS parent_asin, epoch_us(ts) AS fetched_us, event_id, k, value + k AS price,
           CASE WHEN k = 2 AND event_id % 11 = 0 THEN NULL
                ELSE 'B' || lpad(CAST(user_id + (k * 3 + event_id) % 4 AS VARCHAR), 9, '0') END AS asin
-        FROM events CROSS JOIN range(6) AS r(k) WHERE user_id % 10 = 0)
+        FROM events CROSS JOIN range(6) AS r(k))
       WHERE asin IS NOT NULL AND asin <> parent_asin
       QUALIFY row_number() OVER (PARTITION BY event_id, asin ORDER BY k) = 1""",
 )
@@ -157,19 +166,19 @@ def payload_competitors(spark, sf):
     chain(
         f"SELECT {_DATE}, count(*) AS rows, count(price) AS priced, {r6('sum(price)')} AS total_price FROM "
         "(SELECT scrape_date, CASE WHEN event_id % 17 = 0 THEN NULL ELSE price END AS price FROM obs "
-        "WHERE own AND event_id % 19 <> 0) GROUP BY scrape_date"
+        "WHERE event_id % 19 <> 0) GROUP BY scrape_date"
     ),
 )
 def snapshot_products(spark, sf):
     """Products as JSON lines in one run-day folder, with unreadable prices and missing keys."""
     root = scratch_path(spark, "snapshots")
-    snap = B._SNAPSHOT
+    snap = B.SNAPSHOT
     price = f"CASE WHEN event_id % 17 = 0 THEN '\"n/a\"' ELSE coalesce(CAST({snap['price']} AS STRING), 'null') END"
     rest = (
         f"to_json(named_struct('asin', CASE WHEN event_id % 19 = 0 THEN NULL ELSE {snap['asin']} END, "
         f"'stock', {snap['stock']}, 'scraped_at', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")))"
     )
-    lines = B.table(spark, sf, "events").where("user_id % 10 = 0").selectExpr(
+    lines = B.table(spark, sf, "events").selectExpr(
         f"'{{\"price\":' || {price} || ',' || substring({rest}, 2) AS value"
     )
     lines.write.text(f"{root}/products/{B.DAY}")
@@ -207,7 +216,7 @@ def snapshot_competitors(spark, sf):
 
 @query(
     "snapshot_quarantine",
-    chain("SELECT count(*) FILTER (WHERE event_id % 13 <> 0) AS ok, count(*) FILTER (WHERE event_id % 13 = 0) AS failed FROM obs WHERE own"),
+    chain("SELECT count(*) FILTER (WHERE event_id % 13 <> 0) AS ok, count(*) FILTER (WHERE event_id % 13 = 0) AS failed FROM obs"),
 )
 def snapshot_quarantine(spark, sf):
     path = scratch_path(spark, "broken")
@@ -220,6 +229,43 @@ def snapshot_quarantine(spark, sf):
     return good.agg(F.count(F.lit(1)).alias("ok")).crossJoin(bad.agg(F.count(F.lit(1)).alias("failed")))
 
 
+def _write_snapshots(spark, sf, root):
+    """All products and competitors as the JSON lines of one run day."""
+    utc = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+    products = B.bronze_products(spark, sf).withColumn("scraped_at", F.date_format("scraped_at", utc))
+    rivals = B.bronze_competitors(spark, sf).withColumn("fetched_at", F.date_format("fetched_at", utc))
+    write_snapshots(products, root, "products", B.DAY)
+    write_snapshots(rivals, root, "competitors", B.DAY)
+
+
+@query("warehouse_backfill", chain(f"SELECT {GOLD_COLUMNS} FROM gold"))
+def warehouse_backfill(spark, sf):
+    """Snapshot files → bronze → silver → gold through the stored tables of all layers."""
+    snapshots, root = scratch_path(spark, "snapshots"), scratch_path(spark, "warehouse")
+    _write_snapshots(spark, sf, snapshots)
+    daily.load_bronze(spark, root, snapshots, B.DAY, multi_line=False)
+    daily.build_silver(spark, root, None)
+    daily.build_gold(spark, root, None)
+    return read_table(spark, root, GOLD_PRICE_FEATURES).drop("_computed_at")
+
+
+@query(
+    "stream_bronze",
+    chain(f"SELECT {_DATE}, count(*) AS rows, {r6('sum(price)')} AS total_price FROM bp GROUP BY scrape_date"),
+)
+def stream_bronze(spark, sf):
+    """The snapshot folder drained as a stream into the bronze table."""
+    snapshots, root = scratch_path(spark, "snapshots"), scratch_path(spark, "warehouse")
+    _write_snapshots(spark, sf, snapshots)
+    stream_bronze_products(
+        spark, snapshots, root, scratch_path(spark, "stream-state"), multi_line=False
+    ).awaitTermination()
+    rows = read_table(spark, root, BRONZE_PRODUCTS)
+    return rows.groupBy(F.col("ingest_date").alias("scrape_date")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("price").alias("total_price")
+    )
+
+
 @query("missing_snapshot_day")
 def missing_snapshot_day(spark, sf):
     """A day without a folder reads as an empty table; reported as a coverage row."""

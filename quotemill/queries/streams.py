@@ -23,15 +23,18 @@ def _micros(df):
 
 
 def _batch(spark, sf):
-    rows = B.bronze_products(spark, sf)
-    return rows.withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
+    """Every event as a price observation."""
+    snap = B.SNAPSHOT
+    return B.table(spark, sf, "events").selectExpr(
+        f"{snap['asin']} AS asin", f"{snap['price']} AS price", "CAST(ts AS TIMESTAMP) AS scraped_at"
+    )
 
 
 @query(
     "window_tumbling",
     chain(
         f"SELECT asin, epoch_us(CAST(scrape_date AS TIMESTAMP)) AS start, epoch_us(CAST(scrape_date AS TIMESTAMP) + INTERVAL 1 DAY) AS \"end\", {_STATS} "
-        "FROM bp GROUP BY asin, scrape_date"
+        "FROM obs GROUP BY asin, scrape_date"
     ),
 )
 def window_tumbling(spark, sf):
@@ -42,7 +45,7 @@ def window_tumbling(spark, sf):
     "window_sliding",
     chain(
         f"SELECT asin, epoch_us(s) AS start, epoch_us(s + INTERVAL 2 DAY) AS \"end\", {_STATS} FROM "
-        "(SELECT *, unnest([CAST(scrape_date AS TIMESTAMP), CAST(scrape_date AS TIMESTAMP) - INTERVAL 1 DAY]) AS s FROM bp) GROUP BY asin, s"
+        "(SELECT *, unnest([CAST(scrape_date AS TIMESTAMP), CAST(scrape_date AS TIMESTAMP) - INTERVAL 1 DAY]) AS s FROM obs) GROUP BY asin, s"
     ),
 )
 def window_sliding(spark, sf):
@@ -52,9 +55,9 @@ def window_sliding(spark, sf):
 @query(
     "window_session",
     chain(
-        f"SELECT asin, epoch_us(min(scraped_at)) AS start, epoch_us(max(scraped_at) + INTERVAL 6 HOUR) AS \"end\", {_STATS} FROM "
-        "(SELECT *, sum(fresh) OVER (PARTITION BY asin ORDER BY scraped_at) AS session FROM (SELECT *, "
-        "CASE WHEN scraped_at <= lag(scraped_at) OVER (PARTITION BY asin ORDER BY scraped_at) + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM bp)) "
+        f"SELECT asin, epoch_us(min(seen_at)) AS start, epoch_us(max(seen_at) + INTERVAL 6 HOUR) AS \"end\", {_STATS} FROM "
+        "(SELECT *, sum(fresh) OVER (PARTITION BY asin ORDER BY seen_at) AS session FROM (SELECT *, "
+        "CASE WHEN seen_at <= lag(seen_at) OVER (PARTITION BY asin ORDER BY seen_at) + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM obs)) "
         "GROUP BY asin, session"
     ),
 )
@@ -66,7 +69,7 @@ def _stream(spark, sf):
     """The event table as a stream of product snapshots."""
     schema = B.table(spark, sf, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    snap = B._SNAPSHOT
+    snap = B.SNAPSHOT
     products = events.where("user_id % 10 = 0").selectExpr(
         *[f"{snap[c]} AS {c}" for c in ("asin", "price", "currency", "stock", "rating")],
         "CAST(ts AS TIMESTAMP) AS scraped_at",

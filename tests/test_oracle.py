@@ -8,7 +8,7 @@ from tests.harness import compare, duck
 
 MODEL_QUERIES = {
     "gbt_predictions", "gbt_feature_importances", "ridge_metrics", "model_leaderboard",
-    "parameter_sweep", "learning_curve",
+    "parameter_sweep", "learning_curve", "model_lifecycle",
 }
 
 

@@ -70,7 +70,7 @@ def event_stream(spark, sf):
     schema = B.table(spark, sf, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     return events.where("user_id % 10 = 0").selectExpr(
-        f"{B._SNAPSHOT['asin']} AS asin", f"{B._SNAPSHOT['price']} AS price", "CAST(ts AS TIMESTAMP) AS scraped_at"
+        f"{B.SNAPSHOT['asin']} AS asin", f"{B.SNAPSHOT['price']} AS price", "CAST(ts AS TIMESTAMP) AS scraped_at"
     )
 
 
