@@ -10,16 +10,21 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.pricing import ratio
 from ..rules import GBT_DEFAULTS, MODEL_COLUMNS, SEARCH_SPACE, TARGET_COLUMN
-from ..session import checkpoint_root
+from ..session import checkpoint_root, literal_rows
 from .features import engineered, impute, mark_split
 from .metrics import regression_metrics
 from .ordered import exact_percentiles
 
 PREDICTION = "predicted_price"
 
+_IMPORTANCE = T.StructType(
+    [T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())]
+)
+
 
 def _assembled(estimator, train: DataFrame, columns: Sequence[str]) -> PipelineModel:
     checkpoint_root(train.sparkSession)
@@ -42,7 +47,6 @@ def fit_gbt(
         lossType="squared",
         seed=p["seed"],
         checkpointInterval=10,
-        cacheNodeIds=True,
     )
     return _assembled(trees, train, columns)
 
@@ -97,9 +101,8 @@ def importances(model: PipelineModel | None, columns: Sequence[str] = tuple(MODE
     spark = SparkSession.active()
     weights = model.stages[-1].featureImportances.toArray()
     rows = [(name, float(w)) for name, w in zip(columns, weights)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
-        F.desc("importance"), "feature"
-    )
+    frame = literal_rows(spark, rows, _IMPORTANCE)
+    return frame.orderBy(F.desc("importance"), "feature")
 
 
 def _one_row(metrics: DataFrame, **labels) -> DataFrame:

@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.binning import as_day
-from ..operators.features import fit_medians, impute, time_split, training_frame
+from ..operators.features import fit_medians, impute, mark_split, time_split, training_frame
 from ..operators.metrics import quality_gate, regression_metrics, residuals, worst_predictions
 from ..operators.models import PREDICTION, fit_gbt, importances, predict, score
 from ..operators.quality import require_columns, require_null_fraction, require_rows
 from ..rules import MODEL_COLUMNS, TARGET_COLUMN
 from ..schemas import GOLD_PRICE_FEATURES, GOLD_PRICE_PREDICTIONS, OPS_MODEL_VERSIONS
-from ..session import stored
+from ..session import literal_rows, stored
 from ..sinks.tables import log_metrics, read_table, upsert_table
 
 NEW, PRODUCTION, ARCHIVED = "None", "Production", "Archived"
@@ -37,17 +37,19 @@ def prepare(
     """Validated, split and imputed training data.
 
     Medians come from the training part and are reused when scoring; ``compat`` fits them
-    on all rows instead. The frame is stored once, because splitting, imputing and
-    fitting all read it.
+    on all rows instead. Each step that several later ones read is stored once.
     """
     require_columns(gold, [TARGET_COLUMN, "current_price", "comp_median_price", "asin", "scrape_date"])
     frame = stored(training_frame(gold, min_history), "training_frame")
     require_rows(frame, 10, f"(products need {min_history} days of history)")
-    train, test = time_split(frame, test_size)
-    medians = fit_medians(frame if compat else train, MODEL_COLUMNS)
+    marked = stored(mark_split(frame, test_size), "marked")
+    medians = fit_medians(marked if compat else marked.where("is_train"), MODEL_COLUMNS)
     medians = stored(medians, "medians")
+    filled = stored(impute(marked, medians), "filled")
     return Split(
-        stored(impute(train, medians), "train"), stored(impute(test, medians), "test"), medians
+        filled.where("is_train").drop("is_train"),
+        filled.where("NOT is_train").drop("is_train"),
+        medians,
     )
 
 
@@ -63,7 +65,7 @@ def _record(spark: SparkSession, root: str, version: int, path: str, stage: str,
         version, path, stage, metrics.get("rmse"), metrics.get("mae"), metrics.get("mape"),
         datetime.now(timezone.utc),
     )
-    frame = spark.createDataFrame([row], OPS_MODEL_VERSIONS.schema)
+    frame = literal_rows(spark, [row], OPS_MODEL_VERSIONS.schema)
     frame.coalesce(1).write.mode("append").parquet(OPS_MODEL_VERSIONS.path(root))
 
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -50,6 +53,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
+    """A few rows as literals of one JVM-side projection; no rows give an empty frame."""
+
+    def struct(row: Sequence):
+        cells = zip(row, schema.fields)
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in cells])
+
+    if not rows:
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        return spark.range(0).select(*nothing)
+    return spark.range(1).select(F.inline(F.array(*[struct(r) for r in rows])))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a scratch table and read it back.
 

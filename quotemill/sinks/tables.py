@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..operators.merge import merge_rows
 from ..schemas import OPS_LOAD_AUDIT, OPS_RUN_METRICS, Table
+from ..session import literal_rows
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -31,7 +32,7 @@ def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return literal_rows(spark, [], schema)
 
 
 def conform(df: DataFrame, table: Table) -> DataFrame:
@@ -56,7 +57,7 @@ def _audit(
         "updated": updated,
         "loaded_at": at or datetime.now(timezone.utc),
     }
-    frame = spark.createDataFrame([tuple(row.values())], OPS_LOAD_AUDIT.schema)
+    frame = literal_rows(spark, [tuple(row.values())], OPS_LOAD_AUDIT.schema)
     frame.coalesce(1).write.mode("append").parquet(OPS_LOAD_AUDIT.path(root))
     return row
 
@@ -171,5 +172,5 @@ def log_metrics(spark: SparkSession, root: str, run: str, metrics: dict[str, flo
     """Append one row per metric of a run."""
     now = datetime.now(timezone.utc)
     rows = [(run, name, None if v is None else float(v), now) for name, v in metrics.items()]
-    frame = spark.createDataFrame(rows, OPS_RUN_METRICS.schema)
+    frame = literal_rows(spark, rows, OPS_RUN_METRICS.schema)
     frame.coalesce(1).write.mode("append").parquet(OPS_RUN_METRICS.path(root))

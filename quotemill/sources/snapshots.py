@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions.binning import as_day
 from ..functions.text import normalise_key, strip
 from ..schemas import COMPETITOR_SNAPSHOT, PRODUCT_SNAPSHOT
-from ..session import stored
+from ..session import literal_rows, stored
 
 CORRUPT = "_corrupt_record"
 
@@ -43,7 +43,7 @@ def read_json_folder(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
+        return literal_rows(spark, [], full)
 
 
 def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
