@@ -66,39 +66,45 @@ def payload_outcome(raw: DataFrame) -> DataFrame:
     return raw.agg(F.count_if(parsed).alias("ok"), F.count_if(~parsed).alias("failed"))
 
 
-def _strings(root: Column, name: str) -> Column:
+# Fields of a product's content; the variant ones tell a missing field from a JSON null.
+_PRODUCT = (
+    "struct<asin: string, title: string, brand: string, price: double, currency: string, "
+    "stock: string, rating: double, url: string, images: variant, category: variant, "
+    "categories: variant, category_path: array<string>, buybox: variant, product_overview: variant>"
+)
+
+# Fields of one search result.
+_RESULTS = (
+    "array<struct<asin: string, product_asin: string, title: string, brand: string, price: double, "
+    "currency: string, rating: double, images: array<string>>>"
+)
+
+
+def _strings(field: Column) -> Column:
     """A list field; a missing one is the empty list, an explicit null stays null."""
-    field = F.variant_get(root, f"$.{name}", "variant")
-    return F.when(_present(field), _get(root, f"$.{name}", _STRINGS)).otherwise(
-        F.array().cast(_STRINGS)
-    )
+    return F.when(_present(field), _get(field, "$", _STRINGS)).otherwise(F.array().cast(_STRINGS))
 
 
-def _json_text(root: Column, name: str) -> Column:
-    field = F.variant_get(root, f"$.{name}", "variant")
+def _json_text(field: Column) -> Column:
     return F.when(_present(field), F.to_json(field)).otherwise("[]")
 
 
 def flatten_product_payload(raw: DataFrame) -> DataFrame:
     """Product snapshot rows from (queried_asin, payload, amazon_domain, geo_location, scraped_at)."""
-    rows = with_content(raw)
-    root = F.col("_root")
-    category, categories = _strings(root, "category"), _strings(root, "categories")
-    path = F.filter(_strings(root, "category_path"), lambda c: c.isNotNull() & (c != ""))
+    keep = ["queried_asin", "amazon_domain", "geo_location", "scraped_at"]
+    rows = _once(with_content(raw), keep, c=_get(F.col("_root"), "$", _PRODUCT))
+    category = _strings(F.col("c.category"))
+    path = F.filter("c.category_path", lambda c: c.isNotNull() & (c != ""))
     return rows.select(
-        F.coalesce(F.nullif(_get(root, "$.asin", "string"), F.lit("")), "queried_asin").alias("asin"),
-        _get(root, "$.title", "string").alias("title"),
-        _get(root, "$.brand", "string").alias("brand"),
-        _get(root, "$.price", "double").alias("price"),
-        _get(root, "$.currency", "string").alias("currency"),
-        _get(root, "$.stock", "string").alias("stock"),
-        _get(root, "$.rating", "double").alias("rating"),
-        _get(root, "$.url", "string").alias("url"),
-        _strings(root, "images").alias("images"),
-        F.when(F.size(category) > 0, category).otherwise(categories).alias("categories"),
+        F.coalesce(F.nullif("c.asin", F.lit("")), "queried_asin").alias("asin"),
+        *[f"c.{n}" for n in ("title", "brand", "price", "currency", "stock", "rating", "url")],
+        _strings(F.col("c.images")).alias("images"),
+        F.when(F.size(category) > 0, category)
+        .otherwise(_strings(F.col("c.categories")))
+        .alias("categories"),
         F.coalesce(F.transform(path, lambda c: strip(c)), F.array().cast(_STRINGS)).alias("category_path"),
-        _json_text(root, "buybox").alias("buybox"),
-        _json_text(root, "product_overview").alias("product_overview"),
+        _json_text(F.col("c.buybox")).alias("buybox"),
+        _json_text(F.col("c.product_overview")).alias("product_overview"),
         "amazon_domain",
         "geo_location",
         "scraped_at",
@@ -111,46 +117,39 @@ def flatten_search_payload(raw: DataFrame) -> DataFrame:
     Organic results come before paid ones; the first occurrence of a key wins. Both are
     settled inside the response's own array, so no shuffle is needed.
     """
-    rows = with_content(raw)
     root = F.col("_root")
-    items_type = "array<variant>"
-    none = F.array().cast(items_type)
+    none = F.array().cast(_RESULTS)
     results = F.concat(
-        F.coalesce(_get(root, "$.results.organic", items_type), none),
-        F.coalesce(_get(root, "$.results.paid", items_type), none),
+        F.coalesce(_get(root, "$.results.organic", _RESULTS), none),
+        F.coalesce(_get(root, "$.results.paid", _RESULTS), none),
     )
-    products = F.coalesce(_get(root, "$.products", items_type), none)
+    products = F.coalesce(_get(root, "$.products", _RESULTS), none)
     has_results = _present(F.variant_get(root, "$.results", "variant"))
 
-    def key(item: Column) -> Column:
-        return F.coalesce(
-            F.nullif(_get(item, "$.asin", "string"), F.lit("")),
-            F.nullif(_get(item, "$.product_asin", "string"), F.lit("")),
-        )
+    def key(own: Column, other: Column) -> Column:
+        return F.coalesce(F.nullif(own, F.lit("")), F.nullif(other, F.lit("")))
+
+    def kept(_: Column, i: Column) -> Column:
+        asin = F.get("_keys", i)
+        other = ~asin.eqNullSafe(F.col("parent_asin"))
+        return asin.isNotNull() & other & (F.array_position("_keys", asin) == i + 1)
 
     keep = ["parent_asin", "amazon_domain", "fetched_at"]
-    listed = _once(rows, keep, _items=F.when(has_results, results).otherwise(products))
-    listed = _once(listed, [*keep, "_items"], _keys=F.transform("_items", key))
-    first = F.filter(
-        F.arrays_zip(F.col("_items").alias("item"), F.col("_keys").alias("asin")),
-        lambda pair, i: pair["asin"].isNotNull()
-        & ~pair["asin"].eqNullSafe(F.col("parent_asin"))
-        & (F.array_position("_keys", pair["asin"]) == i + 1),
-    )
-    item = F.col("item")
-    return (
-        listed.select(*keep, F.inline(first))
-        .select(
-            "parent_asin",
-            "asin",
-            _get(item, "$.title", "string").alias("title"),
-            _get(item, "$.brand", "string").alias("brand"),
-            _get(item, "$.price", "double").alias("price"),
-            _get(item, "$.currency", "string").alias("currency"),
-            _get(item, "$.rating", "double").alias("rating"),
-            product_url(F.col("amazon_domain"), F.col("asin")).alias("url"),
-            F.coalesce(_get(item, "$.images", _STRINGS), F.array().cast(_STRINGS)).alias("images"),
-            "amazon_domain",
-            "fetched_at",
-        )
+    listed = _once(with_content(raw), keep, _items=F.when(has_results, results).otherwise(products))
+    keys = F.transform("_items", lambda item: key(item["asin"], item["product_asin"]))
+    listed = _once(listed, [*keep, "_items"], _keys=keys)
+    found = listed.select(*keep, F.inline(F.filter("_items", kept)))
+    asin = key(F.col("asin"), F.col("product_asin"))
+    return found.withColumn("asin", asin).select(
+        "parent_asin",
+        "asin",
+        "title",
+        "brand",
+        "price",
+        "currency",
+        "rating",
+        product_url(F.col("amazon_domain"), F.col("asin")).alias("url"),
+        F.coalesce("images", F.array().cast(_STRINGS)).alias("images"),
+        "amazon_domain",
+        "fetched_at",
     )
