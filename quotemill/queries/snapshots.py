@@ -266,7 +266,10 @@ def stream_bronze(spark, sf):
     )
 
 
-@query("missing_snapshot_day")
+@query(
+    "missing_snapshot_day",
+    chain(f"SELECT '{B.DAY}' AS day, count(*) AS rows FROM bp UNION ALL SELECT '1999-01-01', CAST(0 AS BIGINT)"),
+)
 def missing_snapshot_day(spark, sf):
     """A day without a folder reads as an empty table; reported as a coverage row."""
     root = scratch_path(spark, "snapshots")
