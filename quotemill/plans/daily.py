@@ -52,7 +52,7 @@ def load_bronze(
     """Append the day's snapshots. Tables without any new row are reported as skipped.
 
     Bronze is an audit trail, so a repeated run appends again and silver removes the
-    copies; ``once`` leaves out rows that the day's partition already holds.
+    copies; ``once`` leaves out rows that the partitions of the same days already hold.
     """
     result = DayResult(as_day(day))
     sources = (
@@ -62,8 +62,9 @@ def load_bronze(
     for table, reader, keys in sources:
         rows = reader(spark, snapshots, result.day, multi_line)
         if once:
-            today = read_table(spark, root, table).where(F.col("ingest_date") == F.lit(result.day))
-            rows = new_rows_only(rows, today, keys)
+            days = [r[0] for r in rows.select("ingest_date").distinct().collect()]
+            known = read_table(spark, root, table).where(F.col("ingest_date").isin(days))
+            rows = new_rows_only(rows, known, keys)
         audit = append_table(rows, table, root, result.day.isoformat())
         if audit["rows_in"]:
             result.loads[table.full_name] = audit
@@ -74,14 +75,13 @@ def load_bronze(
 
 def _bronze(spark: SparkSession, root: str, table, day: date | None) -> DataFrame:
     rows = read_table(spark, root, table)
-    return rows if day is None else rows.where(F.col("ingest_date") >= F.lit(day))
+    return rows if day is None else rows.where(F.col("ingest_date") == F.lit(day))
 
 
 def build_silver(spark: SparkSession, root: str, day: str | date | None) -> DayResult:
     """Upsert the day's cleaned prices and competitor map; None rebuilds every day.
 
-    A day's snapshots are never ingested before the day itself, so bronze partitions
-    older than the day are pruned.
+    Bronze is partitioned by the snapshots' own date, so only that partition is read.
     """
     run_day = None if day is None else as_day(day)
     result = DayResult(run_day or as_day(""))

@@ -106,6 +106,7 @@ def _with(schema: T.StructType, spec: str) -> T.StructType:
     return T.StructType(schema.fields + _struct(spec).fields)
 
 
+# ingest_date is the UTC date of the snapshot itself.
 BRONZE_PRODUCTS = Table(
     "bronze", "products", _with(PRODUCT_SNAPSHOT, "_ingested_at:ts ingest_date:date"),
     partition="ingest_date", comment="Raw product snapshots, append-only",

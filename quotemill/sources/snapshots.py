@@ -59,23 +59,23 @@ def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _snapshot(
     spark: SparkSession, root: str, kind: str, day: str | date, schema: T.StructType,
-    required: tuple[str, ...], multi_line: bool,
+    required: tuple[str, ...], time: str, multi_line: bool,
 ) -> DataFrame:
     run_day = as_day(day)
     path = f"{root.rstrip('/')}/{kind}/{run_day.isoformat()}"
     rows = read_json_folder(spark, path, schema, multi_line).drop(CORRUPT)
     for name in required:
         rows = rows.where(F.col(name).isNotNull())
-    return rows.withColumns(
-        {"_ingested_at": F.current_timestamp(), "ingest_date": F.lit(run_day)}
-    )
+    # The partition follows the snapshot's own date: a run that passes midnight writes two.
+    snapshot_day = F.coalesce(F.to_date(time), F.lit(run_day))
+    return rows.withColumns({"_ingested_at": F.current_timestamp(), "ingest_date": snapshot_day})
 
 
 def read_products(
     spark: SparkSession, root: str, day: str | date = "", multi_line: bool = True
 ) -> DataFrame:
     """Product snapshots of one day, keyed rows only, with the ingestion stamp."""
-    return _snapshot(spark, root, "products", day, PRODUCT_SNAPSHOT, ("asin",), multi_line)
+    return _snapshot(spark, root, "products", day, PRODUCT_SNAPSHOT, ("asin",), "scraped_at", multi_line)
 
 
 def read_competitors(
@@ -83,7 +83,7 @@ def read_competitors(
 ) -> DataFrame:
     """Competitor snapshots of one day; every file holds an array, one row per element."""
     required = ("asin", "parent_asin")
-    return _snapshot(spark, root, "competitors", day, COMPETITOR_SNAPSHOT, required, multi_line)
+    return _snapshot(spark, root, "competitors", day, COMPETITOR_SNAPSHOT, required, "fetched_at", multi_line)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

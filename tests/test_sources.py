@@ -46,6 +46,11 @@ def test_products(spark, root):
     assert rows["A"].ingest_date == date(2024, 3, 1) and rows["A"]._ingested_at is not None
 
 
+def test_snapshot_after_midnight_keeps_its_own_day(spark, tmp_path):
+    put(tmp_path / f"products/{DAY}/A.json", json.dumps(product("A", scraped_at="2024-03-02T00:01:00Z")))
+    assert S.read_products(spark, str(tmp_path), DAY).first().ingest_date == date(2024, 3, 2)
+
+
 def test_competitors(spark, root):
     assert sorted(r.asin for r in S.read_competitors(spark, root, DAY).collect()) == ["X", "Y"]
 
