@@ -30,13 +30,36 @@ def texts(docs: DataFrame, *others: str) -> DataFrame:
 
 
 def map_arrow(
-    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[Sequence]], schema: str
+    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[Sequence]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` for a generator of plain columns (lists or arrays) in schema order."""
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in fn(batches):
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            yield pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def with_columns_of_text(docs: DataFrame, fn: Callable[[list[str]], Sequence[Sequence]], added: str) -> DataFrame:
+    """All columns of ``docs`` and those that ``fn`` makes of a batch of texts (null: empty).
+
+    Columns of ``docs`` that share a name (in any case) with an added one are replaced; all
+    others are kept, also with odd or repeated names.
+    """
+    new = StructType.fromDDL(added)
+    taken = {f.name.lower() for f in new.fields}
+    kept = [i for i, c in enumerate(docs.columns) if c.lower() not in taken]
+    names = [docs.columns[i] for i in kept]
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).select(*[f"c{i}" for i in kept])
+    text = f"c{docs.columns.index('text')}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[Sequence]:
+        for batch in batches:
+            yield *batch.columns, *fn([t or "" for t in batch[text].to_pylist()])
+
+    schema = StructType(plain.schema.fields + new.fields)
+    return map_arrow(plain, run, schema).toDF(*names, *new.names)
