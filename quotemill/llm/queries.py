@@ -6,20 +6,47 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import sentencepiece_codec
+from quotemill.session import scratch_path
+
+from . import sentencepiece_codec, token_files, toxicity
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    token_files.write_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return token_files.read_digests(spark, folder)
+
+
 def op4_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return sentencepiece_codec.round_trip_digest(read(spark, sf_dir, "documents"), model)
 
 
+def fold(modulus: int):
+    """The documents' fold: crc32 of the id as text."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").where(fold(5) != 0).select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.score(docs, toxicity.fit(docs, labels)).select(
+        "doc_id",
+        (fold(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op2_token_files": op2_token_files,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
+    "op7_toxicity": op7_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -1,6 +1,7 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the sets of hashed byte n-grams of the lower-cased text. The log-count ratio of
+Features are the sets of hashed byte n-grams of the lower-cased text, with blanks for signs,
+so that n-grams at the start of a word stand out. The log-count ratio of
 each bucket is counted on labelled rows; buckets that say nothing are left out; a logistic
 regression on the presence of the others, each scaled by its ratio, gives the score.
 
@@ -24,8 +25,8 @@ from .tables import map_arrow, texts, with_columns_of_text
 
 class Settings(NamedTuple):
     sample: int = 16_000  #: labelled rows that the fit may read
-    orders: tuple[int, ...] = (4, 5)  #: lengths of n-grams in bytes, at most eight
-    bits: int = 20  #: buckets as a power of two
+    orders: tuple[int, ...] = (6, 7, 8)  #: lengths of n-grams in bytes, at most eight
+    bits: int = 21  #: buckets as a power of two
     smoothing: float = 1.0
     least_rows: int = 4  #: rows that must hold a bucket
     least_ratio: float = 1.5  #: size of a log-count ratio that counts
@@ -40,6 +41,8 @@ class Model(NamedTuple):
     settings: Settings
 
 
+# Letters in lower case; digits and what is not ASCII stay; other bytes become blanks.
+_PLAIN = bytes(ord(chr(b).lower()) if b < 128 and chr(b).isalnum() else b if b >= 128 else 32 for b in range(256))
 #: Bytes that are hashed at a time; longer texts are taken in overlapping pieces.
 PIECE = 1 << 20
 
@@ -47,7 +50,7 @@ PIECE = 1 << 20
 def _joined(batch: list[str], orders: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     """All texts in one byte array, apart by zeros that no n-gram can bridge; their starts."""
     gap = b"\0" * max(orders)
-    parts = [gap + t.encode().lower() for t in batch]
+    parts = [gap + b" " + t.encode().translate(_PLAIN) + b" " for t in batch]
     starts = np.cumsum([0] + [len(p) for p in parts[:-1]]) if parts else np.zeros(0, np.int64)
     return np.frombuffer(b"".join(parts) + gap, np.uint8), starts
 
@@ -109,16 +112,20 @@ def _counts(rows: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray
             row, bucket = features(batch["text"].to_pylist(), settings)
             for k in (0, 1):
                 total[k] += np.bincount(bucket[label[row] == k], minlength=size)
-        for chunk in np.flatnonzero(total.any(0).reshape(-1, width).any(1)).tolist():
-            yield [chunk], [total[:, chunk * width : (chunk + 1) * width].astype("<i4").tobytes()]
+        for chunk in range(size // width):
+            part = total[:, chunk * width : (chunk + 1) * width]
+            held = np.flatnonzero(part.any(0))
+            if len(held):
+                yield [chunk], [np.concatenate([held[None], part[:, held]]).astype("<i4").tobytes()]
 
     def add(batches: Iterator[pa.RecordBatch]):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, part in zip(batch["chunk"].to_pylist(), batch["part"].to_pylist()):
-                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(part, "<i4").astype(np.int64)
+                held, *counts = np.frombuffer(part, "<i4").reshape(3, -1)
+                sums.setdefault(chunk, np.zeros((2, width), "<i8"))[:, held] += counts
         for chunk, total in sums.items():
-            yield [chunk], [total.astype("<i8").tobytes()]
+            yield [chunk], [total.tobytes()]
 
     schema = "chunk int, part binary"
     parts = map_arrow(rows, count, schema).repartition("chunk")
