@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quotemill.session import scratch_path
 
-from . import sentencepiece_codec, token_files, toxicity
+from . import quality_attention, sentencepiece_codec, token_files, toxicity
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,17 @@ def fold(modulus: int):
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+def op6_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").where(fold(3) != 1).select("doc_id", F.col("quality").alias("label"))
+    return quality_attention.score(docs, quality_attention.fit(docs, labels)).select(
+        "doc_id",
+        (fold(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read(spark, sf_dir, "labels").where(fold(5) != 0).select("doc_id", F.col("toxic").alias("label"))
@@ -46,6 +57,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_token_files": op2_token_files,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
+    "op6_quality_attention": op6_quality_attention,
     "op7_toxicity": op7_toxicity,
 }
 

@@ -63,3 +63,21 @@ def with_columns_of_text(docs: DataFrame, fn: Callable[[list[str]], Sequence[Seq
 
     schema = StructType(plain.schema.fields + new.fields)
     return map_arrow(plain, run, schema).toDF(*names, *new.names)
+
+
+def labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """At most ``sample`` labelled rows with their texts: ``doc_id, text, label``.
+
+    ``labels`` has ``doc_id, label``; rows without either are left out, and of repeated ids
+    the largest label counts. The rows are the first by a hash of the id, so their number
+    and with it the broadcast is bounded.
+    """
+    kept = (
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
+        .dropna()
+        .groupBy("doc_id")
+        .agg(F.max("label").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(sample)
+    )
+    return texts(docs).join(F.broadcast(kept), "doc_id")

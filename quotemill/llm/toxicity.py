@@ -18,9 +18,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .tables import map_arrow, texts, with_columns_of_text
+from .tables import labelled, map_arrow, with_columns_of_text
 
 
 class Settings(NamedTuple):
@@ -71,34 +70,38 @@ def _buckets(data: np.ndarray, settings: Settings) -> Iterator[tuple[int, np.nda
             yield at, (gram >> np.uint64(64 - settings.bits)).astype(np.int64)
 
 
-def features(batch: list[str], settings: Settings, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, bucket) pairs, sorted; only chosen buckets if a mask is given."""
+def features(batch: list[str], settings: Settings, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row, bucket) pairs of the chosen buckets (a mask), sorted."""
     data, starts = _joined(batch, settings.orders)
     found = []
     for at, buckets in _buckets(data, settings):
-        places = np.arange(len(buckets)) if chosen is None else np.flatnonzero(chosen[buckets])
+        places = np.flatnonzero(chosen[buckets])
         rows = np.searchsorted(starts, places + at, "right") - 1
-        found.append(np.unique((rows << settings.bits) | buckets[places]))
+        found.append((rows << settings.bits) | buckets[places])
     pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
     return pairs >> settings.bits, pairs & ((1 << settings.bits) - 1)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """At most ``sample`` labelled rows with their texts: ``doc_id, text, label``.
+class _Distinct:
+    """All distinct buckets of a text, in time linear in its length."""
 
-    ``labels`` has ``doc_id, label``; rows without either are left out, and of repeated ids
-    the largest label counts. The rows are the first by a hash of the id, so their number
-    and with it the broadcast is bounded.
-    """
-    kept = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
-        .dropna()
-        .groupBy("doc_id")
-        .agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample)
-    )
-    return texts(docs).join(F.broadcast(kept), "doc_id")
+    def __init__(self, settings: Settings):
+        self._settings = settings
+        self._seen = np.zeros(1 << settings.bits, bool)
+        self._place = np.zeros(1 << settings.bits, np.int32)
+
+    def of(self, text: str) -> np.ndarray:
+        found = []
+        for _, buckets in _buckets(_joined([text], self._settings.orders)[0], self._settings):
+            new = buckets[~self._seen[buckets]]
+            places = np.arange(len(new), dtype=np.int32)
+            self._place[new] = places
+            new = new[self._place[new] == places]
+            self._seen[new] = True
+            found.append(new)
+        out = np.concatenate(found) if found else np.zeros(0, np.int64)
+        self._seen[out] = False
+        return out
 
 
 def _counts(rows: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -106,12 +109,10 @@ def _counts(rows: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray
     size, width = 1 << settings.bits, 1 << 12
 
     def count(batches: Iterator[pa.RecordBatch]):
-        total = np.zeros((2, size), np.int64)
+        total, distinct = np.zeros((2, size), np.int32), _Distinct(settings)
         for batch in batches:
-            label = np.array(batch["label"].to_pylist(), np.int64)
-            row, bucket = features(batch["text"].to_pylist(), settings)
-            for k in (0, 1):
-                total[k] += np.bincount(bucket[label[row] == k], minlength=size)
+            for label, text in zip(batch["label"].to_pylist(), batch["text"].to_pylist()):
+                total[int(label > 0), distinct.of(text)] += 1
         for chunk in range(size // width):
             part = total[:, chunk * width : (chunk + 1) * width]
             held = np.flatnonzero(part.any(0))
