@@ -1,7 +1,7 @@
 """Quality: attention-based multiple-instance learning over the passages of a document.
 
 A document is a bag of passages of fixed length. Each passage is described by the shares of
-its byte classes and hashed byte trigrams and encoded by one hidden layer. Gated attention
+its byte classes and hashed byte trigrams and by how much it repeats itself, and encoded by one hidden layer. Gated attention
 (a tanh part times a sigmoid part) weighs the passages; weights and encoder are learned
 from document labels alone, and the logistic score is that of the weighted mean of the
 encoded passages.
@@ -38,7 +38,8 @@ class Model(NamedTuple):
 
 
 CLASSES, TRIGRAMS = 64, 128
-WIDTH = CLASSES + TRIGRAMS
+REPEATS, LONG_GRAMS = 3, 1024
+WIDTH = CLASSES + TRIGRAMS + REPEATS
 #: Passages that are counted at a time; longer texts are taken in slices.
 SLICE = 2048
 
@@ -81,7 +82,33 @@ def _count(slices: list[bytes], size: int) -> np.ndarray:
     grams = np.bincount(row * TRIGRAMS + gram, minlength=total * TRIGRAMS)
     counts = np.hstack([classes.reshape(total, CLASSES), grams.reshape(total, TRIGRAMS)])
     held = np.maximum(1, np.bincount(row, minlength=total))
-    return (counts / held[:, None]).astype(np.float32)
+    return np.hstack([counts / held[:, None], _repeats(wide[:-2], row, total, held)]).astype(np.float32)
+
+
+def _repeats(wide: np.ndarray, row: np.ndarray, total: int, held: np.ndarray) -> np.ndarray:
+    """Per passage: share of words like the word before, of words, and of distinct six-grams."""
+    out = np.zeros((total, REPEATS))
+    if len(wide) < 6:
+        return out
+    gram = np.zeros(len(wide) - 5, np.int64)
+    for k in range(6):
+        gram = gram * 31 + wide[k : k + len(gram)]
+    gram = gram * 0x9E3779B1 >> 16 & (LONG_GRAMS - 1)
+    seen = np.zeros(total * LONG_GRAMS, bool)
+    seen[row[: len(gram)] * LONG_GRAMS + gram] = True
+    out[:, 2] = seen.reshape(total, -1).sum(1) / held
+    ink = wide > 32
+    starts = np.flatnonzero(ink & ~np.append(False, ink[:-1]))
+    if len(starts) < 2:
+        return out
+    inside = np.arange(starts[0], len(wide)) - np.repeat(starts, np.diff(np.append(starts, len(wide))))
+    power = np.cumprod(np.append(1, np.full(63, 1_000_003)))
+    word = np.add.reduceat((wide * ink)[starts[0] :] * power[np.minimum(inside, 63)], starts - starts[0])
+    same = (word[1:] == word[:-1]) & (row[starts[1:]] == row[starts[:-1]])
+    words = np.bincount(row[starts], minlength=total)
+    out[:, 0] = np.bincount(row[starts[1:]][same], minlength=total) / np.maximum(1, words)
+    out[:, 1] = words / held
+    return out
 
 
 def passages(batch: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
