@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quotemill.session import scratch_path
 
-from . import quality_attention, sentencepiece_codec, token_files, toxicity
+from . import decontamination, quality_attention, sentencepiece_codec, token_files, toxicity
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,11 +54,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_token_files": op2_token_files,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
     "op6_quality_attention": op6_quality_attention,
     "op7_toxicity": op7_toxicity,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
