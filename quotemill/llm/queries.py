@@ -10,12 +10,18 @@ from pyspark.sql import functions as F
 
 from quotemill.session import scratch_path
 
-from . import decontamination, quality_attention, sentencepiece_codec, token_files, toxicity
+from . import decontamination, quality_attention, sentencepiece_codec, simhash, token_files, toxicity
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_files.write_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
@@ -59,6 +65,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
     "op6_quality_attention": op6_quality_attention,
