@@ -21,6 +21,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, filterfalse
 from pathlib import Path
 from typing import NamedTuple
 
@@ -37,12 +38,16 @@ from .tables import map_arrow, texts
 #: Stands in the files for a missing document id.
 NO_ID = -(2**63)
 #: Stretches of text whose ids a worker keeps; the table is emptied when it is full.
-KEPT = 400_000
+KEPT = 600_000
 KEPT_LENGTH = 64
 # White space as Unicode defines it, which is what the vocabulary's own splitting uses.
 _WHITE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
-_STRETCH = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
-_WORD_MARKS = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|%$#&*]+)")
+_LETTERS, _MARKS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", ".,;:!?|%$#&*"
+# Words before marks and the marks apart, other runs between white space whole, white space.
+_STRETCH = re.compile(
+    f" ?[{_LETTERS}]+(?=[{_MARKS}]*(?:[{_WHITE}]|\\Z))|[{_MARKS}]+(?=[{_WHITE}]|\\Z)"
+    f"| ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
+)
 
 
 class Shard(NamedTuple):
@@ -72,22 +77,11 @@ class ByteEncoder:
 
     def _whole(self, batch: list[str]) -> list[bytes]:
         """Ids' bytes of whole texts."""
-        encoded = self._tokenizer.encode_batch_fast(batch, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
-
-    def _learn(self, new: list[str]) -> None:
-        """Encode stretches; a word followed by marks is put together from both."""
-        kept, joined, apart = self._kept, [], set()
-        for stretch in new:
-            if found := _WORD_MARKS.fullmatch(stretch):
-                joined.append((stretch, *found.groups()))
-                apart.update(joined[-1][1:])
-            else:
-                apart.add(stretch)
-        rest = [s for s in apart if s not in kept]
-        kept.update(zip(rest, self._whole(rest)))
-        for stretch, word, marks in joined:
-            kept[stretch] = kept[word] + kept[marks]
+        encoded = [e.ids for e in self._tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
+        ends = list(accumulate(map(len, encoded)))
+        data = np.fromiter(chain.from_iterable(encoded), self.dtype, ends[-1] if ends else 0).tobytes()
+        size = self.dtype.itemsize
+        return [data[a * size : b * size] for a, b in zip([0, *ends], ends)]
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """The ids' bytes of each text."""
@@ -100,17 +94,18 @@ class ByteEncoder:
                 split.append((i, _STRETCH.findall(text)))
         for i, ids in zip(whole, self._whole([batch[i] for i in whole])):
             out[i] = ids
-        seen: set[str] = set()
-        for _, stretches in split:
-            seen.update(stretches)
         if len(self._kept) > KEPT:
             self._kept.clear()
-        self._learn([s for s in seen if s not in self._kept])
+        new: set[str] = set()
+        for _, stretches in split:
+            new.update(filterfalse(self._kept.__contains__, stretches))
+        listed = list(new)
+        self._kept.update(zip(listed, self._whole(listed)))
         for i, stretches in split:
             out[i] = b"".join(map(self._kept.__getitem__, stretches))
-        for stretch in seen:
+        for stretch in listed:
             if len(stretch) > KEPT_LENGTH:
-                self._kept.pop(stretch, None)
+                del self._kept[stretch]
         return out
 
 
