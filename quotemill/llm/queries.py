@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quotemill.session import scratch_path
 
-from . import decontamination, multi_index, quality_attention, sentencepiece_codec, simhash, token_files, toxicity
+from . import decontamination, log_bilinear, multi_index, quality_attention, sentencepiece_codec, simhash, token_files, toxicity
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = log_bilinear.fit_and_score(read(spark, sf_dir, "documents"), fold(7) != 2)
+    return scored.withColumn("held_out", fold(7) == 2)
+
+
 def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return multi_index.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
@@ -75,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
     "op6_quality_attention": op6_quality_attention,
     "op7_toxicity": op7_toxicity,
+    "op8_log_bilinear": op8_log_bilinear,
     "op9_multi_index": op9_multi_index,
     "op10_decontamination": op10_decontamination,
 }
