@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quotemill.session import scratch_path
 
-from . import decontamination, log_bilinear, multi_index, quality_attention, sentencepiece_codec, simhash, token_files, toxicity
+from . import decontamination, log_bilinear, multi_index, quality_attention, sentencepiece_codec, simhash, substring_repeats, token_files, toxicity
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, folder)
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_repeats.digest(read(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return sentencepiece_codec.round_trip_digest(read(spark, sf_dir, "documents"), model)
@@ -77,6 +81,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
+    "op3_suffix_array": op3_suffix_array,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
     "op6_quality_attention": op6_quality_attention,
     "op7_toxicity": op7_toxicity,
