@@ -200,8 +200,10 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _cut(text: str, spans: list[int]) -> str:
+def _cut(text: str | None, spans: list[int]) -> str | None:
     """The text without the words of the spans and what stands between them."""
+    if not text or not spans:
+        return text
     places = [m.span() for m in _WORD.finditer(text)]
     out, at = [], 0
     for a, b in zip(spans[::2], spans[1::2]):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quotemill.session import scratch_path
 
-from . import decontamination, log_bilinear, multi_index, quality_attention, sentencepiece_codec, simhash, substring_repeats, token_files, toxicity
+from . import decontamination, log_bilinear, multi_index, passages, quality_attention, sentencepiece_codec, simhash, substring_repeats, token_files, toxicity
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def fold(modulus: int):
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_passages(read(spark, sf_dir, "documents"))
+
+
 def op6_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read(spark, sf_dir, "labels").where(fold(3) != 1).select("doc_id", F.col("quality").alias("label"))
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_files": op2_token_files,
     "op3_suffix_array": op3_suffix_array,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
+    "op5_passages": op5_passages,
     "op6_quality_attention": op6_quality_attention,
     "op7_toxicity": op7_toxicity,
     "op8_log_bilinear": op8_log_bilinear,
