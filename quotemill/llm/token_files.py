@@ -21,7 +21,8 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain, filterfalse
+from itertools import accumulate, chain, compress
+from operator import not_
 from pathlib import Path
 from typing import NamedTuple
 
@@ -38,7 +39,7 @@ from .tables import map_arrow, texts
 #: Stands in the files for a missing document id.
 NO_ID = -(2**63)
 #: Stretches of text whose ids a worker keeps; the table is emptied when it is full.
-KEPT = 600_000
+KEPT = 1_200_000
 KEPT_LENGTH = 64
 # White space as Unicode defines it, which is what the vocabulary's own splitting uses.
 _WHITE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -96,13 +97,17 @@ class ByteEncoder:
             out[i] = ids
         if len(self._kept) > KEPT:
             self._kept.clear()
+        # One look-up a stretch; only those not found are looked up again.
+        known = [list(map(self._kept.get, stretches)) for _, stretches in split]
         new: set[str] = set()
-        for _, stretches in split:
-            new.update(filterfalse(self._kept.__contains__, stretches))
+        for (_, stretches), ids in zip(split, known):
+            new.update(compress(stretches, map(not_, ids)))
         listed = list(new)
         self._kept.update(zip(listed, self._whole(listed)))
-        for i, stretches in split:
-            out[i] = b"".join(map(self._kept.__getitem__, stretches))
+        for (i, stretches), ids in zip(split, known):
+            for at in [n for n, found in enumerate(ids) if found is None]:
+                ids[at] = self._kept[stretches[at]]
+            out[i] = b"".join(ids)
         for stretch in listed:
             if len(stretch) > KEPT_LENGTH:
                 del self._kept[stretch]
