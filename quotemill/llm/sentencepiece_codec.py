@@ -206,7 +206,7 @@ class PieceCodec:
         encoding puts first is taken away.
         """
         joined = b"".join(map(self.surface.__getitem__, ids))
-        if joined[:1] == b" " and not self.is_byte[ids[0]]:
+        if joined[:1] == b" " and self._first_blank(ids):
             joined = joined[1:]
         try:
             return joined.decode()
@@ -240,7 +240,12 @@ class PieceCodec:
                 out.append(self.surface[i].decode())
         flush()
         text = "".join(out)
-        return text[1:] if text[:1] == " " and not self.is_byte[ids[0]] else text
+        return text[1:] if text[:1] == " " and self._first_blank(ids) else text
+
+    def _first_blank(self, ids: list[int]) -> bool:
+        """Whether the first id with a surface is a piece, and its blank that of encoding."""
+        first = next(i for i in ids if self.surface[i])
+        return not self.is_byte[first] and first != self.unknown
 
 
 @lru_cache(maxsize=2)
