@@ -5,10 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.binning import as_day
 from ..functions.pricing import rounded
@@ -16,72 +14,19 @@ from ..rules import FEATURE_COLUMNS
 from .features import unpivot
 from .ordered import running_counts
 
-# Sample size above which the limiting distribution replaces the exact one.
-EXACT_LIMIT = 10_000
-
-
-def _p_value_functions():
-    """The p-value helpers as closures, so that Spark ships them to workers by value."""
-    from math import exp, gcd, lgamma, log
-
-    import numpy as np
-
-    def exact(statistic: float, n: int, m: int) -> float:
-        """Exact two-sided p-value: share of lattice paths that leave the band of width D.
-
-        A path from (0, 0) to (n, m) stays inside while |i/n - j/m| < D. Path counts of
-        one lattice row are a running sum of the row before it, rescaled against overflow.
-        """
-        common = n * m // gcd(n, m)
-        width = round(statistic * common)
-        if width == 0:
-            return 1.0
-        up, right = common // n, common // m
-        across = np.arange(m + 1) * right
-        row = (across < width).astype(float)
-        log_scale = 0.0
-        for i in range(1, n + 1):
-            inside = np.abs(i * up - across) < width
-            row = np.where(inside, np.cumsum(np.where(inside, row, 0.0)), 0.0)
-            top = row.max()
-            if top == 0.0:
-                return 1.0
-            row /= top
-            log_scale += log(top)
-        if row[m] == 0.0:
-            return 1.0
-        log_all = lgamma(n + m + 1) - lgamma(n + 1) - lgamma(m + 1)
-        return float(min(1.0, max(0.0, 1.0 - exp(log(row[m]) + log_scale - log_all))))
-
-    def asymptotic(statistic: float, n: int, m: int) -> float:
-        """Kolmogorov's limiting series."""
-        lam = statistic * (n * m / (n + m)) ** 0.5
-        if lam < 0.04:
-            return 1.0
-        k = np.arange(1, 101)
-        total = 2 * np.sum((-1.0) ** (k - 1) * np.exp(-2 * (k * lam) ** 2))
-        return float(min(1.0, max(0.0, total)))
-
-    return exact, asymptotic
-
-
-ks_exact_p, ks_asymptotic_p = _p_value_functions()
-
-
-def _p_value_udf():
-    """Vectorised p-value; runs on one row per feature, after all aggregation."""
-    exact, asymptotic, limit = ks_exact_p, ks_asymptotic_p, EXACT_LIMIT
-
-    def p_values(statistic: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                (exact if max(a, b) <= limit else asymptotic)(d, int(a), int(b))
-                for d, a, b in zip(statistic, n, m)
-            ],
-            dtype=float,
-        )
-
-    return F.pandas_udf(p_values, T.DoubleType())
+# Terms of the limiting series.
+TERMS = 100
+
+
+def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
+    """Two-sided p-value by Kolmogorov's limiting series, at every sample size."""
+    scaled = statistic * F.sqrt(n * m / (n + m))
+    total = F.aggregate(
+        F.sequence(F.lit(1), F.lit(TERMS)),
+        F.lit(0.0),
+        lambda sum_, k: sum_ + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2 * F.pow(k * scaled, F.lit(2))),
+    )
+    return F.when(scaled < 0.04, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
 
 
 def ks_statistics(
@@ -138,9 +83,9 @@ def drift_report(
 ) -> DataFrame:
     """Rounded report, drifted features first; the flag uses unrounded figures."""
     stats = drift_statistics(gold, day, lookback, features)
-    tested = stats.withColumn("_p", _p_value_udf()("ks_statistic", "baseline_rows", "current_rows"))
+    p_value = ks_p_value(F.col("ks_statistic"), F.col("baseline_rows"), F.col("current_rows"))
+    tested = stats.withColumn("_p", p_value)
     drifted = (F.col("_p") < p_thresh) | (F.col("mean_drift_pct") > mean_thresh)
-    largest = F.greatest("baseline_rows", "current_rows")
     return tested.select(
         "feature",
         rounded(F.col("ks_statistic"), 4).alias("ks_statistic"),
@@ -149,7 +94,6 @@ def drift_report(
         rounded(F.col("current_mean"), 4).alias("current_mean"),
         rounded(F.col("mean_drift_pct"), 2).alias("mean_drift_pct"),
         drifted.alias("drifted"),
-        F.when(largest <= EXACT_LIMIT, "exact").otherwise("asymptotic").alias("method"),
     ).orderBy(F.desc("drifted"), "feature")
 
 

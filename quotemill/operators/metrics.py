@@ -31,7 +31,10 @@ def regression_metrics(
 def quality_gate(
     metrics: DataFrame, max_rmse: float | None = None, max_mape: float | None = None
 ) -> DataFrame:
-    """Metrics with ``passed`` and ``message``; an absent threshold always passes."""
+    """Metrics with ``passed`` and ``message``; an absent threshold always passes.
+
+    Metrics of no rows never pass.
+    """
     verdict = F.lit("All quality gates passed")
     failed = F.lit(False)
     if max_mape is not None:
@@ -44,27 +47,26 @@ def quality_gate(
         failed = failed | F.coalesce(over, F.lit(False))
         text = F.format_string(f"RMSE %.4f exceeds threshold {max_rmse}", F.col("rmse"))
         verdict = F.when(over, text).otherwise(verdict)
+    if "n_asins" in metrics.columns:
+        nothing = F.col("n_asins") == 0
+        failed = failed | nothing
+        verdict = F.when(nothing, "No rows to evaluate").otherwise(verdict)
     return metrics.select("*", (~failed).alias("passed"), verdict.alias("message"))
 
 
 def recent_predictions(
-    predictions: DataFrame, day: str | date, lookback: int = 7, compat_row_cap: bool = False
+    predictions: DataFrame, day: str | date, lookback: int = 7
 ) -> DataFrame:
-    """Predictions of the last ``lookback`` days up to ``day``.
-
-    ``compat_row_cap`` takes the newest ``lookback * 100`` rows instead of a date range.
-    """
+    """Predictions of the last ``lookback`` days up to ``day``."""
     end = as_day(day)
     past = predictions.where(F.col("scrape_date") <= F.lit(end))
-    if compat_row_cap:
-        return past.orderBy(F.desc("scrape_date"), "asin").limit(lookback * 100)
     return past.where(F.col("scrape_date") > F.lit(end - timedelta(days=lookback)))
 
 
 def daily_model_metrics(
-    predictions: DataFrame, day: str | date, lookback: int = 7, compat_row_cap: bool = False
+    predictions: DataFrame, day: str | date, lookback: int = 7
 ) -> DataFrame:
-    rows = recent_predictions(predictions, day, lookback, compat_row_cap)
+    rows = recent_predictions(predictions, day, lookback)
     return regression_metrics(rows, "current_price", "predicted_price", ["scrape_date"])
 
 

@@ -6,7 +6,7 @@ count rows per group (one aggregation, combined map-side). If no group is above
 distributed one:
 
 * count per distinct value, again combined map-side, so ties collapse before the shuffle,
-* cut the value axis into fixed, order-preserving buckets,
+* cut the values into order-preserving buckets of about equal numbers of distinct values,
 * prefix-sum the bucket totals, then the values inside each bucket.
 
 Both plans are exact. The count runs when the plan is built, so give these operators
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from ..rules import BROADCAST_ROWS, HOT_GROUP_ROWS
 from ..session import stored
 
-# Buckets per unit of ln(1 + |value|): each spans about 0.1 % of its value.
-BUCKETS_PER_LOG = 1024
+# Buckets that the values of a group are cut into.
+BUCKETS = 128
 
 
 def latest_per(df: DataFrame, keys: Sequence[str], newest: str, ties: Sequence[str] = ()) -> DataFrame:
@@ -81,9 +81,19 @@ def split_hot(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) -
     )
 
 
-def value_bucket(col: Column) -> Column:
-    """Order-preserving bucket number; depends on the value alone, not on the data."""
-    return (F.signum(col) * F.floor(F.log1p(F.abs(col)) * BUCKETS_PER_LOG)).cast("int")
+def value_cuts(counts: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Up to ``BUCKETS`` - 1 cut points per group, taken from its own distinct values.
+
+    A mergeable sketch of one bounded size per group, so the buckets stay even whatever the
+    scale of the values; NaN and infinities are ordinary ends of the order.
+    """
+    points = F.array(*[F.lit(k / BUCKETS) for k in range(1, BUCKETS)])
+    return counts.groupBy(*by).agg(F.percentile_approx(value, points, 10 * BUCKETS).alias("_cuts"))
+
+
+def value_bucket(cuts: Column, value: Column) -> Column:
+    """Order-preserving bucket number: the cuts below the value."""
+    return F.size(F.filter(cuts, lambda cut: cut < value))
 
 
 def running_counts(
@@ -91,12 +101,14 @@ def running_counts(
 ) -> DataFrame:
     """Add ``<c>_before`` (rows with a smaller value) and ``<c>_total`` for each count.
 
-    ``counts`` holds one row per (by, value). The window over bucket totals sees at most
-    a few thousand rows per group whatever the data size; the window inside a bucket sees
-    only distinct values within 0.1 % of each other.
+    ``counts`` holds one row per (by, value), without null values. The window over bucket
+    totals sees at most ``BUCKETS`` rows per group whatever the data size; the window inside
+    a bucket sees about one in ``BUCKETS`` of the group's distinct values.
     """
     by = list(by)
-    bucketed = counts.withColumn("_bucket", value_bucket(F.col(value)))
+    cuts = value_cuts(counts, by, value)
+    cut = counts.join(cuts, by) if by else counts.crossJoin(F.broadcast(cuts))
+    bucketed = cut.withColumn("_bucket", value_bucket(F.col("_cuts"), F.col(value))).drop("_cuts")
     totals = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(c) for c in columns])
     whole = Window.partitionBy(*by)
     earlier = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -130,13 +142,24 @@ def rank_rows(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataF
 
 
 def rank_rows_distributed(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """The same rank, spread over buckets of the value. Keys and value must not be null."""
+    """The same rank, spread over buckets of the value. Keys must not be null.
+
+    As in ``rank()``, null values come first and share rank 1, NaN comes last.
+    """
     keys = list(keys)
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranks = running_counts(counts, keys, value, ["_n"]).select(
-        *keys, value, (F.col("_n_before") + 1).cast("int").alias(out)
+    missing = F.col(value).isNull()
+    nulls = counts.where(missing).select(*keys, F.col("_n").alias("_nulls"))
+    placed = running_counts(counts.where(~missing), keys, value, ["_n"]).join(nulls, keys, "left")
+    place = (F.col("_n_before") + F.coalesce("_nulls", F.lit(0)) + 1).cast("int")
+    ranks = placed.select(*keys, F.col(value).alias("_value"), place.alias(out)).unionByName(
+        nulls.select(*keys, F.lit(None).cast(df.schema[value].dataType).alias("_value"), F.lit(1).alias(out))
     )
-    return df.join(ranks, [*keys, value])
+    ranks = ranks.select(*[F.col(k).alias(f"_{k}") for k in keys], "_value", out)
+    same = F.col(value).eqNullSafe(F.col("_value"))
+    for key in keys:
+        same = same & (F.col(key) == F.col(f"_{key}"))
+    return df.join(ranks, same).drop("_value", *[f"_{k}" for k in keys])
 
 
 def _percentile_columns(points: dict[str, float]) -> list[Column]:
@@ -151,7 +174,8 @@ def _percentile_columns(points: dict[str, float]) -> list[Column]:
             return F.max(F.when(inside, F.col("_value")))
 
         lower = F.max(F.when(F.col("_n_total") > 0, spot - low))
-        columns.append((at(low) * (1 - lower) + at(high) * lower).alias(name))
+        between = at(low) * (1 - lower) + at(high) * lower
+        columns.append(F.when(at(low) == at(high), at(low)).otherwise(between).alias(name))
     return columns
 
 

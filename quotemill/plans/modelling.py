@@ -130,6 +130,7 @@ def evaluate(
     model, medians = load_version(spark, version)
     frame = training_frame(read_table(spark, root, GOLD_PRICE_FEATURES), min_history)
     _, test = time_split(stored(frame, "evaluation_frame"), test_size)
+    require_rows(test, 1, "(held-out rows of the quality gate)")
     scored = predict(model, impute(test, medians))
     verdict = quality_gate(
         regression_metrics(scored, TARGET_COLUMN, PREDICTION), max_rmse, max_mape

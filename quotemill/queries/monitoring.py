@@ -81,17 +81,6 @@ def daily_model_metrics(spark, sf):
     return M.daily_model_metrics(B.predictions(spark, sf), B.DAY)
 
 
-@query(
-    "daily_model_metrics_row_cap",
-    chain(
-        f"SELECT {_DATE}, {_METRICS} FROM (SELECT * FROM pred WHERE scrape_date <= DATE '{B.DAY}' "
-        "ORDER BY scrape_date DESC, asin LIMIT 700) GROUP BY scrape_date"
-    ),
-)
-def daily_model_metrics_row_cap(spark, sf):
-    return M.daily_model_metrics(B.predictions(spark, sf), B.DAY, compat_row_cap=True)
-
-
 _DAILY = {
     "daily": "SELECT scrape_date, sqrt(avg((current_price - predicted_price) * (current_price - predicted_price))) AS rmse, "
     "avg(abs(current_price - predicted_price)) AS mae, "
@@ -290,11 +279,40 @@ def drift_statistics(spark, sf):
     return D.drift_statistics(B.stored_gold(spark, sf), B.DAY)
 
 
-@query("drift_report")
+_P_VALUE = (
+    "CASE WHEN lam < 0.04 THEN 1.0 ELSE greatest(0.0, least(1.0, list_sum(list_transform(range(1, 101), "
+    "k -> (CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2 * pow(k * lam, 2)))))) END"
+)
+_REPORT = {
+    **_DRIFT,
+    "stat": "SELECT tot.feature, d, nb, nc, mb, mc, CASE WHEN mb <> 0 THEN abs(mc - mb) / abs(mb) * 100 ELSE 0 END AS drift, "
+    "d * sqrt(CAST(nb AS DOUBLE) * nc / (nb + nc)) AS lam FROM tot JOIN ks ON ks.feature = tot.feature WHERE nb > 0 AND nc > 0",
+    "tested": f"SELECT *, {_P_VALUE} AS p FROM stat",
+    "report": "SELECT *, p < 0.05 OR drift > 20.0 AS drifted FROM tested",
+}
+
+
+@query(
+    "drift_report",
+    chain(
+        f"SELECT feature, {decimals('d', 4)} AS ks_statistic, {decimals('p', 4)} AS p_value, {decimals('mb', 4)} AS baseline_mean, "
+        f"{decimals('mc', 4)} AS current_mean, {decimals('drift', 2)} AS mean_drift_pct, drifted FROM report",
+        **_REPORT,
+    ),
+)
 def drift_report(spark, sf):
     return D.drift_report(B.stored_gold(spark, sf), B.DAY)
 
 
-@query("drift_summary")
+@query(
+    "drift_summary",
+    chain(
+        "SELECT count(*) FILTER (WHERE drifted) AS drifted_feature_count, "
+        "coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE drifted), '') AS drifted_features, "
+        "CASE WHEN count(*) = 0 THEN 'skipped — insufficient data' WHEN count(*) FILTER (WHERE drifted) > 0 THEN 'drift detected' "
+        "ELSE 'no drift' END AS status FROM report",
+        **_REPORT,
+    ),
+)
 def drift_summary(spark, sf):
     return D.drift_summary(D.drift_report(B.stored_gold(spark, sf), B.DAY))

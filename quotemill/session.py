@@ -40,7 +40,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="quotemill-")
     if not context.getCheckpointDir():

@@ -35,6 +35,17 @@ def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
         return literal_rows(spark, [], schema)
 
 
+def _register(spark: SparkSession, table: Table, root: str) -> None:
+    """Make new partitions known to the catalog, where it holds the table at this place."""
+    if not (table.partition and spark.catalog.tableExists(table.full_name)):
+        return
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table.full_name}").where("col_name = 'Location'").first()
+    place = facts["data_type"].removeprefix("file:").rstrip("/") if facts else ""
+    if place.lstrip("/") == table.path(root).removeprefix("file:").rstrip("/").lstrip("/"):
+        spark.sql(f"MSCK REPAIR TABLE {table.full_name}")
+        spark.catalog.refreshTable(table.full_name)
+
+
 def conform(df: DataFrame, table: Table) -> DataFrame:
     """Columns in table order and type; columns the frame lacks are null."""
     columns = []
@@ -81,6 +92,7 @@ def _overwrite_partitions(df: DataFrame, table: Table, root: str) -> None:
         .partitionBy(table.partition)
         .parquet(table.path(root))
     )
+    _register(df.sparkSession, table, root)
 
 
 def _staged(df: DataFrame, table: Table, root: str) -> DataFrame:
@@ -101,6 +113,7 @@ def append_table(df: DataFrame, table: Table, root: str, batch: str = "") -> dic
     else:
         writer = rows.write.mode("append")
     writer.parquet(table.path(root))
+    _register(df.sparkSession, table, root)
     n = seen.get["n"]
     return _audit(df.sparkSession, root, table, batch, "APPEND", n, n, 0)
 
@@ -123,7 +136,8 @@ def upsert_table(
 
     The staged rows are stored first: they are read for the key check, the partition list
     and the merge. Duplicate source keys raise before anything is written. The partition
-    list holds at most one value per day of the load.
+    list holds at most one value per day of the load. Rows without a value in a NOT NULL
+    column raise as well.
     """
     spark = source.sparkSession
     staged = source
@@ -131,8 +145,14 @@ def upsert_table(
         staged = staged.withColumn(table.stamp, F.current_timestamp())
     staged = _staged(conform(staged, table), table, root)
     day = table.partition
-    per_key = staged.groupBy(*table.keys).agg(F.count(F.lit(1)).alias("_n"))
-    per_day = per_key.groupBy(day).agg(F.sum("_n").alias("rows"), F.max("_n").alias("most")).collect()
+    required = [f.name for f in table.schema.fields if not f.nullable]
+    missing = sum((F.when(F.col(c).isNull(), 1).otherwise(0) for c in required), F.lit(0))
+    per_key = staged.groupBy(*table.keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(missing).alias("_missing"))
+    per_day = per_key.groupBy(day).agg(
+        F.sum("_n").alias("rows"), F.max("_n").alias("most"), F.sum("_missing").alias("missing")
+    ).collect()
+    if any(r["missing"] for r in per_day):
+        raise ValueError(f"source rows for {table.full_name} lack a value in one of {required}")
     if any(r["most"] > 1 for r in per_day):
         raise ValueError(f"source rows for {table.full_name} repeat a key {table.keys}")
     rows_in = sum(r["rows"] for r in per_day)

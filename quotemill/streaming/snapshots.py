@@ -16,6 +16,7 @@ from ..schemas import (
     SILVER_PRICE_HISTORY,
     Table,
 )
+from ..session import stored
 from ..sinks.tables import conform, read_table, upsert_table
 
 
@@ -94,9 +95,10 @@ def upsert_silver_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         own = batch.where("_kind = 'product'").select(*products.columns)
         rivals = batch.where("_kind = 'competitor'").select(*competitors.columns)
-        staged = silver_price_history(own, rivals)
-        stored = read_table(batch.sparkSession, root, SILVER_PRICE_HISTORY)
-        fresh = newer_than_stored(staged, stored, SILVER_PRICE_HISTORY.keys)
+        staged = stored(silver_price_history(own, rivals), "micro_batch")
+        days = [r[0] for r in staged.select("scrape_date").distinct().collect()]
+        known = read_table(batch.sparkSession, root, SILVER_PRICE_HISTORY)
+        fresh = newer_than_stored(staged, known.where(F.col("scrape_date").isin(days)), SILVER_PRICE_HISTORY.keys)
         upsert_table(fresh, SILVER_PRICE_HISTORY, root, f"stream-{batch_id}")
 
     return (

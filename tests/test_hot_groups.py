@@ -12,8 +12,10 @@ from quotemill.operators.ordered import (
     latest_per,
     percentiles_distributed,
     rank_rows,
+    rank_rows_distributed,
     split_hot,
     value_bucket,
+    value_cuts,
 )
 from quotemill.operators.serving import serving_price_stats
 from quotemill.operators.silver import competitor_map
@@ -63,11 +65,26 @@ def test_percentiles_of_signed_values_and_nulls(spark):
     assert nothing.a is None
 
 
-def test_bucket_keeps_order(spark):
-    values = sorted([-1e6, -3.2, -3.1, -1e-9, 0.0, 1e-9, 0.5, 9.99, 10.0, 1e3, 1e12])
-    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", value_bucket(F.col("v")).alias("b"))
-    buckets = [r.b for r in df.orderBy("v").collect()]
-    assert buckets == sorted(buckets)
+def test_buckets_are_even_and_ordered(spark):
+    """Also for a million distinct values within a thousandth of zero."""
+    df = spark.range(1_000_000).select(((F.col("id") - 500_000) / 1e9).alias("v"))
+    cut = df.crossJoin(value_cuts(df, [], "v")).withColumn("b", value_bucket(F.col("_cuts"), F.col("v")))
+    held = cut.groupBy("b").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("b").collect()
+    assert len(held) > 100 and max(r.n for r in held) < 4 * 1_000_000 / len(held)
+    assert all(a.high < b.low for a, b in zip(held, held[1:]))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_both_plans_agree_on_odd_values(spark, seed):
+    rng = random.Random(seed)
+    odd = [None, float("nan"), float("inf"), float("-inf"), -1.5, 0.0, 2.0, 2.0]
+    data = [(rng.choice("ab"), rng.choice(odd + [rng.uniform(-3, 3)])) for _ in range(120)]
+    df = spark.createDataFrame(data, "k string, v double")
+    assert repr(rows(rank_rows_distributed(df, ["k"], "v", "r"))) == repr(rows(rank_rows(df, ["k"], "v", "r")))
+    points = {"p0": 0.0, "p50": 0.5, "p100": 1.0}
+    finite = df.where("v IS NULL OR v < 9")
+    for a, b in zip(rows(exact_percentiles(finite, ["k"], "v", points)), rows(exact_percentiles(finite, ["k"], "v", points, limit=0))):
+        assert a == b or a[1:] == pytest.approx(b[1:], nan_ok=True)
 
 
 @pytest.fixture(scope="module")

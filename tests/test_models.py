@@ -1,5 +1,6 @@
 """Model inputs and models against direct computations."""
 
+import math
 from datetime import date, timedelta
 from itertools import combinations
 from math import lcm
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotemill.operators import models as M
-from quotemill.operators.drift import drift_report, ks_asymptotic_p, ks_exact_p, ks_statistics
+from quotemill.operators.drift import drift_report, ks_p_value, ks_statistics
 from quotemill.operators.features import fit_medians, impute, mark_split, point_in_time
 from quotemill.plans.modelling import prepare
 from quotemill.queries import binding as B
@@ -105,17 +106,21 @@ def brute_p(d, n, m):
     return hits / total
 
 
-@pytest.mark.parametrize("n, m", [(3, 4), (5, 5), (2, 7), (6, 4)])
-def test_exact_p_against_enumeration(n, m):
-    for k in range(1, lcm(n, m) + 1):
-        d = k / lcm(n, m)
-        assert ks_exact_p(d, n, m) == pytest.approx(brute_p(d, n, m), abs=1e-9)
+@pytest.mark.parametrize("n, m", [(30, 40), (200, 90), (20_000, 15_000)])
+def test_p_value_is_one_series_at_every_size(spark, n, m):
+    """The limiting law: 2 sum (-1)^(k-1) exp(-2 k^2 lambda^2)."""
+    for d in (0.0, 0.001, 0.05, 0.2, 1.0):
+        lam = d * math.sqrt(n * m / (n + m))
+        wanted = 2 * sum((-1) ** (k - 1) * math.exp(-2 * (k * lam) ** 2) for k in range(1, 101)) if lam >= 0.04 else 1.0
+        row = spark.range(1).select(ks_p_value(F.lit(d), F.lit(n), F.lit(m)).alias("p")).first()
+        assert row.p == pytest.approx(min(1.0, max(0.0, wanted)), abs=1e-12)
 
 
-def test_p_limits():
-    assert ks_exact_p(0.0, 5, 5) == 1.0
-    assert ks_exact_p(1.0, 400, 300) == pytest.approx(0.0, abs=1e-12)
-    assert ks_exact_p(0.05, 2000, 1500) == pytest.approx(ks_asymptotic_p(0.05, 2000, 1500), abs=0.01)
+def test_p_value_is_near_enumeration():
+    for d, n, m in ((0.5, 6, 5), (0.8, 6, 5)):
+        lam = d * math.sqrt(n * m / (n + m))
+        series = 2 * sum((-1) ** (k - 1) * math.exp(-2 * (k * lam) ** 2) for k in range(1, 101))
+        assert brute_p(d, n, m) == pytest.approx(series, abs=0.15)
 
 
 def test_ks_statistic(spark):
@@ -137,6 +142,6 @@ def test_drift_flags(spark):
     rows += [(day, 50.0 + i, 5.0) for i in range(10)]
     df = spark.createDataFrame(rows, "scrape_date date, moved double, still double")
     report = {r.feature: r for r in drift_report(df, day, features=["moved", "still"]).collect()}
-    assert report["moved"].drifted and report["moved"].p_value == 0.0 and report["moved"].method == "exact"
+    assert report["moved"].drifted and report["moved"].p_value == 0.0
     assert not report["still"].drifted and report["still"].p_value == 1.0
     assert drift_report(df, date(2030, 1, 1), features=["moved"]).isEmpty()
