@@ -10,7 +10,7 @@ part in memory and the rest in an unnamed file of the task; the sequence itself
 map.
 
 The starting suffixes are sorted by the same sweeps over their substrings, which names them;
-where names repeat, the sequence of names is ranked by doubling.
+where names repeat, the sequence of names is ranked by comparing three ranks at a time.
 """
 
 from __future__ import annotations
@@ -119,8 +119,9 @@ class _Minima:
 class _Sweep:
     """Hands what a run of the sweep induces to the queues."""
 
-    def __init__(self, text: np.ndarray, wanted: np.ndarray, queues: Queues, cap: int):
+    def __init__(self, text: np.ndarray, wanted: np.ndarray, queues: Queues, cap: int, plain: bool):
         self._text, self._wanted, self._queues, self._cap = text, wanted, queues, cap
+        self._plain = plain  # without common prefixes
         # Least common prefix since a symbol's queue last grew.
         self._since = np.zeros(SYMBOLS, np.int64)
 
@@ -128,16 +129,21 @@ class _Sweep:
         """``common`` is each entry's common prefix with the entry before it in the sweep."""
         before = places - 1
         chosen = np.flatnonzero((before >= 0) & self._wanted[before])
-        least = int(common.min())
+        least = 0 if self._plain else int(common.min())
         if not len(chosen):
             np.minimum(self._since, least, out=self._since)
             return
         symbol = self._text[before[chosen]]
         order = np.argsort(symbol, kind="stable")
         chosen, symbol = chosen[order], symbol[order]
-        minima = _Minima(common)
         first = np.append(True, symbol[1:] != symbol[:-1])
         heads = np.flatnonzero(first)
+        if self._plain:
+            pair = np.stack([before[chosen], np.zeros(len(chosen), np.int64)])
+            for a, b in zip(heads, np.append(heads[1:], len(chosen))):
+                self._queues.push(int(symbol[a]), pair[:, a:b])
+            return
+        minima = _Minima(common)
         start = np.where(first, 0, np.append(0, chosen[:-1] + 1))
         shared = minima.of(start, chosen)
         shared[heads] = np.minimum(shared[heads], self._since[symbol[heads]])
@@ -175,24 +181,26 @@ class RepeatFinder:
         starts[1:] &= ~self._small[:-1]
         starts[0] = False
         self._starts = np.flatnonzero(starts)
+        # Seven symbols from each place, nine bits each, the first lowest.
+        self._sevens = np.zeros(n, np.uint64)
+        for k in range(min(7, n)):
+            self._sevens[: n - k] |= text[k:].astype(np.uint64) << np.uint64(9 * k)
 
     def _common(self, a: np.ndarray, b: np.ndarray, cap: np.ndarray | int) -> np.ndarray:
         """Common prefix of the suffixes at ``a`` and ``b``, up to ``cap``."""
-        n = len(self._text)
+        last = len(self._text) - 1
         out = np.zeros(len(a), np.int64)
         cap = np.broadcast_to(cap, len(a))
-        open_ = np.arange(len(a))
+        open_, at, bt = np.arange(len(a)), a.astype(np.int64), b.astype(np.int64)
         while len(open_):
-            at, bt = a[open_] + out[open_], b[open_] + out[open_]
-            same = (np.maximum(at, bt) < n) & (out[open_] < cap[open_])
-            open_, at, bt = open_[same], at[same], bt[same]
-            equal = np.ones(len(open_), bool)
-            gain = np.zeros(len(open_), np.int64)
-            for k in range(8):
-                equal &= self._text[np.minimum(at + k, n - 1)] == self._text[np.minimum(bt + k, n - 1)]
-                gain += equal
+            # Past the end stands the lowest symbol, which no other place holds.
+            differ = self._sevens[np.minimum(at, last)] ^ self._sevens[np.minimum(bt, last)]
+            gain = np.full(len(open_), 7)
+            for k in reversed(range(7)):
+                gain[(differ >> np.uint64(9 * k)) & np.uint64(511) != 0] = k
             out[open_] += gain
-            open_ = open_[gain == 8]
+            more = np.flatnonzero((gain == 7) & (out[open_] < cap[open_]))
+            open_, at, bt = open_[more], at[more] + 7, bt[more] + 7
         return np.minimum(out, cap)
 
     def _by_symbol(self, order: np.ndarray, common: np.ndarray) -> Queues:
@@ -207,13 +215,13 @@ class RepeatFinder:
         """Common prefix of an L-type and an S-type suffix of one symbol: the shorter run."""
         return int(min(self._run[a] - a, self._run[b] - b, self._cap))
 
-    def _induce(self, order: np.ndarray, common: np.ndarray) -> tuple[Queues, Iterator[tuple[int, np.ndarray]]]:
+    def _induce(self, order: np.ndarray, common: np.ndarray, plain: bool = False) -> tuple[Queues, Iterator[tuple[int, np.ndarray]]]:
         """L-type suffixes by symbol, and the S-type ones in descending order by symbol."""
         n = len(self._text)
-        self._cap = 2 * self._length
+        self._cap = self._length
         start = self._by_symbol(order, common)
         queues, large = Queues(self._held), Queues(self._held)
-        sweep = _Sweep(self._text, ~self._small, queues, self._cap)
+        sweep = _Sweep(self._text, ~self._small, queues, self._cap, plain)
         for symbol in range(SYMBOLS):
             last = None
             for entries in queues.take(symbol):
@@ -233,11 +241,11 @@ class RepeatFinder:
                     shared[0] = 0
                 sweep.run(places, shared)
                 last = -1
-        return large, self._descend(large, n)
+        return large, self._descend(large, n, plain)
 
-    def _descend(self, large: Queues, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    def _descend(self, large: Queues, n: int, plain: bool) -> Iterator[tuple[int, np.ndarray]]:
         queues = Queues(self._held)
-        sweep = _Sweep(self._text, self._small, queues, self._cap)
+        sweep = _Sweep(self._text, self._small, queues, self._cap, plain)
         queues.push(0, np.array([[n - 1], [0]]))
         for symbol in reversed(range(SYMBOLS)):
             last = None
@@ -263,7 +271,7 @@ class RepeatFinder:
         if not len(starts):
             return starts, np.zeros(0, np.int64)
         unsorted = starts[np.argsort(self._text[starts], kind="stable")]
-        large, small = self._induce(unsorted, np.zeros(len(starts), np.int64))
+        large, small = self._induce(unsorted, np.zeros(len(starts), np.int64), plain=True)
         is_start = np.zeros(n, bool)
         is_start[starts] = True
         found = [e[0][is_start[e[0]]] for _, e in small]
@@ -277,18 +285,20 @@ class RepeatFinder:
         name = np.empty(len(starts) + 1, np.int64)
         name[own] = np.cumsum(~same)
         name[-1] = 0
-        # Ranks of doubled length over the sequence of names, until the strings are long enough.
+        # Ranks of growing length over the sequence of names, until the strings are long enough.
         step, count = 1, len(starts)
+        several = 3 if count + 1 < 1 << 21 else 2
         while step <= self._length and name[:-1].max() < count:
-            after = name[np.minimum(np.arange(count) + step, count)]
-            key = name[:-1] * (count + 2) + after
-            own = np.argsort(key, kind="stable")
+            key = name[:-1].copy()
+            for k in range(1, several):
+                key = key * (count + 1) + name[np.minimum(np.arange(count) + k * step, count)]
+            own = np.argsort(key)
             key = key[own]
             name[own] = np.cumsum(np.append(True, key[1:] != key[:-1]))
-            step *= 2
+            step *= several
         own = np.argsort(name[:-1], kind="stable")
         order = starts[own]
-        return order, np.append(0, self._common(order[:-1], order[1:], 2 * self._length))
+        return order, np.append(0, self._common(order[:-1], order[1:], self._length))
 
     def places(self) -> np.ndarray:
         """A mask over all places."""
