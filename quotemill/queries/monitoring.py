@@ -281,7 +281,7 @@ def drift_statistics(spark, sf):
 
 _P_VALUE = (
     "CASE WHEN lam < 0.04 THEN 1.0 ELSE greatest(0.0, least(1.0, list_sum(list_transform(range(1, 101), "
-    "k -> (CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2 * pow(k * lam, 2)))))) END"
+    "lambda k: (CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2 * pow(k * lam, 2)))))) END"
 )
 _REPORT = {
     **_DRIFT,
