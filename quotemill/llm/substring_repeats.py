@@ -91,12 +91,16 @@ def _packed(keyed: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             data = [t.encode() for t in batch["text"].to_pylist()]
-            packed = [pa.compress(d, "zstd", asbytes=True) if d else b"" for d in data]
+            packed = [_compressed(d) for d in data]
             yield batch["uid"], batch["doc_id"], packed, [len(d) for d in data]
 
     return map_arrow(keyed, run, "uid long, doc_id long, packed binary, size long")
 
 
+def _compressed(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=9).compress(data, asbytes=True) if data else b""
+
+
 def _unpacked(packed: bytes, size: int) -> bytes:
     return pa.decompress(packed, size, "zstd", asbytes=True) if size else b""
 
