@@ -317,6 +317,42 @@ def upsert_table_query(spark, sf):
     return rows.drop("scraped_at", "_updated_at")
 
 
+@query(
+    "catalog_price_history",
+    chain(f"SELECT asin, {r6('price')} AS price, currency, stock, {r6('rating')} AS rating, source, parent_asin, {_DATE} FROM silver"),
+)
+def catalog_price_history(spark, sf):
+    """The table read by name after two loads."""
+    root = scratch_path(spark, "catalog")
+    name = SILVER_PRICE_HISTORY.full_name
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {SILVER_PRICE_HISTORY.layer}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(SILVER_PRICE_HISTORY.ddl(SILVER_PRICE_HISTORY.path(root)))
+    rows = B.stored_history(spark, sf)
+    upsert_table(rows.where("scrape_date <= DATE '2024-01-20'"), SILVER_PRICE_HISTORY, root, "first")
+    upsert_table(rows, SILVER_PRICE_HISTORY, root, "second")
+    return spark.table(name).drop("scraped_at", "_updated_at")
+
+
+@query(
+    "not_null_rejections",
+    chain("SELECT DISTINCT CAST(scrape_date AS VARCHAR) AS scrape_date, TRUE AS rejected, CAST(0 AS BIGINT) AS stored FROM silver WHERE source = 'product'"),
+)
+def not_null_rejections(spark, sf):
+    """Loads whose rows lack a price are refused before anything is written."""
+    root = scratch_path(spark, "rejected")
+    rows = B.stored_history(spark, sf).where("source = 'product'")
+    try:
+        upsert_table(rows.withColumn("price", F.lit(None).cast("double")), SILVER_PRICE_HISTORY, root, "bad")
+        rejected = False
+    except ValueError:
+        rejected = True
+    stored_rows = read_table(spark, root, SILVER_PRICE_HISTORY).count()
+    return rows.select("scrape_date").distinct().select(
+        "scrape_date", F.lit(rejected).alias("rejected"), F.lit(stored_rows).cast("long").alias("stored")
+    )
+
+
 _FIRST = "count(*) FILTER (WHERE scrape_date <= DATE '2024-01-20')"
 
 
