@@ -142,9 +142,9 @@ def _logistic(row: np.ndarray, column: np.ndarray, value: np.ndarray, label: np.
     weights, bias = np.full(width, 1e-2), 0.0
     first, second = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, settings.steps + 1):
-        margin = np.bincount(row, weights[column] * value, n) + bias
+        margin = np.bincount(row, weights.astype(np.float32)[column] * value, n) + bias
         error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - label) / n
-        slope = np.bincount(column, error[row] * value, width) + settings.ridge / n * weights
+        slope = np.bincount(column, error.astype(np.float32)[row] * value, width) + settings.ridge / n * weights
         slope = np.append(slope, error.sum())
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2
@@ -165,6 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     chosen = np.zeros(len(ratio), bool)
     chosen[np.argsort(-evidence, kind="stable")[: settings.most_buckets]] = True
     chosen &= usable
+    del evidence, usable, negative, positive
 
     def pick(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -180,9 +181,15 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         return Model(weights.astype(np.float32), float(np.log(share / (1 - share))), settings)
     lists = picked["buckets"].combine_chunks()
     lengths = np.diff(lists.offsets.to_numpy())
-    row, bucket = np.repeat(np.arange(len(label)), lengths), lists.flatten().to_numpy()
-    names, column = np.unique(bucket, return_inverse=True)
-    coefficients, bias = _logistic(row, column, ratio[bucket], label, len(names), settings)
+    # Small types: these arrays have one cell per feature of every sampled row.
+    row = np.repeat(np.arange(len(label), dtype=np.int32), lengths)
+    names = np.flatnonzero(chosen)
+    place = np.zeros(len(ratio), np.int32)
+    place[names] = np.arange(len(names))
+    column = place[lists.flatten().to_numpy()]
+    value = ratio[names].astype(np.float32)[column]
+    del picked, lists, place
+    coefficients, bias = _logistic(row, column, value, label, len(names), settings)
     weights[names] = coefficients * ratio[names]
     return Model(weights.astype(np.float32), bias, settings)
 
