@@ -162,3 +162,27 @@ def test_passages_of_awkward_rows(spark):
     texts = {r.doc_id: r.text for r in left.select("doc_id", "text").collect() if r.doc_id != 12}
     assert texts[0] and texts[1] == "" and texts[2] is None and texts[8].split() == (prose(70, 8) + " " + prose(20, 9)).split()
     assert passages.near_passages(empty(spark)).collect() == []
+
+
+def similar_between_common_shingles(a, b):
+    """Whether what lies between the first and last common shingle makes a passage of each."""
+    a, b = passages.shingles(a, 5), passages.shingles(b, 5)
+    met, others = [i for i, x in enumerate(a) if x in b], [i for i, x in enumerate(b) if x in a]
+    a, b = a[met[0] : met[-1] + 1], b[others[0] : others[-1] + 1]
+    return min(len(a), len(b)) >= 46 and len({*a} & {*b}) >= 0.8 * len({*a} | {*b})
+
+
+@pytest.mark.parametrize("n", [50, 51, 65, 80])
+def test_passages_with_a_word_more_or_less_at_every_place(spark, n):
+    rng, rows, wanted = random.Random(n), [], set()
+    fresh = lambda k: [b"w%d" % rng.getrandbits(40) for _ in range(k)]
+    for p in range(n + 1):
+        for more in (True, False):
+            base = fresh(n)
+            other = base[:p] + fresh(1) + base[p:] if more else base[:p] + base[p + 1 :]
+            rows += [fresh(30) + base + fresh(40), fresh(rng.randint(5, 60)) + other + fresh(30)]
+            if similar_between_common_shingles(*rows[-2:]):
+                wanted.add((len(rows), len(rows) - 1))
+    docs = spark.createDataFrame([(i + 1, b" ".join(r).decode()) for i, r in enumerate(rows)], "doc_id long, text string")
+    found = {(r.doc_id, r.other_doc_id) for r in passages.near_passages(docs).collect()}
+    assert len(wanted) > n // 2 and found >= wanted and all(b % 2 and a == b + 1 for a, b in found)
