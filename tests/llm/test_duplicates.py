@@ -186,3 +186,16 @@ def test_passages_with_a_word_more_or_less_at_every_place(spark, n):
     docs = spark.createDataFrame([(i + 1, b" ".join(r).decode()) for i, r in enumerate(rows)], "doc_id long, text string")
     found = {(r.doc_id, r.other_doc_id) for r in passages.near_passages(docs).collect()}
     assert len(wanted) > n // 2 and found >= wanted and all(b % 2 and a == b + 1 for a, b in found)
+
+
+def test_a_head_without_the_passage_hides_no_pair(spark):
+    rng = random.Random(8)
+    fresh = lambda k: " ".join(f"w{rng.getrandbits(40)}" for _ in range(k))
+    line, others = fresh(30), [fresh(25) for _ in range(4)]
+    rows = [(i, f"{fresh(40)} {line} {fresh(40)}") for i in range(1, 8)]
+    rows += [(10 * (j + 1) + i, f"{fresh(20)} {line} {other} {fresh(20)}") for j, other in enumerate(others) for i in range(3)]
+    rows += [(90, f"{fresh(20)} {line} {fresh(60)} {line} {others[0]} {fresh(9)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.other_doc_id) for r in passages.near_passages(docs).collect()}
+    assert {a for a, _ in found} == {*[10 * j + i for j in range(1, 5) for i in (1, 2)], 90}
+    assert all(a // 10 == b // 10 or a == 90 and b // 10 == 1 for a, b in found)
