@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quotemill.session import scratch_path
 
-from . import decontamination, log_bilinear, multi_index, passages, quality_attention, sentencepiece_codec, simhash, substring_repeats, token_files, toxicity
+from . import decontamination, log_bilinear, merkle, multi_index, oracle, passages, quality_attention, sentencepiece_codec, simhash, substring_repeats, token_files, toxicity
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
@@ -93,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op8_log_bilinear": op8_log_bilinear,
     "op9_multi_index": op9_multi_index,
     "op10_decontamination": op10_decontamination,
+    "op11_merkle": op11_merkle,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_merkle": oracle.merkle()}
