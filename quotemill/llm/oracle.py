@@ -6,9 +6,9 @@ from __future__ import annotations
 def crc32(text: str) -> str:
     """Unsigned CRC-32 of an ASCII text: eight shifts a byte, least bit first."""
     shift = "CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
-    byte = f"list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], (a, z) -> {shift})"
-    data = f"list_transform(string_split({text}, ''), c -> CAST(ascii(c) AS BIGINT))"
-    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), (crc, b) -> {byte}), 4294967295)"
+    byte = f"list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: {shift})"
+    data = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda crc, b: {byte}), 4294967295)"
 
 
 def _leaf(text: str) -> str:
