@@ -68,3 +68,20 @@ def merkle(levels: int = 6, top_levels: int = 4) -> str:
         f"WITH {', '.join(ctes)} SELECT doc_id, leaf, subroot, root, sha256({proof}) AS proof_sha256, "
         f"f{end} AS folded_root, f{end} = root AS verified FROM fold{end}"
     )
+
+
+def minhash() -> str:
+    """Components of documents by the similarity of their four-word shingle sets."""
+    words = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+    return f"""WITH RECURSIVE worded AS (SELECT doc_id, {words} AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN [] ELSE
+  list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' ')))) END AS s FROM worded),
+keyed AS (SELECT doc_id, len(s) AS n, md5(array_to_string(s, chr(10))) AS k, s FROM sets),
+one AS (SELECT k, any_value(n) AS n, any_value(s) AS s, min(doc_id) AS least FROM keyed WHERE n > 0 GROUP BY k),
+parts AS (SELECT k, n, unnest(s) AS p FROM one),
+pairs AS (SELECT a.k AS u, b.k AS v FROM parts a JOIN parts b ON a.p = b.p AND a.k <> b.k
+  GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT k AS u, k AS v FROM one UNION SELECT r.u, p.v FROM reach r JOIN pairs p ON r.v = p.u),
+ids AS (SELECT r.u AS k, min(o.least) AS c FROM reach r JOIN one o ON o.k = r.v GROUP BY r.u)
+SELECT doc_id, n AS n_shingles, coalesce(c, doc_id) AS component_id, doc_id = coalesce(c, doc_id) AS kept
+FROM keyed LEFT JOIN ids ON ids.k = keyed.k AND n > 0"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quotemill.session import scratch_path
 
-from . import conversations, decontamination, log_bilinear, merkle, multi_index, oracle, passages, quality_attention, sentencepiece_codec, simhash, substring_repeats, token_files, toxicity
+from . import conversations, decontamination, log_bilinear, merkle, minhash_forest, multi_index, oracle, passages, quality_attention, sentencepiece_codec, simhash, substring_repeats, token_files, toxicity
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_check(read(spark, sf_dir, "documents"))
 
 
+def op12_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.with_kept(read(spark, sf_dir, "documents"))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_digest(conversations.damaged(read(spark, sf_dir, "conversations")))
 
@@ -102,7 +106,8 @@ QUERIES: dict[str, Query] = {
     "op9_multi_index": op9_multi_index,
     "op10_decontamination": op10_decontamination,
     "op11_merkle": op11_merkle,
+    "op12_minhash_forest": op12_minhash_forest,
     "op13_conversations": op13_conversations,
 }
 
-ORACLE_SQL: dict[str, str] = {"op11_merkle": oracle.merkle()}
+ORACLE_SQL: dict[str, str] = {"op11_merkle": oracle.merkle(), "op12_minhash_forest": oracle.minhash()}
