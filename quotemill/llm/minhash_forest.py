@@ -10,18 +10,19 @@ region's depth adapts: where few documents share one min-hash less, these are th
    links give components: a large group of copies is joined by a linear number of pairs.
 2. Rest. A region whose members are all in one component has nothing left to find. In every
    other region of every tree, members of different components are compared, in tiles of
-   bounded rows and shingles: signatures first, full sets where these allow the similarity,
-   each pair in the first tree that brings it together. No partner is capped.
+   bounded rows and shingles, each pair in the first tree that brings it together: first
+   signatures, which leave the members that have a partner worth a look, then these by
+   their full sets. No partner is capped.
 
 Two documents with a similarity of exactly 0.8 meet in no tree with probability
 ``(1 - 0.8 ** DEPTH) ** TREES`` (6e-7), less where regions are sparse. Signatures rule a
-pair out below 66 of 120 agreements, over six deviations under the 96 that 0.8 gives.
+pair out below 71 of 120 agreements, 5.7 deviations under the 96 that 0.8 gives (1e-7).
 Equal sets are one document from the start.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -42,14 +43,14 @@ SPARSE = 16
 #: Orders whose neighbours are compared first.
 CHAINS = 4
 #: Agreements of a signature below which a pair is not looked at.
-AGREE = 66
+AGREE = 71
 #: Rows and shingles of one tile.
 TILE_ROWS, TILE_SHINGLES = 256, 1 << 18
 
 _RNG = np.random.default_rng(7)
 _FACTORS = _RNG.integers(1, 2**63, TREES * KEYS, np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RNG.integers(0, 2**63, TREES * KEYS, np.uint64)
-_BYTES = 4 * KEYS
+_BYTES = 2 * KEYS
 
 
 def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
@@ -70,12 +71,12 @@ def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
 
 
 def signature(found: np.ndarray) -> np.ndarray:
-    """Min-hashes of a set of hashes, tree after tree."""
+    """Sixteen bits of each min-hash of a set of hashes, tree after tree."""
     least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(found), 2048):
         block = found[at : at + 2048, None] * _FACTORS + _SHIFTS
         np.minimum(least, block.min(0), out=least)
-    return (least >> np.uint64(32)).astype(">u4")
+    return (least >> np.uint64(16)).astype(">u2")
 
 
 def similar(one: int, other: int, common: int, percent: int = PERCENT) -> bool:
@@ -109,7 +110,7 @@ def _members(distinct: DataFrame) -> DataFrame:
     label = F.expr(f"substring(sig, tree * {_BYTES} + 1, {_BYTES})").alias("label")
     rows = distinct.select("uid", "sig", trees).select("tree", label, "uid")
     ordered = rows.repartitionByRange("tree", "label", "uid").sortWithinPartitions("tree", "label", "uid")
-    short, full = 4 * (DEPTH - 1), 4 * DEPTH
+    short, full = 2 * (DEPTH - 1), 2 * DEPTH
 
     def regions(tree: int, run: list[tuple[bytes, int]], cut: bool, dense: bool):
         def region(prefix: bytes, members: list[int], border: bool):
@@ -160,30 +161,24 @@ def _members(distinct: DataFrame) -> DataFrame:
     return stored(map_arrow(ordered, walk, "tree int, region long, uid long, last long"), "members")
 
 
-def _material(own: DataFrame, uids: DataFrame) -> DataFrame:
-    """``uid, n, sig, found`` of the documents named, ``found`` being their shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            yield batch["uid"], batch["n"], batch["sig"], [shingles(t).tobytes() for t in batch["text"].to_pylist()]
-
-    rows = own.join(uids.distinct(), "uid", "left_semi").select("uid", "n", "sig", "text")
-    return map_arrow(rows, run, "uid long, n long, sig binary, found binary")
+def _named_texts(own: DataFrame, uids: DataFrame) -> DataFrame:
+    """``uid, text`` of the documents named."""
+    return own.select("uid", "text").join(uids.distinct(), "uid", "left_semi")
 
 
 def _confirmed(own: DataFrame, pairs: DataFrame) -> DataFrame:
     """``u, v`` of those pairs whose full sets are similar enough."""
     ends = pairs.select(F.col("u").alias("uid")).union(pairs.select(F.col("v").alias("uid")))
-    found = stored(_material(own, ends).select("uid", "found"), "pair_sets")
+    found = stored(_named_texts(own, ends), "pair_texts")
     both = pairs.join(found.toDF("u", "one"), "u").join(found.toDF("v", "other"), "v")
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             keep = []
             for one, other in zip(batch["one"].to_pylist(), batch["other"].to_pylist()):
-                a, b = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
+                a, b = shingles(one), shingles(other)
                 keep.append(similar(len(a), len(b), len(np.intersect1d(a, b, True))))
-            kept = pa.array(keep)
+            kept = pa.array(keep, pa.bool_())
             yield batch["u"].filter(kept), batch["v"].filter(kept)
 
     return map_arrow(both, run, "u long, v long")
@@ -206,15 +201,32 @@ def _agreements(left: np.ndarray, right: np.ndarray, tree: int) -> np.ndarray:
     return agree
 
 
+def _open(tree: int, sigs: np.ndarray, both: list[dict], cut: int) -> np.ndarray:
+    """Which pairs between the first ``cut`` rows and the rest (0: within all) are to be compared."""
+    left, right = (slice(cut), slice(cut, None)) if cut else (slice(None), slice(None))
+    sizes, comps = (np.array([r[c] for r in both]) for c in ("n", "comp"))
+    agree = _agreements(sigs[left], sigs[right], tree)
+    one, other = sizes[left, None], sizes[None, right]
+    ratio = 100 * np.minimum(one, other) >= PERCENT * np.maximum(one, other)
+    return (agree >= AGREE) & ratio & (comps[left, None] != comps[None, right])
+
+
+def _promising(tree: int, rows: list[dict], others: list[dict] | None) -> Iterator[tuple[int, int, int]]:
+    """``tree, region, uid`` of rows whose signature allows a link to another component."""
+    both = rows + (others or [])
+    cut = len(rows) if others else 0
+    found = _open(tree, np.array([np.frombuffer(r["sig"], ">u2") for r in both]), both, cut)
+    for i in {*np.flatnonzero(found.any(1)), *(np.flatnonzero(found.any(0)) + cut)}:
+        yield tree, both[i]["region"], both[i]["uid"]
+
+
 def _links(tree: int, rows: list[dict], others: list[dict] | None) -> Iterator[tuple[int, int]]:
     """Links between two tiles (or within one) that join different components."""
     both = rows + (others or [])
-    sigs = np.array([np.frombuffer(r["sig"], ">u4") for r in both])
     cut = len(rows) if others else 0
-    agree = _agreements(sigs[: len(rows)], sigs[cut:], tree)
-    sizes = np.array([r["n"] for r in both])
-    ratio = 100 * np.minimum(sizes[: len(rows), None], sizes[None, cut:]) >= PERCENT * np.maximum(sizes[: len(rows), None], sizes[None, cut:])
-    open_ = (agree >= AGREE) & ratio
+    sets = [shingles(r["text"]) for r in both]
+    found = _open(tree, np.array([signature(x) for x in sets]), both, cut)
+    sizes = [r["n"] for r in both]
     root = {r["comp"]: r["comp"] for r in both}
 
     def find(c: int) -> int:
@@ -223,72 +235,81 @@ def _links(tree: int, rows: list[dict], others: list[dict] | None) -> Iterator[t
             c = root[c]
         return c
 
-    touched = np.flatnonzero(open_.any(1)), np.flatnonzero(open_.any(0)) + cut
-    needed = np.union1d(*touched)
+    needed = np.union1d(np.flatnonzero(found.any(1)), np.flatnonzero(found.any(0)) + cut)
     if not len(needed):
         return
-    sets = {i: np.frombuffer(both[i]["found"], np.uint64) for i in needed}
     values, held = np.unique(np.concatenate([sets[i] for i in needed]), return_inverse=True)
     bits = np.zeros((len(both), -(-len(values) // 64) * 8), np.uint8)
     ends = np.cumsum([len(sets[i]) for i in needed])
     for i, part in zip(needed, np.split(held, ends[:-1])):
         np.bitwise_or.at(bits[i], part >> 3, np.left_shift(1, part & 7).astype(np.uint8))
     lanes = bits.view(np.uint64)
-    for i in touched[0]:
-        js = np.flatnonzero(open_[i]) + cut
-        js = js[js > i]
+    for i in np.flatnonzero(found.any(1)):
+        js = np.flatnonzero(found[i]) + cut
         mine = find(both[i]["comp"])
-        js = np.array([j for j in js if find(both[j]["comp"]) != mine], np.int64)
+        js = np.array([j for j in js if j > i and find(both[j]["comp"]) != mine], np.int64)
         if not len(js):
             continue
         common = np.bitwise_count(lanes[i] & lanes[js]).sum(1)
         for j, c in zip(js, common):
-            if similar(int(sizes[i]), int(sizes[j]), int(c)):
+            if similar(sizes[i], sizes[j], int(c)):
                 a, b = find(both[i]["comp"]), find(both[j]["comp"])
                 if a != b:
                     root[max(a, b)] = min(a, b)
                     yield both[i]["uid"], both[j]["uid"]
 
 
-def _rest(own: DataFrame, distinct: DataFrame, members: DataFrame, known: DataFrame) -> DataFrame:
-    """``u, v``: links between components that regions still hold."""
-    placed = members.select("tree", "region", "uid").distinct().join(known.toDF("uid", "root"), "uid", "left")
-    placed = placed.join(distinct.select("uid", "n"), "uid").select("tree", "region", "uid", "n", F.coalesce("root", "uid").alias("comp"))
-    placed = stored(placed, "placed")
-    region = placed.groupBy("tree", "region").agg(
+def _compared(rows: DataFrame, material: DataFrame, compare: Callable, schema: str) -> DataFrame:
+    """``compare(tree, rows, others)`` over all tiles and pairs of tiles of all regions.
+
+    ``rows`` has ``tree, region, uid, n, comp`` and should be stored, ``material`` what else
+    a row needs by ``uid``. A region of one component is left out, one within the bounds is
+    one tile.
+    """
+    key = ["tree", "region"]
+    region = rows.groupBy(*key).agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"), F.sum("n").alias("held")
     )
     small = (F.col("rows") <= TILE_ROWS) & (F.col("held") <= TILE_SHINGLES)
     # Similar sets differ in size by a quarter at most: neighbouring cells hold all partners.
     cell = F.when(small, -1).otherwise(F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int"))
-    rows = placed.join(region.where("low < high"), ["tree", "region"]).select("tree", "region", "uid", "n", "comp", cell.alias("cell"))
-    rows = stored(rows, "open_regions")
-    tiles = rows.groupBy("tree", "region", "cell").agg(
-        F.greatest(F.ceil(F.count("*") / TILE_ROWS), F.ceil(F.sum("n") / TILE_SHINGLES)).alias("tiles")
-    )
-    rows = rows.join(tiles, ["tree", "region", "cell"]).withColumn("tile", F.pmod(F.xxhash64("uid"), F.greatest("tiles", F.lit(1))))
-    full = rows.drop("n").join(_material(own, rows.select("uid")), "uid")
-    gathered = stored(
-        full.groupBy("tree", "region", "cell", "tile").agg(F.collect_list(F.struct("uid", "comp", "n", "sig", "found")).alias("rows")), "tiles"
-    )
-    schema = "u long, v long"
+    placed = rows.join(region.where("low < high"), key).select(*key, "uid", "n", "comp", cell.alias("cell"))
+    placed = stored(placed, "open_regions")
 
-    def within(batches: Iterator[pa.RecordBatch]):
+    def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            out = [link for r in batch.to_pylist() for link in _links(r["tree"], r["rows"], None)]
+            out = [found for r in batch.to_pylist() for found in compare(r["tree"], r["rows"], r.get("others"))]
             if out:
                 yield list(zip(*out))
 
-    def across(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            out = [link for r in batch.to_pylist() for link in _links(r["tree"], r["rows"], r["others"])]
-            if out:
-                yield list(zip(*out))
+    def gathered(members: DataFrame, *by: str) -> DataFrame:
+        row = F.struct("uid", "region", "comp", "n", *[c for c in material.columns if c != "uid"])
+        return members.join(material, "uid").groupBy(*by).agg(F.collect_list(row).alias("rows"))
+
+    lone = map_arrow(gathered(placed.where("cell < 0"), *key).select("tree", "rows"), run, schema)
+    dense = placed.where("cell >= 0")
+    if dense.isEmpty():
+        return lone
+    tiles = dense.groupBy(*key, "cell").agg(
+        F.greatest(F.ceil(F.count("*") / TILE_ROWS), F.ceil(F.sum("n") / TILE_SHINGLES)).alias("tiles")
+    )
+    dealt = dense.join(tiles, [*key, "cell"]).withColumn("tile", F.pmod(F.xxhash64("uid"), "tiles"))
+    tiled = stored(gathered(dealt, *key, "cell", "tile"), "tiles")
+    left = tiled.withColumn("own", F.col("cell")).withColumn("cell", F.explode(F.array(F.col("cell"), F.col("cell") + 1)))
+    right = tiled.select(*key, "cell", F.col("tile").alias("other"), F.col("rows").alias("others"))
+    pairs = left.join(right, [*key, "cell"]).where("own < cell OR tile < other").select("tree", "rows", "others")
+    return lone.union(map_arrow(tiled.select("tree", "rows"), run, schema)).union(map_arrow(pairs, run, schema))
 
-    left = gathered.where("cell >= 0").withColumn("own", F.col("cell")).withColumn("cell", F.explode(F.array(F.col("cell"), F.col("cell") + 1)))
-    right = gathered.where("cell >= 0").select("tree", "region", "cell", F.col("tile").alias("other"), F.col("rows").alias("others"))
-    pairs = left.join(right, ["tree", "region", "cell"]).where("own < cell OR tile < other").select("tree", "rows", "others")
-    return map_arrow(gathered.select("tree", "rows"), within, schema).union(map_arrow(pairs, across, schema))
+
+def _rest(own: DataFrame, distinct: DataFrame, members: DataFrame, known: DataFrame) -> DataFrame:
+    """``u, v``: links between components that regions still hold."""
+    placed = members.select("tree", "region", "uid").distinct().join(known.toDF("uid", "root"), "uid", "left")
+    placed = placed.join(distinct.select("uid", "n"), "uid").select("tree", "region", "uid", "n", F.coalesce("root", "uid").alias("comp"))
+    placed = stored(placed, "placed")
+    worth = _compared(placed, distinct.select("uid", "sig"), _promising, "tree int, region long, uid long")
+    left = stored(placed.join(stored(worth, "promising").distinct(), ["tree", "region", "uid"], "left_semi"), "left")
+    material = stored(_named_texts(own, left.select("uid")), "left_texts")
+    return _compared(left, material, _links, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
