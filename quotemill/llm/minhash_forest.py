@@ -46,6 +46,8 @@ CHAINS = 4
 AGREE = 71
 #: Rows and shingles of one tile.
 TILE_ROWS, TILE_SHINGLES = 256, 1 << 18
+#: Ids (8 bytes each) that may be broadcast.
+BROADCAST_IDS = 1 << 20
 
 _RNG = np.random.default_rng(7)
 _FACTORS = _RNG.integers(1, 2**63, TREES * KEYS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -162,8 +164,13 @@ def _members(distinct: DataFrame) -> DataFrame:
 
 
 def _named_texts(own: DataFrame, uids: DataFrame) -> DataFrame:
-    """``uid, text`` of the documents named."""
-    return own.select("uid", "text").join(uids.distinct(), "uid", "left_semi")
+    """``uid, text`` of the documents named.
+
+    Up to ``BROADCAST_IDS`` of them are sent to the texts; beyond that both sides are shuffled.
+    """
+    named = stored(uids.distinct(), "named")
+    few = named.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return own.select("uid", "text").join(F.broadcast(named) if few else named, "uid", "left_semi")
 
 
 def _confirmed(own: DataFrame, pairs: DataFrame) -> DataFrame:
