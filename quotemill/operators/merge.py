@@ -15,11 +15,14 @@ def merge_rows(
     keys: Sequence[str],
     update_columns: Sequence[str] | None = None,
     flags: bool = False,
+    newer: str | None = None,
 ) -> DataFrame:
     """Rows of ``target`` after upserting ``source``; keys match null-safely.
 
     Matched rows take ``update_columns`` (default: every non-key column) from the source.
-    Source keys must be unique. ``flags`` adds ``_matched`` and ``_inserted``.
+    Source keys must be unique. With ``newer`` a matched row stays as it is unless the
+    source row's value of that column is at least its own. ``flags`` adds ``_matched``
+    (updated rows) and ``_inserted``.
     """
     keys = list(keys)
     updates = set(c for c in target.columns if c not in keys) if update_columns is None else set(update_columns)
@@ -29,16 +32,19 @@ def merge_rows(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
     )
     in_old, in_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    taken = in_new
+    if newer:
+        taken = in_new & (~in_old | F.col(newer).isNull() | (F.col(f"_new_{newer}") >= F.col(newer)))
     columns = []
     for name in target.columns:
         if name not in source.columns:
             columns.append(F.col(name))
         elif name in updates:
-            columns.append(F.when(in_new, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name))
+            columns.append(F.when(taken, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name))
         else:
             columns.append(F.when(in_old, F.col(name)).otherwise(F.col(f"_new_{name}")).alias(name))
     if flags:
-        columns += [(in_old & in_new).alias("_matched"), (~in_old).alias("_inserted")]
+        columns += [(in_old & taken).alias("_matched"), (~in_old).alias("_inserted")]
     return old.join(new, same, "full_outer").select(*columns)
 
 

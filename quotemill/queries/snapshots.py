@@ -15,7 +15,7 @@ from ..schemas import (
 )
 from ..session import scratch_path
 from ..sinks.files import write_csv, write_snapshots
-from ..sinks.tables import append_table, read_table, upsert_table
+from ..sinks.tables import append_table, read_table, rejected_rows, replace_partition, upsert_table
 from ..sources import payloads as L
 from ..sources import snapshots as S
 from ..streaming.snapshots import stream_bronze_products
@@ -353,6 +353,34 @@ def not_null_rejections(spark, sf):
     )
 
 
+@query(
+    "rejected_rows",
+    chain(
+        "SELECT operation, lacks, count(*) AS rows, (SELECT count(*) FROM blanked WHERE asin IS NOT NULL AND price IS NOT NULL) AS stored "
+        "FROM (SELECT *, CASE WHEN asin IS NULL AND price IS NULL THEN 'asin,price' WHEN asin IS NULL THEN 'asin' ELSE 'price' END AS lacks FROM blanked "
+        "WHERE asin IS NULL OR price IS NULL), (SELECT unnest(['APPEND', 'MERGE', 'REPLACE']) AS operation) GROUP BY operation, lacks",
+        blanked="SELECT CASE WHEN epoch_us(scraped_at) % 11 = 0 THEN NULL ELSE asin END AS asin, "
+        "CASE WHEN epoch_us(scraped_at) % 7 = 0 THEN NULL ELSE price END AS price FROM silver",
+    ),
+)
+def rejected_rows_query(spark, sf):
+    """Rows that lack a NOT NULL value, by writer and columns, and the rows that were stored."""
+    micros = F.unix_micros(F.col("scraped_at").cast("timestamp"))
+    blanked = B.stored_history(spark, sf).withColumns(
+        {"asin": F.when(micros % 11 != 0, F.col("asin")), "price": F.when(micros % 7 != 0, F.col("price"))}
+    )
+    parts = []
+    for operation, write in (("APPEND", append_table), ("MERGE", upsert_table), ("REPLACE", replace_partition)):
+        root = scratch_path(spark, "quarantine")
+        write(blanked, SILVER_PRICE_HISTORY, root, "bad", quarantine=True)
+        held = read_table(spark, root, SILVER_PRICE_HISTORY).agg(F.count(F.lit(1)).alias("stored"))
+        refused = rejected_rows(spark, root, SILVER_PRICE_HISTORY).groupBy(F.array_join("_lacks", ",").alias("lacks"))
+        parts.append(
+            refused.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(operation).alias("operation"), "lacks", "rows").crossJoin(F.broadcast(held))
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 _FIRST = "count(*) FILTER (WHERE scrape_date <= DATE '2024-01-20')"
 
 

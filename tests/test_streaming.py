@@ -5,13 +5,15 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from quotemill.operators.merge import merge_rows
 from quotemill.operators.silver import silver_price_history
 from quotemill.queries import binding as B
-from quotemill.schemas import BRONZE_COMPETITORS, BRONZE_PRODUCTS, SILVER_PRICE_HISTORY
+from quotemill.schemas import BRONZE_COMPETITORS, BRONZE_PRODUCTS, OPS_LOAD_AUDIT, SILVER_PRICE_HISTORY
 from quotemill.session import scratch_path
-from quotemill.sinks.tables import read_table
+from quotemill.sinks import tables
+from quotemill.sinks.tables import MicroBatch, append_table, read_table
+from quotemill.streaming.joins import competitor_prices
 from quotemill.streaming.snapshots import (
-    newer_than_stored,
     stream_bronze_competitors,
     stream_bronze_products,
     upsert_silver_stream,
@@ -59,11 +61,86 @@ def test_bronze_then_silver_with_late_data(spark, folders):
     assert read_table(spark, root, BRONZE_PRODUCTS).count() == 3
 
 
-def test_newer_than_stored(spark):
+def test_merge_keeps_newer_rows(spark):
     schema = "asin string, parent_asin string, scraped_at int"
-    stored = spark.createDataFrame([("A", None, 5), ("B", "p", 5)], schema)
-    staged = spark.createDataFrame([("A", None, 4), ("B", "p", 6), ("C", None, 1)], schema)
-    assert rows(newer_than_stored(staged, stored, ("asin", "parent_asin"))) == [("B", "p", 6), ("C", None, 1)]
+    old = spark.createDataFrame([("A", None, 5), ("B", "p", 5), ("D", "q", None)], schema).withColumn("v", F.lit("old"))
+    new = spark.createDataFrame([("A", None, 4), ("B", "p", 6), ("C", None, 1), ("D", "q", 1)], schema).withColumn("v", F.lit("new"))
+    got = merge_rows(old, new, ("asin", "parent_asin"), flags=True, newer="scraped_at")
+    assert rows(got.select("asin", "v", "_matched", "_inserted")) == [
+        ("A", "old", False, False), ("B", "new", True, False), ("C", "new", False, True), ("D", "new", True, False)
+    ]
+
+
+def loads(spark, root):
+    audit = read_table(spark, root, OPS_LOAD_AUDIT)
+    return sorted((r.batch, r.operation, r.rows_in, r.inserted) for r in audit.collect())
+
+
+def test_append_after_a_cut_off_write(spark, tmp_path):
+    """The rows are stored, the audit row is not: a replay adds what is missing only."""
+    root = str(tmp_path)
+    at = F.lit("2024-05-01 10:00:00").cast("timestamp")
+    batch = spark.range(6).select(F.concat(F.lit("B"), "id").alias("asin"), at.alias("scraped_at"), F.to_date(at).alias("ingest_date"))
+    name = MicroBatch("q", 3)
+    with pytest.MonkeyPatch.context() as patch:
+        whole = tables._audit
+
+        def lost(*args, **kw):
+            if args[4] != "BEGIN":
+                raise OSError("driver lost")
+            return whole(*args, **kw)
+
+        patch.setattr(tables, "_audit", lost)
+        with pytest.raises(OSError):
+            append_table(batch.where("asin <> 'B5'"), BRONZE_PRODUCTS, root, name)
+    assert loads(spark, root) == [("q/3", "BEGIN", 0, 0)]
+    assert append_table(batch, BRONZE_PRODUCTS, root, name)["inserted"] == 1
+    assert append_table(batch, BRONZE_PRODUCTS, root, name)["replayed"]
+    assert read_table(spark, root, BRONZE_PRODUCTS).count() == 6
+    assert loads(spark, root) == [("q/3", "APPEND", 6, 1), ("q/3", "BEGIN", 0, 0)]
+
+
+def test_joined_state_is_bounded_by_the_watermark(spark, tmp_path):
+    """Old rows leave the state, late ones within the lateness still meet."""
+    stream = tmp_path / "in"
+    own = spark.createDataFrame([], "asin string, price double, scraped_at timestamp, parent_asin string, fetched_at timestamp").schema
+
+    def put(name, rows_):
+        path = stream / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_text("\n".join(json.dumps(r) for r in rows_))
+
+    def drain():
+        source = spark.readStream.schema(own).json(str(stream))
+        joined = competitor_prices(
+            source.where("scraped_at IS NOT NULL").select("asin", "price", "scraped_at"),
+            source.where("fetched_at IS NOT NULL").select("parent_asin", "asin", "price", "fetched_at"),
+            within="2 hours", lateness="1 hour",
+        )
+        run = (
+            joined.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        )
+        run.awaitTermination()
+        found = spark.read.schema(joined.schema).parquet(str(tmp_path / "out")).select("asin", "own_price").collect()
+        return sorted(map(tuple, found)), run.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    def product(at, price):
+        return {"asin": "P", "price": price, "scraped_at": f"2024-05-0{at}Z"}
+
+    def rival(at, asin):
+        return {"parent_asin": "P", "asin": asin, "price": 9.0, "fetched_at": f"2024-05-0{at}Z"}
+
+    put("1.json", [product("1T10:00:00", 10.0), rival("1T11:00:00", "X"), rival("1T09:00:00", "early")])
+    assert drain() == ([("X", 10.0)], 3)
+    put("2.json", [rival("1T10:30:00", "late"), product("2T10:00:00", 20.0), rival("2T10:30:00", "Y")])
+    found, held = drain()
+    assert found == [("X", 10.0), ("Y", 20.0), ("late", 10.0)]
+    put("3.json", [product("3T10:00:00", 30.0), rival("3T10:00:00", "Z")])
+    found, held = drain()
+    assert found == [("X", 10.0), ("Y", 20.0), ("Z", 30.0), ("late", 10.0)]
+    put("4.json", [rival("3T10:05:00", "Z2")])
+    assert drain()[1] <= 4
 
 
 def event_stream(spark, sf):
