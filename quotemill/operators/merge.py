@@ -16,21 +16,22 @@ def merge_rows(
     update_columns: Sequence[str] | None = None,
     flags: bool = False,
     newer: str | None = None,
+    null_safe: bool = True,
 ) -> DataFrame:
     """Rows of ``target`` after upserting ``source``; keys match null-safely.
 
     Matched rows take ``update_columns`` (default: every non-key column) from the source.
     Source keys must be unique. With ``newer`` a matched row stays as it is unless the
     source row's value of that column is at least its own. ``flags`` adds ``_matched``
-    (updated rows) and ``_inserted``.
+    (updated rows) and ``_inserted``. Without ``null_safe`` keys must not be null; the join
+    then is on the plain columns and can use a stored bucketing by them.
     """
     keys = list(keys)
     updates = set(c for c in target.columns if c not in keys) if update_columns is None else set(update_columns)
     old = target.withColumn("_old", F.lit(True))
     new = source.select(*[F.col(c).alias(f"_new_{c}") for c in source.columns], F.lit(True).alias("_new"))
-    same = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
-    )
+    pairs = [(F.col(k), F.col(f"_new_{k}")) for k in keys]
+    same = reduce(lambda a, b: a & b, [k.eqNullSafe(n) if null_safe else k == n for k, n in pairs])
     in_old, in_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     taken = in_new
     if newer:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators.merge import duplicate_keys
@@ -14,6 +16,7 @@ from ..schemas import (
     SILVER_PRICE_HISTORY,
 )
 from ..session import scratch_path
+from ..sinks.bucketed import create_bucketed, upsert_bucketed
 from ..sinks.files import write_csv, write_snapshots
 from ..sinks.tables import append_table, read_table, rejected_rows, replace_partition, upsert_table
 from ..sources import payloads as L
@@ -353,6 +356,26 @@ def not_null_rejections(spark, sf):
     )
 
 
+@query(
+    "upsert_bucketed",
+    chain(
+        f"SELECT asin, {r6('CASE WHEN scrape_date <= DATE ' + repr('2024-01-10') + ' AND round(price, 2) > 50 THEN price ELSE price + 1 END')} AS price, source, parent_asin, CAST(scrape_date AS VARCHAR) AS scrape_date FROM silver "
+    ),
+)
+def upsert_bucketed_query(spark, sf):
+    """Two loads into a bucketed table: days up to the 10th first, then all days, dearer by
+    one; the dear rows of the second load carry an older time and must not win."""
+    rows = B.stored_history(spark, sf)
+    name = f"price_buckets_{uuid.uuid4().hex}"
+    create_bucketed(spark, SILVER_PRICE_HISTORY, name, 8, scratch_path(spark, name))
+    first = rows.where("scrape_date <= DATE '2024-01-10'")
+    upsert_bucketed(first, SILVER_PRICE_HISTORY, name, newer="scraped_at")
+    older = F.when(F.round("price", 2) > 50, F.expr("scraped_at - INTERVAL 1 HOUR")).otherwise(F.col("scraped_at"))
+    changed = rows.withColumns({"price": F.col("price") + 1, "scraped_at": older})
+    upsert_bucketed(changed, SILVER_PRICE_HISTORY, name, newer="scraped_at")
+    return spark.table(name).select("asin", "price", "source", "parent_asin", "scrape_date")
+
+
 @query(
     "rejected_rows",
     chain(
