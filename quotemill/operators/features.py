@@ -7,11 +7,13 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.binning import monday_zero
 from ..functions.pricing import ratio
 from ..rules import MODEL_COLUMNS, SEQUENCE_COLUMNS, TARGET_COLUMN
-from .ordered import percentiles_distributed
+from ..session import literal_rows
+from .selection import column_statistics
 
 
 def with_min_history(df: DataFrame, days: int = 7) -> DataFrame:
@@ -45,8 +47,9 @@ def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) ->
 
 def fit_medians(df: DataFrame, columns: Sequence[str] = tuple(MODEL_COLUMNS)) -> DataFrame:
     """One row holding the exact median of each column."""
-    long = percentiles_distributed(unpivot(df, columns), ["feature"], "value", {"median": 0.5})
-    return long.agg(*[F.max(F.when(F.col("feature") == c, F.col("median"))).alias(c) for c in columns])
+    rows, _ = column_statistics(df, columns, {"median": 0.5})
+    schema = T.StructType([T.StructField(c, T.DoubleType()) for c in columns])
+    return literal_rows(df.sparkSession, [tuple(r["median"] for r in rows)], schema)
 
 
 def impute(df: DataFrame, medians: DataFrame) -> DataFrame:

@@ -20,9 +20,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..rules import BROADCAST_ROWS, HOT_GROUP_ROWS
-from ..session import stored
+from ..session import literal_rows, stored
+from .selection import column_statistics
 
 # Buckets that the values of a group are cut into.
 BUCKETS = 128
@@ -200,12 +202,14 @@ def exact_percentiles(
 ) -> DataFrame:
     """Exact percentiles per group, with ``extra`` aggregates of the same groups.
 
-    Without ``by`` the whole table is one group, so only the distributed plan is used.
+    Without ``by`` the whole table is one group, and its order statistics are selected.
     """
     by = list(by)
     if not by:
-        spread = percentiles_distributed(df, by, value, points)
-        return spread.crossJoin(df.agg(*extra)) if extra else spread
+        rows, _ = column_statistics(df, [value], points)
+        schema = T.StructType([T.StructField(name, T.DoubleType()) for name in points])
+        found = literal_rows(df.sparkSession, [tuple(rows[0][name] for name in points)], schema)
+        return found.crossJoin(df.agg(*extra)) if extra else found
     split = split_hot(df, by, limit)
     direct = split.ordinary.groupBy(*by).agg(
         *[F.percentile(value, F.lit(p)).alias(name) for name, p in points.items()], *extra

@@ -7,13 +7,15 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.binning import day_name, label_of, monday_zero, right_closed_index
 from ..functions.pricing import ratio, rounded, settle
 from ..rules import DIFF_EDGES, DIFF_LABELS, FEATURE_COLUMNS, RATING_EDGES, RATING_LABELS, RULES
-from .features import unpivot
+from ..session import literal_rows, stored
 from .gold import window_comparison
-from .ordered import exact_percentiles, percentiles_distributed
+from .ordered import exact_percentiles
+from .selection import column_statistics
 
 _QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -121,20 +123,22 @@ def latest_rows(gold: DataFrame, k: int = 10) -> DataFrame:
 # --- distributions ---------------------------------------------------------------
 
 
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, exact quartiles and max of each column, nulls left out."""
-    long = unpivot(df, columns)
-    quartiles = percentiles_distributed(long, ["feature"], "value", _QUARTILES)
-    moments = long.groupBy("feature").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    return moments.join(quartiles, "feature").select(
-        "feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
-    )
+_DESCRIBED = T.StructType(
+    [T.StructField("feature", T.StringType()), T.StructField("count", T.LongType())]
+    + [T.StructField(n, T.DoubleType()) for n in ("mean", "std", "min", "p25", "p50", "p75", "max")]
+)
+
+
+def describe(df: DataFrame, columns: Sequence[str], shares: dict[str, Column] | None = None) -> DataFrame:
+    """count, mean, std, min, exact quartiles and max of each column, nulls left out.
+
+    ``shares`` are further averages of the same pass, repeated on every row.
+    """
+    shares = shares or {}
+    rows, extra = column_statistics(df, columns, _QUARTILES, list(shares.values()))
+    schema = T.StructType(_DESCRIBED.fields + [T.StructField(n, T.DoubleType()) for n in shares])
+    cells = [tuple(r[n] for n in _DESCRIBED.names) + tuple(extra.values()) for r in rows]
+    return literal_rows(df.sparkSession, cells, schema)
 
 
 def _describe_aggregates(column: str) -> list[Column]:
@@ -230,6 +234,7 @@ def rank_summary(competitor_map: DataFrame) -> DataFrame:
 
 def _by_parent_and_overall(per_day: DataFrame, column: str) -> DataFrame:
     """Describe a per-(parent, day) figure for each parent and over all rows."""
+    per_day = stored(per_day, "per_day")
     parents = per_day.groupBy("parent_asin").agg(*_describe_aggregates(column))
     overall = describe(per_day, [column]).withColumn("feature", F.lit("(all)"))
     return parents.unionByName(overall.withColumnRenamed("feature", "parent_asin"))
@@ -320,12 +325,13 @@ def mean_rank_deviation(competitor_map: DataFrame) -> DataFrame:
 def pressure_bands(gold: DataFrame, low: float = 0.3, high: float = 0.7) -> DataFrame:
     """Distribution of the pressure score and the shares above, at and below market."""
     score = settle(F.col("comp_pressure_score"))
-    shares = gold.where(score.isNotNull()).agg(
-        _share(score > high).alias("above_share"),
-        _share(score.between(low, high)).alias("at_share"),
-        _share(score < low).alias("below_share"),
-    )
-    return describe(gold, ["comp_pressure_score"]).crossJoin(F.broadcast(shares))
+    share = lambda c: F.avg(F.when(score.isNotNull(), c.cast("double")))
+    shares = {
+        "above_share": share(score > high),
+        "at_share": share(score.between(low, high)),
+        "below_share": share(score < low),
+    }
+    return describe(gold, ["comp_pressure_score"], shares)
 
 
 # --- sensitivity of the rules -------------------------------------------------------
@@ -411,9 +417,9 @@ def target_delta(gold: DataFrame) -> DataFrame:
         ).alias("delta_pct"),
     )
     pct = settle(F.col("delta_pct"))
-    shares = rows.agg(
-        _share(pct > 1).alias("raise_share"),
-        _share(F.abs(pct) <= 1).alias("hold_share"),
-        _share(pct < -1).alias("cut_share"),
-    )
-    return describe(rows, ["price_delta", "delta_pct"]).crossJoin(F.broadcast(shares))
+    shares = {
+        "raise_share": _share(pct > 1),
+        "hold_share": _share(F.abs(pct) <= 1),
+        "cut_share": _share(pct < -1),
+    }
+    return describe(rows, ["price_delta", "delta_pct"], shares)
