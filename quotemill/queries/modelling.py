@@ -33,13 +33,6 @@ def gbt_feature_importances(spark, sf):
     return L.importances(L.fit_gbt(_split(spark, sf).train, _SMALL))
 
 
-@query("ridge_metrics")
-def ridge_metrics(spark, sf):
-    split = _split(spark, sf)
-    scored = L.predict(L.fit_ridge(split.train), split.test)
-    return regression_metrics(scored, TARGET_COLUMN, L.PREDICTION)
-
-
 @query("model_leaderboard")
 def model_leaderboard(spark, sf):
     split = _split(spark, sf)

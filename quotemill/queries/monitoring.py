@@ -15,8 +15,10 @@ from ..operators.features import (
     standardise_sequences,
     training_frame,
 )
+from ..operators.gram import PREDICTION, gram, ridge, ridge_learning_curve
 from ..operators.models import naive_baseline
-from ..rules import FEATURE_COLUMNS, MODEL_COLUMNS, TERCILE_LABELS
+from ..plans.modelling import prepare
+from ..rules import FEATURE_COLUMNS, MODEL_COLUMNS, TARGET_COLUMN, TERCILE_LABELS
 from ..session import stored
 from . import binding as B
 from .oracle import chain, decimals, r6
@@ -316,3 +318,77 @@ def drift_report(spark, sf):
 )
 def drift_summary(spark, sf):
     return D.drift_summary(D.drift_report(B.stored_gold(spark, sf), B.DAY))
+
+
+# --- linear models ----------------------------------------------------------------------
+
+
+def _ridge_chain(name: str, train: str) -> dict[str, str]:
+    """CTEs that solve ridge with penalty 1 by elimination; ``{name}`` holds means and weights."""
+    k = len(MODEL_COLUMNS)
+    x = [f"x{i}" for i in range(k)]
+    cells = [
+        "[" + ", ".join(f"covar_pop({a}, {b}) * count(*)" + (" + 1" if a == b else "") for b in [*x, "y"]) + "]" for a in x
+    ]
+    steps = {f"{name}_1": f"SELECT [{', '.join(cells)}] AS m FROM filled WHERE {train}"}
+    for p in range(1, k + 1):
+        pivot = f"m[{p}][{p}]"
+        steps[f"{name}_{p + 1}"] = (
+            f"SELECT list_transform(m, lambda line, i: CASE WHEN i = {p} THEN list_transform(line, lambda v: v / {pivot}) "
+            f"ELSE list_transform(line, lambda v, j: v - line[{p}] / {pivot} * m[{p}][j]) END) AS m FROM {name}_{p}"
+        )
+    means = ", ".join(f"avg({c}) AS mean_{c}" for c in [*x, "y"])
+    weights = ", ".join(f"m[{i + 1}][{k + 1}] AS w{i}" for i in range(k))
+    steps[name] = f"SELECT * FROM (SELECT {means}, count(*) AS n FROM filled WHERE {train}) CROSS JOIN (SELECT {weights} FROM {name}_{k + 1})"
+    return steps
+
+
+_GUESS = "mean_y + " + " + ".join(f"w{i} * (x{i} - mean_x{i})" for i in range(len(MODEL_COLUMNS)))
+_SPLIT = {
+    **_TRAIN,
+    "placed": "SELECT *, row_number() OVER (ORDER BY scrape_date, md5(asin)) AS place, count(*) OVER () AS total FROM tf",
+    "marked": "SELECT *, place <= floor(total * CAST(0.8 AS DOUBLE)) AS is_train, floor(total * CAST(0.8 AS DOUBLE)) AS train_total FROM placed",
+    "tmed": "SELECT " + ", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in MODEL_COLUMNS) + " FROM marked WHERE is_train",
+    "filled": "SELECT marked.asin, marked.scrape_date, is_train, place, train_total, suggested_price AS y, "
+    + ", ".join(f"coalesce(CAST(marked.{c} AS DOUBLE), tmed.{c}, 0) AS x{i}" for i, c in enumerate(MODEL_COLUMNS))
+    + " FROM marked CROSS JOIN tmed",
+}
+
+
+@query(
+    "ridge_metrics",
+    chain(
+        f"SELECT {r6('sqrt(avg((y - p) * (y - p)))')} AS rmse, {r6('avg(abs(y - p))')} AS mae, "
+        f"{r6('avg(abs((y - p) / nullif(y, 0))) * 100')} AS mape, count(*) AS n_asins "
+        f"FROM (SELECT y, {_GUESS} AS p FROM filled CROSS JOIN fit WHERE NOT is_train)",
+        **_SPLIT,
+        **_ridge_chain("fit", "is_train"),
+    ),
+)
+def ridge_metrics(spark, sf):
+    split = prepare(B.stored_gold(spark, sf))
+    model = ridge(gram(split.train, [*MODEL_COLUMNS, TARGET_COLUMN]))
+    return M.regression_metrics(model.predict(split.test), TARGET_COLUMN, PREDICTION)
+
+
+_FRACTIONS = (0.2, 0.4, 0.6, 0.8, 1.0)
+
+
+def _curve_sql() -> str:
+    steps, selects = dict(_SPLIT), []
+    for k, fraction in enumerate(_FRACTIONS):
+        prefix = f"is_train AND place <= greatest(2, floor(round(train_total * CAST({fraction} AS DOUBLE), 6)))"
+        steps |= _ridge_chain(f"fit{k}", prefix)
+        error = "sqrt(avg((y - p) * (y - p)))"
+        scored = f"SELECT y, {_GUESS} AS p, n FROM filled CROSS JOIN fit{k}"
+        selects.append(
+            f"SELECT CAST({fraction} AS DOUBLE) AS fraction, (SELECT max(n) FROM fit{k}) AS train_rows, "
+            f"(SELECT {r6(error)} FROM ({scored} WHERE {prefix})) AS train_rmse, (SELECT {r6(error)} FROM ({scored} WHERE NOT is_train)) AS test_rmse"
+        )
+    return chain(" UNION ALL ".join(selects), **steps)
+
+
+@query("ridge_learning_curve", _curve_sql())
+def ridge_learning_curve_query(spark, sf):
+    split = prepare(B.stored_gold(spark, sf))
+    return ridge_learning_curve(split.train, split.test, _FRACTIONS)
