@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.pricing import ratio
-from ..rules import GBT_DEFAULTS, MODEL_COLUMNS, SEARCH_SPACE, TARGET_COLUMN
-from ..session import checkpoint_root, literal_rows
-from .features import engineered, impute, mark_split
+from ..rules import GBT_DEFAULTS, MODEL_COLUMNS, SWEPT_DEPTHS, SWEPT_TREES, TARGET_COLUMN
+from ..session import checkpoint_root, literal_rows, stored
+from .features import engineered, impute
+from .gram import cut_points, gram, ridge, segment_of
 from .metrics import regression_metrics
 from .ordered import exact_percentiles
 
 PREDICTION = "predicted_price"
+_LEAF = re.compile(r"Predict: (\S+)")
 
 _IMPORTANCE = T.StructType(
     [T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())]
@@ -110,6 +116,12 @@ def _one_row(metrics: DataFrame, **labels) -> DataFrame:
     return metrics.select(*named, "rmse", "mae", "mape")
 
 
+def _together(jobs: Sequence[Callable], parallelism: int) -> list:
+    """Results of independent fits, several at a time: a fit is many short jobs."""
+    with ThreadPool(min(parallelism, max(1, len(jobs)))) as pool:
+        return pool.map(inheritable_thread_target(lambda job: job()), jobs)
+
+
 def compare_models(
     train: DataFrame,
     test: DataFrame,
@@ -117,13 +129,18 @@ def compare_models(
     forest_trees: int = 100,
     forest_depth: int = 6,
     alpha: float = 1.0,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Leaderboard of the naive baseline, boosting, ridge and forest, best rmse first."""
+    boosted, forest = _together(
+        [lambda: fit_gbt(train, gbt), lambda: fit_forest(train, forest_trees, forest_depth)], parallelism
+    )
+    linear = ridge(gram(train, [*MODEL_COLUMNS, TARGET_COLUMN]), alpha)
     scored = {
         "Naive baseline": naive_baseline(test),
-        "Gradient boosting": predict(fit_gbt(train, gbt), test),
-        "Ridge": predict(fit_ridge(train, alpha), test),
-        "Random forest": predict(fit_forest(train, forest_trees, forest_depth), test),
+        "Gradient boosting": predict(boosted, test),
+        "Ridge": linear.predict(test, PREDICTION),
+        "Random forest": predict(forest, test),
     }
     rows = [
         _one_row(regression_metrics(df, TARGET_COLUMN, PREDICTION), model=name)
@@ -132,22 +149,72 @@ def compare_models(
     return reduce(DataFrame.unionByName, rows).orderBy("rmse")
 
 
+def _leaf_values(trees) -> list[tuple[int, int, float]]:
+    """(tree, leaf, prediction): leaves numbered from left to right, as a model's leaf column does."""
+    found = []
+    for t, tree in enumerate(trees):
+        values = [float(v) for v in _LEAF.findall(tree.toDebugString)]
+        found += [(t, leaf, value) for leaf, value in enumerate(values)]
+    return found
+
+
+def boosting_stages(model: PipelineModel, df: DataFrame, counts: Sequence[int]) -> DataFrame:
+    """``df`` once per count, with the prediction of that many first trees and ``n_estimators``.
+
+    One fit gives the whole path: each row finds its leaf in every tree by one transform,
+    and the leaves' weighted values are summed up to each count. The table of leaves has at
+    most trees x 2^depth rows, which bounds its broadcast.
+    """
+    spark = df.sparkSession
+    booster = model.stages[-1].copy({model.stages[-1].leafCol: "_leaves"})
+    weights = booster.treeWeights
+    counts = sorted(counts)
+    if counts[-1] > len(weights):
+        raise ValueError(f"the model has {len(weights)} trees, not {counts[-1]}")
+    schema = T.StructType(
+        [T.StructField("_tree", T.IntegerType()), T.StructField("_leaf", T.IntegerType()), T.StructField("_value", T.DoubleType())]
+    )
+    cells = [(t, leaf, value * weights[t]) for t, leaf, value in _leaf_values(booster.trees)]
+    leaves = stored(spark.createDataFrame(cells, schema), "leaves")
+    keyed = stored(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    placed = booster.transform(model.stages[0].transform(keyed)).select("_row", F.posexplode(vector_to_array("_leaves")).alias("_tree", "_leaf"))
+    placed = placed.withColumn("_leaf", F.col("_leaf").cast("int"))
+    sums = [F.sum(F.when(F.col("_tree") < n, F.col("_value"))).alias(f"_p{n}") for n in counts]
+    path = placed.join(F.broadcast(leaves), ["_tree", "_leaf"]).groupBy("_row").agg(*sums)
+    stages = F.array(*[F.struct(F.lit(n).alias("n_estimators"), F.col(f"_p{n}").alias(PREDICTION)) for n in counts])
+    return keyed.join(path, "_row").select(*df.columns, F.inline(stages))
+
+
 def parameter_sweep(
     train: DataFrame,
     test: DataFrame,
-    n_estimators: Iterable[int] = tuple(SEARCH_SPACE["n_estimators"]),
-    max_depth: Iterable[int] = tuple(SEARCH_SPACE["max_depth"]),
+    n_estimators: Iterable[int] = SWEPT_TREES,
+    max_depth: Iterable[int] = SWEPT_DEPTHS,
     base: dict | None = None,
+    parallelism: int = 4,
 ) -> DataFrame:
-    """Test metrics for every combination; the split stays the given time split."""
-    rows = []
-    depths = list(max_depth)
-    for trees in n_estimators:
-        for depth in depths:
-            params = {**(base or {}), "n_estimators": trees, "max_depth": depth}
-            metrics = regression_metrics(predict(fit_gbt(train, params), test), TARGET_COLUMN, PREDICTION)
-            rows.append(_one_row(metrics, n_estimators=trees, max_depth=depth))
-    return reduce(DataFrame.unionByName, rows).orderBy("rmse")
+    """Test metrics along two lines through the base parameters: tree counts, and depths.
+
+    One fit with the most trees gives every tree count at the base depth; every other depth
+    is a fit of its own with the base tree count. The split stays the given time split.
+    """
+    p = {**GBT_DEFAULTS, **(base or {})}
+    counts, own = sorted(n_estimators), p["max_depth"]
+    depths = [d for d in max_depth if d != own]
+    stages = sorted({*counts, p["n_estimators"]} if own in max_depth else {*counts})
+    jobs = [lambda: fit_gbt(train, {**p, "n_estimators": max(stages)})]
+    jobs += [lambda d=d: fit_gbt(train, {**p, "max_depth": d}) for d in depths]
+    longest, *others = _together(jobs, parallelism)
+    path = boosting_stages(longest, test, stages).withColumn("max_depth", F.lit(own))
+    rows = [path]
+    for depth, model in zip(depths, others):
+        at = [F.lit(p["n_estimators"]).alias("n_estimators"), F.lit(depth).alias("max_depth")]
+        rows.append(predict(model, test).select("*", *at))
+    scored = stored(
+        reduce(DataFrame.unionByName, [r.select("n_estimators", "max_depth", TARGET_COLUMN, PREDICTION) for r in rows]), "swept"
+    )
+    metrics = regression_metrics(scored, TARGET_COLUMN, PREDICTION, ["n_estimators", "max_depth"])
+    return metrics.select("n_estimators", "max_depth", "rmse", "mae", "mape").orderBy("rmse")
 
 
 def boosting_path(model: PipelineModel, test: DataFrame) -> list[float]:
@@ -162,12 +229,19 @@ def learning_curve(
     test: DataFrame,
     fractions: Sequence[float] = (0.2, 0.4, 0.6, 0.8, 1.0),
     params: dict | None = None,
+    parallelism: int = 5,
 ) -> DataFrame:
-    """Train and test rmse for growing prefixes (oldest rows first) of the training set."""
+    """Train and test rmse for growing prefixes (oldest rows first) of the training set.
+
+    All prefixes are marked in one pass; their fits run side by side.
+    """
+    n = train.count()
+    sizes = [max(2, int(round(n * f, 6))) for f in fractions]
+    marked = stored(train.withColumn("_segment", segment_of(cut_points(train, sizes))), "segments")
+    prefixes = [marked.where(F.col("_segment") <= k).drop("_segment") for k in range(len(sizes))]
+    models = _together([lambda x=x: fit_gbt(x, params) for x in prefixes], parallelism)
     rows = []
-    for fraction in fractions:
-        prefix = train if fraction >= 1.0 else mark_split(train, 1 - fraction).where("is_train").drop("is_train")
-        model = fit_gbt(prefix, params)
+    for fraction, prefix, model in zip(fractions, prefixes, models):
         inside = regression_metrics(predict(model, prefix), TARGET_COLUMN, PREDICTION)
         outside = regression_metrics(predict(model, test), TARGET_COLUMN, PREDICTION)
         rows.append(

@@ -3,20 +3,14 @@
 from __future__ import annotations
 
 from ..operators import models as L
-from ..operators.metrics import regression_metrics
 from ..plans import modelling as M
 from ..plans.modelling import prepare
-from ..rules import TARGET_COLUMN
 from ..schemas import GOLD_PRICE_FEATURES, GOLD_PRICE_PREDICTIONS
 from ..session import scratch_path
 from ..sinks.tables import read_table, upsert_table
 from . import binding as B
 from .registry import query
 
-# Few trees: the queries show the operators; production defaults are in rules.py.
-_SMALL = {"n_estimators": 8, "max_depth": 4, "learning_rate": 0.3}
-
-
 def _split(spark, sf):
     return prepare(B.stored_gold(spark, sf))
 
@@ -25,30 +19,30 @@ def _split(spark, sf):
 def gbt_predictions(spark, sf):
     gold = B.stored_gold(spark, sf)
     split = prepare(gold)
-    return L.score(L.fit_gbt(split.train, _SMALL), gold, split.medians, "1")
+    return L.score(L.fit_gbt(split.train), gold, split.medians, "1")
 
 
 @query("gbt_feature_importances")
 def gbt_feature_importances(spark, sf):
-    return L.importances(L.fit_gbt(_split(spark, sf).train, _SMALL))
+    return L.importances(L.fit_gbt(_split(spark, sf).train))
 
 
 @query("model_leaderboard")
 def model_leaderboard(spark, sf):
     split = _split(spark, sf)
-    return L.compare_models(split.train, split.test, _SMALL, forest_trees=10)
+    return L.compare_models(split.train, split.test)
 
 
 @query("parameter_sweep")
 def parameter_sweep(spark, sf):
     split = _split(spark, sf)
-    return L.parameter_sweep(split.train, split.test, (2, 4), (2, 4), _SMALL)
+    return L.parameter_sweep(split.train, split.test)
 
 
 @query("learning_curve")
 def learning_curve(spark, sf):
     split = _split(spark, sf)
-    return L.learning_curve(split.train, split.test, (0.5, 1.0), {**_SMALL, "n_estimators": 3})
+    return L.learning_curve(split.train, split.test)
 
 
 @query("model_lifecycle")
@@ -56,7 +50,7 @@ def model_lifecycle(spark, sf):
     """Train, gate, promote and score against stored tables; returns the stored predictions."""
     root = scratch_path(spark, "warehouse")
     upsert_table(B.gold(spark, sf), GOLD_PRICE_FEATURES, root)
-    M.train(spark, root, _SMALL)
-    M.evaluate(spark, root, max_rmse=None, max_mape=None)
+    M.train(spark, root)
+    M.evaluate(spark, root)
     M.score_day(spark, root, B.DAY)
     return read_table(spark, root, GOLD_PRICE_PREDICTIONS).drop("scored_at")

@@ -46,6 +46,9 @@ SEARCH_SPACE = {
     "subsample": [0.7, 0.8, 0.9, 1.0],
     "colsample": [0.6, 0.7, 0.8, 1.0],
 }
+# Tree counts and depths of the sensitivity study.
+SWEPT_TREES = (50, 100, 200, 300, 500)
+SWEPT_DEPTHS = (2, 3, 4, 5, 6, 8)
 
 
 @dataclass(frozen=True)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quotemill.operators import models as M
 from quotemill.operators.drift import drift_report, ks_p_value, ks_statistics
+from quotemill.operators.metrics import regression_metrics
 from quotemill.operators.features import fit_medians, impute, mark_split, point_in_time
 from quotemill.plans.modelling import prepare
 from quotemill.queries import binding as B
@@ -36,11 +37,25 @@ def test_ridge_is_the_closed_form(split):
     assert model.coefficients.toArray() == pytest.approx(wanted, abs=1e-6)
 
 
-def test_boosting_path_is_the_tree_count_sweep(split):
-    params = {"n_estimators": 4, "max_depth": 2, "learning_rate": 0.5, "subsample": 1.0, "colsample": 1.0}
-    path = M.boosting_path(M.fit_gbt(split.train, params), split.test)
-    swept = M.parameter_sweep(split.train, split.test, (4,), (2,), params).first()
-    assert len(path) == 4 and path[-1] == pytest.approx(swept.rmse)
+def test_boosting_stages_are_single_fits(split):
+    """Every tree count of one fit, its path and the sweep agree with fits of that count."""
+    params = {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.5, "subsample": 1.0, "colsample": 1.0}
+    model = M.fit_gbt(split.train, {**params, "n_estimators": 5})
+    path = M.boosting_path(model, split.test)
+    stages = M.boosting_stages(model, split.test, (1, 3, 5))
+    got = {r.n_estimators: r.rmse for r in regression_metrics(stages, TARGET_COLUMN, M.PREDICTION, ["n_estimators"]).collect()}
+    assert got == {n: pytest.approx(path[n - 1]) for n in (1, 3, 5)}
+    swept = {(r.n_estimators, r.max_depth): r.rmse for r in M.parameter_sweep(split.train, split.test, (1, 5), (2, 3), params).collect()}
+    assert swept.keys() == {(1, 3), (3, 3), (5, 3), (3, 2)}
+    assert swept[(5, 3)] == pytest.approx(path[4])
+    with pytest.raises(ValueError, match="5 trees"):
+        M.boosting_stages(model, split.test, (6,))
+
+
+def test_learning_curve_prefixes(split):
+    curve = M.learning_curve(split.train, split.test, (0.5, 1.0), {"n_estimators": 2, "max_depth": 2}).collect()
+    n = split.train.count()
+    assert [r.train_rows for r in curve] == [n // 2, n]
 
 
 def test_untrained_model_raises(split):
