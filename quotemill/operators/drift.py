@@ -100,6 +100,7 @@ def drift_report(
 def drift_summary(report: DataFrame) -> DataFrame:
     """Number and names of drifted features; status says when there was nothing to test."""
     names = F.array_sort(F.collect_list(F.when(F.col("drifted"), F.col("feature"))))
+    # The texts of the status.
     return report.agg(
         F.count_if("drifted").alias("drifted_feature_count"),
         F.concat_ws(",", names).alias("drifted_features"),

@@ -35,6 +35,7 @@ def quality_gate(
 
     Metrics of no rows never pass.
     """
+    # The texts of the verdict.
     verdict = F.lit("All quality gates passed")
     failed = F.lit(False)
     if max_mape is not None:

@@ -88,7 +88,7 @@ def fit_ridge(
 
 def predict(model: PipelineModel | None, df: DataFrame) -> DataFrame:
     if model is None:
-        raise RuntimeError("Model has not been trained yet. Call fit_gbt() first.")
+        raise RuntimeError("fit a model first")
     return model.transform(df).drop("features")
 
 
@@ -103,7 +103,7 @@ def naive_baseline(df: DataFrame, train: DataFrame | None = None) -> DataFrame:
 def importances(model: PipelineModel | None, columns: Sequence[str] = tuple(MODEL_COLUMNS)) -> DataFrame:
     """(feature, importance), largest first; one row per model input."""
     if model is None:
-        raise RuntimeError("Model has not been trained yet.")
+        raise RuntimeError("fit a model first")
     spark = SparkSession.active()
     weights = model.stages[-1].featureImportances.toArray()
     rows = [(name, float(w)) for name, w in zip(columns, weights)]

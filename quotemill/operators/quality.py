@@ -13,6 +13,7 @@ from ..functions.text import valid_key
 from .merge import duplicate_keys
 
 
+# Names, limits and order of the checks.
 def _row_checks(now: Column) -> dict[str, dict[str, Column]]:
     c = F.col
     return {
@@ -41,6 +42,7 @@ def _row_checks(now: Column) -> dict[str, dict[str, Column]]:
     }
 
 
+# Keys that must not repeat.
 _UNIQUE_KEYS = {
     "silver.price_history": ("asin", "scrape_date", "source", "parent_asin"),
     "gold.price_features": ("asin", "scrape_date"),

@@ -14,10 +14,10 @@ from ..operators.features import fit_medians, impute, mark_split, time_split, tr
 from ..operators.metrics import quality_gate, regression_metrics, residuals, worst_predictions
 from ..operators.models import PREDICTION, fit_gbt, importances, predict, score
 from ..operators.quality import require_columns, require_null_fraction, require_rows
-from ..rules import MODEL_COLUMNS, TARGET_COLUMN
+from ..rules import GBT_DEFAULTS, MODEL_COLUMNS, TARGET_COLUMN
 from ..schemas import GOLD_PRICE_FEATURES, GOLD_PRICE_PREDICTIONS, OPS_MODEL_VERSIONS
 from ..session import literal_rows, stored
-from ..sinks.tables import log_metrics, read_table, upsert_table
+from ..sinks.tables import log_metrics, log_parameters, read_table, upsert_table
 
 NEW, PRODUCTION, ARCHIVED = "None", "Production", "Archived"
 
@@ -103,6 +103,8 @@ def train(
     model.write().overwrite().save(f"{path}/model")
     split.medians.write.mode("overwrite").parquet(f"{path}/medians")
     _record(spark, root, version, path, NEW, metrics)
+    used = {**GBT_DEFAULTS, **(params or {}), "min_history": min_history, "test_size": test_size}
+    log_parameters(spark, root, f"train_v{version}", used)
     weights = {r["feature"]: r["importance"] for r in importances(model).collect()}
     values = {k: metrics[k] for k in ("rmse", "mae", "mape")}
     log_metrics(spark, root, f"train_v{version}", {**values, **{f"importance_{k}": v for k, v in weights.items()}})

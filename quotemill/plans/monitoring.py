@@ -11,7 +11,7 @@ from ..operators.drift import drift_report, drift_summary
 from ..operators.metrics import daily_model_metrics, performance_alert
 from ..schemas import GOLD_PRICE_FEATURES, GOLD_PRICE_PREDICTIONS
 from ..session import stored
-from ..sinks.tables import log_metrics, read_table
+from ..sinks.tables import log_metrics, log_parameters, read_table
 
 
 def monitor_drift(
@@ -28,10 +28,12 @@ def monitor_drift(
     report = stored(drift_report(gold, run_day, lookback, p_thresh, mean_thresh), "drift_report")
     summary = drift_summary(report).first().asDict()
     rows = report.collect()
+    run = f"data_drift_{run_day.isoformat()}"
+    log_parameters(spark, root, run, {"lookback": lookback, "p_thresh": p_thresh, "mean_thresh": mean_thresh})
     log_metrics(
         spark,
         root,
-        f"data_drift_{run_day.isoformat()}",
+        run,
         {
             "drifted_feature_count": summary["drifted_feature_count"],
             **{f"ks_{r['feature']}": r["ks_statistic"] for r in rows},
@@ -55,5 +57,7 @@ def monitor_performance(
     result = alert.first().asDict()
     if result["days"]:
         names = ("rolling_mape", "rolling_rmse", "rolling_mae", "alert_triggered")
-        log_metrics(spark, root, f"model_perf_{run_day.isoformat()}", {n: result[n] for n in names})
+        run = f"model_perf_{run_day.isoformat()}"
+        log_parameters(spark, root, run, {"lookback": lookback, "mape_alert": mape_alert})
+        log_metrics(spark, root, run, {n: result[n] for n in names})
     return result

@@ -79,15 +79,22 @@ CTES["pred"] = """SELECT asin, scrape_date, comp_median_price AS predicted_price
   (comp_median_price - current_price) / nullif(current_price, 0) * 100 AS price_diff_pct, 'naive' AS model_version
   FROM gold WHERE comp_median_price IS NOT NULL"""
 
+# Numeric columns of the feature table.
+_GOLD_NUMBERS = [
+    "current_price",
+    "price_7d_ma",
+    "price_7d_volatility",
+    "price_momentum",
+    "comp_median_price",
+    "comp_avg_price",
+    "comp_min_price",
+    "comp_max_price",
+    "comp_pressure_score",
+    "suggested_price",
+]
 GOLD_COLUMNS = ", ".join(
     ["asin", "CAST(scrape_date AS VARCHAR) AS scrape_date", "currency", "price_position", "comp_count", "competitors_below"]
-    + [
-        f"{r6(c)} AS {c}"
-        for c in (
-            "current_price price_7d_ma price_7d_volatility price_momentum comp_median_price comp_avg_price "
-            "comp_min_price comp_max_price comp_pressure_score suggested_price"
-        ).split()
-    ]
+    + [f"{r6(c)} AS {c}" for c in _GOLD_NUMBERS]
 )
 
 

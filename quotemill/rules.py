@@ -51,6 +51,7 @@ SWEPT_TREES = (50, 100, 200, 300, 500)
 SWEPT_DEPTHS = (2, 3, 4, 5, 6, 8)
 
 
+# Parameters of the price rules.
 @dataclass(frozen=True)
 class PriceRules:
     """Parameters of the gold layer."""
@@ -70,6 +71,7 @@ class StockRule:
     phrases: tuple[str, ...]
 
 
+# Stock levels and the phrases that name them.
 # Scarcity and absence are tested before plain availability, because "unavailable"
 # contains "available" and "Only 3 left in stock" contains "in stock".
 STOCK_RULES = (
@@ -79,11 +81,7 @@ STOCK_RULES = (
 )
 
 # Compatibility order: availability first, which labels both phrases above in_stock.
-STOCK_RULES_COMPAT = (
-    StockRule("in_stock", ("in stock", "in_stock", "available")),
-    StockRule("low_stock", ("limited", "low stock", "low_stock", "only")),
-    StockRule("out_of_stock", ("out of stock", "out_of_stock", "unavailable")),
-)
+STOCK_RULES_COMPAT = tuple(reversed(STOCK_RULES))
 
 RULES = PriceRules()
 

@@ -7,60 +7,159 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
-    """``name:type`` pairs separated by blanks; a trailing ``!`` means NOT NULL."""
-    kinds = {
-        "str": T.StringType(),
-        "dbl": T.DoubleType(),
-        "int": T.IntegerType(),
-        "long": T.LongType(),
-        "date": T.DateType(),
-        "ts": T.TimestampType(),
-        "strs": T.ArrayType(T.StringType()),
-    }
-    fields = []
-    for item in spec.split():
-        name, kind = item.split(":")
-        fields.append(T.StructField(name, kinds[kind.rstrip("!")], not kind.endswith("!")))
-    return T.StructType(fields)
-
-
-PRODUCT_SNAPSHOT = _struct(
-    "asin:str! title:str brand:str price:dbl currency:str stock:str rating:dbl url:str "
-    "images:strs categories:strs category_path:strs buybox:str product_overview:str "
-    "amazon_domain:str geo_location:str scraped_at:ts!"
-)
-COMPETITOR_SNAPSHOT = _struct(
-    "parent_asin:str! asin:str! title:str brand:str price:dbl currency:str rating:dbl "
-    "url:str images:strs amazon_domain:str fetched_at:ts!"
-)
-PRICE_HISTORY = _struct(
-    "asin:str! price:dbl! currency:str! stock:str rating:dbl source:str! parent_asin:str "
-    "scrape_date:date! scraped_at:ts! _updated_at:ts"
-)
-COMPETITOR_MAP = _struct(
-    "parent_asin:str! asin:str! title:str brand:str price:dbl currency:str rating:dbl "
-    "price_diff_pct:dbl price_rank:int scrape_date:date! _updated_at:ts"
-)
-PRICE_FEATURES = _struct(
-    "asin:str! scrape_date:date! current_price:dbl currency:str price_7d_ma:dbl "
-    "price_7d_volatility:dbl price_momentum:dbl comp_median_price:dbl comp_avg_price:dbl "
-    "comp_min_price:dbl comp_max_price:dbl comp_count:int competitors_below:int "
-    "comp_pressure_score:dbl suggested_price:dbl price_position:str _computed_at:ts"
-)
-PRICE_PREDICTIONS = _struct(
-    "asin:str! scrape_date:date! predicted_price:dbl current_price:dbl price_diff_pct:dbl "
-    "model_version:str scored_at:ts"
-)
-PRICE_TAILS = _struct(
-    "asin:str! scrape_date:date! price:dbl rating:dbl currency:str stock:str as_of:date!"
-)
-LOAD_AUDIT = _struct(
-    "table_name:str! batch:str operation:str rows_in:long inserted:long updated:long loaded_at:ts"
-)
-RUN_METRICS = _struct("run:str! metric:str! value:dbl logged_at:ts")
-MODEL_VERSIONS = _struct(
-    "version:int! path:str stage:str rmse:dbl mae:dbl mape:dbl changed_at:ts"
+def _required(name: str, kind: T.DataType) -> T.StructField:
+    return T.StructField(name, kind, False)
+
+
+def _optional(name: str, kind: T.DataType) -> T.StructField:
+    return T.StructField(name, kind, True)
+
+
+# Columns, types and NOT NULL constraints of the stored tables.
+PRODUCT_SNAPSHOT = T.StructType(
+    [
+        _required("asin", T.StringType()),
+        _optional("title", T.StringType()),
+        _optional("brand", T.StringType()),
+        _optional("price", T.DoubleType()),
+        _optional("currency", T.StringType()),
+        _optional("stock", T.StringType()),
+        _optional("rating", T.DoubleType()),
+        _optional("url", T.StringType()),
+        _optional("images", T.ArrayType(T.StringType())),
+        _optional("categories", T.ArrayType(T.StringType())),
+        _optional("category_path", T.ArrayType(T.StringType())),
+        _optional("buybox", T.StringType()),
+        _optional("product_overview", T.StringType()),
+        _optional("amazon_domain", T.StringType()),
+        _optional("geo_location", T.StringType()),
+        _required("scraped_at", T.TimestampType()),
+    ]
+)
+COMPETITOR_SNAPSHOT = T.StructType(
+    [
+        _required("parent_asin", T.StringType()),
+        _required("asin", T.StringType()),
+        _optional("title", T.StringType()),
+        _optional("brand", T.StringType()),
+        _optional("price", T.DoubleType()),
+        _optional("currency", T.StringType()),
+        _optional("rating", T.DoubleType()),
+        _optional("url", T.StringType()),
+        _optional("images", T.ArrayType(T.StringType())),
+        _optional("amazon_domain", T.StringType()),
+        _required("fetched_at", T.TimestampType()),
+    ]
+)
+PRICE_HISTORY = T.StructType(
+    [
+        _required("asin", T.StringType()),
+        _required("price", T.DoubleType()),
+        _required("currency", T.StringType()),
+        _optional("stock", T.StringType()),
+        _optional("rating", T.DoubleType()),
+        _required("source", T.StringType()),
+        _optional("parent_asin", T.StringType()),
+        _required("scrape_date", T.DateType()),
+        _required("scraped_at", T.TimestampType()),
+        _optional("_updated_at", T.TimestampType()),
+    ]
+)
+COMPETITOR_MAP = T.StructType(
+    [
+        _required("parent_asin", T.StringType()),
+        _required("asin", T.StringType()),
+        _optional("title", T.StringType()),
+        _optional("brand", T.StringType()),
+        _optional("price", T.DoubleType()),
+        _optional("currency", T.StringType()),
+        _optional("rating", T.DoubleType()),
+        _optional("price_diff_pct", T.DoubleType()),
+        _optional("price_rank", T.IntegerType()),
+        _required("scrape_date", T.DateType()),
+        _optional("_updated_at", T.TimestampType()),
+    ]
+)
+PRICE_FEATURES = T.StructType(
+    [
+        _required("asin", T.StringType()),
+        _required("scrape_date", T.DateType()),
+        _optional("current_price", T.DoubleType()),
+        _optional("currency", T.StringType()),
+        _optional("price_7d_ma", T.DoubleType()),
+        _optional("price_7d_volatility", T.DoubleType()),
+        _optional("price_momentum", T.DoubleType()),
+        _optional("comp_median_price", T.DoubleType()),
+        _optional("comp_avg_price", T.DoubleType()),
+        _optional("comp_min_price", T.DoubleType()),
+        _optional("comp_max_price", T.DoubleType()),
+        _optional("comp_count", T.IntegerType()),
+        _optional("competitors_below", T.IntegerType()),
+        _optional("comp_pressure_score", T.DoubleType()),
+        _optional("suggested_price", T.DoubleType()),
+        _optional("price_position", T.StringType()),
+        _optional("_computed_at", T.TimestampType()),
+    ]
+)
+PRICE_PREDICTIONS = T.StructType(
+    [
+        _required("asin", T.StringType()),
+        _required("scrape_date", T.DateType()),
+        _optional("predicted_price", T.DoubleType()),
+        _optional("current_price", T.DoubleType()),
+        _optional("price_diff_pct", T.DoubleType()),
+        _optional("model_version", T.StringType()),
+        _optional("scored_at", T.TimestampType()),
+    ]
+)
+PRICE_TAILS = T.StructType(
+    [
+        _required("asin", T.StringType()),
+        _required("scrape_date", T.DateType()),
+        _optional("price", T.DoubleType()),
+        _optional("rating", T.DoubleType()),
+        _optional("currency", T.StringType()),
+        _optional("stock", T.StringType()),
+        _required("as_of", T.DateType()),
+    ]
+)
+LOAD_AUDIT = T.StructType(
+    [
+        _required("table_name", T.StringType()),
+        _optional("batch", T.StringType()),
+        _optional("operation", T.StringType()),
+        _optional("rows_in", T.LongType()),
+        _optional("inserted", T.LongType()),
+        _optional("updated", T.LongType()),
+        _optional("loaded_at", T.TimestampType()),
+    ]
+)
+RUN_METRICS = T.StructType(
+    [
+        _required("run", T.StringType()),
+        _required("metric", T.StringType()),
+        _optional("value", T.DoubleType()),
+        _optional("logged_at", T.TimestampType()),
+    ]
+)
+RUN_PARAMETERS = T.StructType(
+    [
+        _required("run", T.StringType()),
+        _required("parameter", T.StringType()),
+        _optional("value", T.StringType()),
+        _optional("logged_at", T.TimestampType()),
+    ]
+)
+MODEL_VERSIONS = T.StructType(
+    [
+        _required("version", T.IntegerType()),
+        _optional("path", T.StringType()),
+        _optional("stage", T.StringType()),
+        _optional("rmse", T.DoubleType()),
+        _optional("mae", T.DoubleType()),
+        _optional("mape", T.DoubleType()),
+        _optional("changed_at", T.TimestampType()),
+    ]
 )
 
 
@@ -102,17 +201,19 @@ class Table:
         return "\n".join(parts)
 
 
-def _with(schema: T.StructType, spec: str) -> T.StructType:
-    return T.StructType(schema.fields + _struct(spec).fields)
+def _ingested(schema: T.StructType) -> T.StructType:
+    """A snapshot schema with the columns that ingestion adds."""
+    added = [_optional("_ingested_at", T.TimestampType()), _optional("ingest_date", T.DateType())]
+    return T.StructType(schema.fields + added)
 
 
 # ingest_date is the UTC date of the snapshot itself.
 BRONZE_PRODUCTS = Table(
-    "bronze", "products", _with(PRODUCT_SNAPSHOT, "_ingested_at:ts ingest_date:date"),
+    "bronze", "products", _ingested(PRODUCT_SNAPSHOT),
     partition="ingest_date", comment="Raw product snapshots, append-only",
 )
 BRONZE_COMPETITORS = Table(
-    "bronze", "competitors", _with(COMPETITOR_SNAPSHOT, "_ingested_at:ts ingest_date:date"),
+    "bronze", "competitors", _ingested(COMPETITOR_SNAPSHOT),
     partition="ingest_date", comment="Raw competitor search results, append-only",
 )
 SILVER_PRICE_HISTORY = Table(
@@ -141,6 +242,7 @@ GOLD_PRICE_PREDICTIONS = Table(
 )
 OPS_LOAD_AUDIT = Table("ops", "load_audit", LOAD_AUDIT, comment="One row per load")
 OPS_RUN_METRICS = Table("ops", "run_metrics", RUN_METRICS, comment="Metrics per run")
+OPS_RUN_PARAMETERS = Table("ops", "run_parameters", RUN_PARAMETERS, comment="Parameters per run")
 OPS_MODEL_VERSIONS = Table(
     "ops", "model_versions", MODEL_VERSIONS, keys=("version",), comment="Model registry",
 )

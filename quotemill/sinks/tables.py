@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.merge import duplicate_keys, merge_rows
-from ..schemas import OPS_LOAD_AUDIT, OPS_RUN_METRICS, Table
+from ..schemas import OPS_LOAD_AUDIT, OPS_RUN_METRICS, OPS_RUN_PARAMETERS, Table
 from ..session import literal_rows
 
 
@@ -297,3 +297,11 @@ def log_metrics(spark: SparkSession, root: str, run: str, metrics: dict[str, flo
     rows = [(run, name, None if v is None else float(v), now) for name, v in metrics.items()]
     frame = literal_rows(spark, rows, OPS_RUN_METRICS.schema)
     frame.coalesce(1).write.mode("append").parquet(OPS_RUN_METRICS.path(root))
+
+
+def log_parameters(spark: SparkSession, root: str, run: str, parameters: dict[str, object]) -> None:
+    """Append one row per parameter of a run, as text; null stays null."""
+    now = datetime.now(timezone.utc)
+    rows = [(run, name, None if v is None else str(v), now) for name, v in parameters.items()]
+    frame = literal_rows(spark, rows, OPS_RUN_PARAMETERS.schema)
+    frame.coalesce(1).write.mode("append").parquet(OPS_RUN_PARAMETERS.path(root))

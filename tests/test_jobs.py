@@ -16,6 +16,7 @@ from quotemill.schemas import (
     GOLD_PRICE_PREDICTIONS,
     OPS_MODEL_VERSIONS,
     OPS_RUN_METRICS,
+    OPS_RUN_PARAMETERS,
     SILVER_COMPETITOR_MAP,
     SILVER_PRICE_HISTORY,
 )
@@ -175,6 +176,8 @@ def test_training(spark, modelled):
     assert result["version"] == 1 and result["rmse"] > 0
     assert len(result["importances"]) == 13 and sum(result["importances"].values()) == pytest.approx(1.0)
     assert read_table(spark, root, OPS_RUN_METRICS).where("metric = 'rmse'").count() == 1
+    logged = {r.parameter: r.value for r in read_table(spark, root, OPS_RUN_PARAMETERS).where("run = 'train_v1'").collect()}
+    assert logged["test_size"] == "0.2" and logged["max_depth"]
 
 
 def test_gate_promote_score_monitor(spark, modelled):

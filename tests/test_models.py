@@ -59,9 +59,9 @@ def test_learning_curve_prefixes(split):
 
 
 def test_untrained_model_raises(split):
-    with pytest.raises(RuntimeError, match="not been trained"):
+    with pytest.raises(RuntimeError, match="fit a model first"):
         M.predict(None, split.test)
-    with pytest.raises(RuntimeError, match="not been trained"):
+    with pytest.raises(RuntimeError, match="fit a model first"):
         M.importances(None)
 
 
