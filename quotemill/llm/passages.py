@@ -11,12 +11,17 @@ passage is missed by its hashes (those that repeat their own shingles aside). Of
 long at least one of three shorter stretches around the centre lies inside it: behind, about
 and before it. Each is a key; what shares a key is a candidate, and the words decide.
 
+Equal texts are one text here: copies of one are listed with its first document, as wholes.
 Places of one key are not all compared with each other but with heads, the first of the key.
-A place is settled when a verified passage with a head covers it. While a key has a place
-that is not, such places become its next heads, four times as many a round, and meet all
-others of the key but earlier heads, settled or not. So a passage in very many documents is
-done in one round and gives links in proportion, and no place is left out of comparison
-with all others but by a passage found there.
+A place is settled for its key when a verified passage with a head of this key holds the
+key's whole stretch; a passage by another key, or one that ends inside the stretch, settles
+nothing. While a key has a place that is not settled, such places become its next heads,
+``_MORE_HEADS`` times as many a round, and meet all others of the key but earlier heads,
+settled or not. So a passage in very many documents is done in one round and gives links in
+proportion. Two places settled for a key by different heads are each listed with theirs.
+
+Words are hashed once (64 bits) and shingles combine these, so that both the windows and the
+comparison work on arrays.
 """
 
 from __future__ import annotations
@@ -31,6 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from quotemill.session import stored
 
@@ -47,6 +53,10 @@ class Settings(NamedTuple):
 
 _SEED = 0x9E3779B97F4A7C15
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_BASE = 0x9E3779B97F4A7C15
+#: Growth of the heads of a key from round to round.
+_MORE_HEADS = 8
+_FOUND = "uid long, a_start int, a_end int, other long, b_start int, b_end int, similarity double"
 #: Shingles of one piece of a very long text.
 PIECE = 1 << 22
 
@@ -55,6 +65,33 @@ def shingles(words: list[bytes], size: int) -> list[bytes]:
     return [b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)]
 
 
+class _WordHashes(dict):
+    """Hashes of the words met so far; emptied when it has grown large."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 1 << 20:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
+_HASHES = _WordHashes()
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """One hash per word of a text, A-Z in lower case."""
+    words = text.lower().split()
+    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+
+
+def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """One hash per shingle of ``size`` words."""
+    out = np.zeros(max(0, len(words) - size + 1), np.uint64)
+    for j in range(size if len(out) else 0):
+        out = out * np.uint64(_BASE) + words[j : j + len(out)]
+    return out
+
+
 def _spread(hashes: np.ndarray, seed: int) -> np.ndarray:
     out = (hashes ^ np.uint64(seed)) * np.uint64(0xBF58476D1CE4E5B9)
     out = (out ^ (out >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
@@ -121,14 +158,13 @@ def _window_table(keyed: DataFrame, settings: Settings) -> DataFrame:
     width = least_run(settings)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        hashed = xxhash.xxh64_intdigest
         for batch in batches:
             out: list[list] = [[pa.array([], t)] for t in (pa.int64(), pa.int64(), *[pa.int32()] * 4)]
             for uid, text in zip(batch["uid"].to_pylist(), batch["text"].to_pylist()):
-                words = text.encode().lower().split()
+                words = word_hashes(text.encode())
                 if len(words) < settings.words:
                     continue
-                whole = np.array([hashed(s) for s in shingles(words, settings.shingle)], np.uint64)
+                whole = shingle_hashes(words, settings.shingle)
                 for at in range(0, max(1, len(whole) - width + 1), PIECE):
                     # With what the stretches of the piece's centres reach.
                     low = max(0, at - width)
@@ -155,18 +191,20 @@ def _stretch_hashes(values: np.ndarray, c: np.ndarray, first: int, last: int) ->
     return pa.array((_spread(sums, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32), mask=~inside)
 
 
-def _members(windows: DataFrame) -> DataFrame:
-    """``k, uid, c``: the places of every key that two documents have."""
+def _members(windows: DataFrame, settings: Settings) -> DataFrame:
+    """``k, uid, c, first, last``: the places of every key that two documents have.
+
+    ``first`` and ``last`` are the shingles at the ends of the key's stretch.
+    """
     several = F.min("uid") < F.max("uid")
     shared = windows.groupBy("key").agg(several.alias("several")).where("several").select("key")
     sides = [
-        F.when(F.col(x).isNotNull(), F.xxhash64("key", F.lit(i), x)) for i, x in enumerate(("behind", "about", "before"))
+        F.when(F.col(x).isNotNull(), F.struct(F.xxhash64("key", F.lit(i), x).alias("k"), (F.col("c") + a).alias("first"), (F.col("c") + b).alias("last")))
+        for i, (x, (a, b)) in enumerate(zip(("behind", "about", "before"), _stretches(least_run(settings))))
     ]
-    listed = stored(
-        windows.join(shared, "key").select(F.explode(F.array_compact(F.array(*sides))).alias("k"), "uid", "c"), "places"
-    )
+    listed = stored(windows.join(shared, "key").select(F.inline(F.array_compact(F.array(*sides))), "uid", "c"), "places")
     keys = listed.groupBy("k").agg(several.alias("several")).where("several").select("k")
-    return listed.join(keys, "k")
+    return listed.join(keys, "k").select("k", "uid", "c", "first", "last")
 
 
 def _candidates(links: DataFrame, settings: Settings) -> DataFrame:
@@ -206,40 +244,42 @@ def regions(c, oc, settings: Settings) -> list[int]:
     return out
 
 
-def similar_parts(a: list[bytes], b: list[bytes], settings: Settings) -> list[tuple[int, int, int, int, float]]:
-    """Passages of word list ``a`` with a similar one in ``b``: ends exclusive, in words.
+def similar_parts(mine: np.ndarray, others: np.ndarray, settings: Settings) -> list[tuple[int, int, int, int, float]]:
+    """Passages of a text with similar ones in another, both as shingle hashes.
 
-    Shingles of ``a`` that ``b`` has too are cut where the gap is passed; a part that is not
-    similar enough is cut again at its widest gap, as long as the pieces can be passages.
+    Ends are exclusive and count words. Shingles of ``mine`` that ``others`` has too are cut
+    where the gap is passed; a part that is not similar enough is cut again at its widest
+    gap, as long as the pieces can be passages.
     """
-    mine, others = shingles(a, settings.shingle), shingles(b, settings.shingle)
-    places: dict[bytes, int] = {}
-    for j, s in enumerate(others):
-        places.setdefault(s, j)
-    met = [i for i, s in enumerate(mine) if s in places]
-    cuts = [k for k in range(1, len(met)) if met[k] - met[k - 1] > settings.gap]
-    waiting = [met[x:y] for x, y in zip([0, *cuts], [*cuts, len(met)])]
+    order = np.argsort(others, kind="stable")
+    listed = others[order]
+    at = np.minimum(np.searchsorted(listed, mine), max(0, len(listed) - 1))
+    met = np.flatnonzero(listed[at] == mine) if len(listed) else np.zeros(0, np.int64)
+    place = order[at[met]] if len(met) else met
     tail, out = settings.shingle - 1, []
+    ends = [0, *(np.flatnonzero(np.diff(met) > settings.gap) + 1).tolist(), len(met)]
+    waiting = list(zip(ends, ends[1:]))
     while waiting:
-        part = waiting.pop()
-        if not part or part[-1] + 1 - part[0] + tail < settings.words:
+        x, y = waiting.pop()
+        if x == y or met[y - 1] + 1 - met[x] + tail < settings.words:
             continue
-        start, end = part[0], part[-1] + 1
-        offset = int(np.median([places[mine[i]] - i for i in part]))
+        start, end = int(met[x]), int(met[y - 1]) + 1
+        offset = int(np.median(place[x:y] - met[x:y]))
         low, high = max(0, start + offset - settings.gap), min(len(others), end + offset + settings.gap)
-        ours = set(mine[start:end])
-        while low < high and others[low] not in ours:
-            low += 1
-        while low < high and others[high - 1] not in ours:
-            high -= 1
-        theirs = set(others[low:high])
-        similarity = len(ours & theirs) / len(ours | theirs)
-        if similarity >= settings.similarity:
-            out.append((start, end + tail, low, high + tail, similarity))
-        else:
-            widest = int(np.argmax(np.diff(part))) + 1 if len(part) > 1 else 0
-            if widest and part[widest] - part[widest - 1] > 1:
-                waiting += [part[:widest], part[widest:]]
+        ours = np.unique(mine[start:end])
+        inside = np.flatnonzero(np.isin(others[low:high], ours))
+        if len(inside):
+            low, high = low + int(inside[0]), low + int(inside[-1]) + 1
+            theirs = np.unique(others[low:high])
+            common = len(np.intersect1d(ours, theirs, assume_unique=True))
+            similarity = common / (len(ours) + len(theirs) - common)
+            if similarity >= settings.similarity:
+                out.append((start, end + tail, low, high + tail, similarity))
+                continue
+        gaps = np.diff(met[x:y])
+        widest = int(np.argmax(gaps)) + 1 if len(gaps) else 0
+        if widest and gaps[widest - 1] > 1:
+            waiting += [(x, x + widest), (x + widest, y)]
     return sorted(out)
 
 
@@ -247,10 +287,13 @@ def _verified(candidates: DataFrame, packed: DataFrame, settings: Settings) -> D
     """``uid, a_start, a_end, other, b_start, b_end, similarity``, ends exclusive, in words."""
 
     def cut(batches: Iterator[pa.RecordBatch]):
+        last, words = None, []
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for i in range(batch.num_rows):
-                words = _unpacked(batch["packed"][i].as_py(), batch["size"][i].as_py()).lower().split()
+                if batch["uid"][i].as_py() != last:
+                    last = batch["uid"][i].as_py()
+                    words = _unpacked(batch["packed"][i].as_py(), batch["size"][i].as_py()).lower().split()
                 listed = batch["regions"][i].as_py()
                 for a, b, c, d in zip(*[iter(listed)] * 4):
                     part = b" ".join(words[a : b + settings.shingle])
@@ -265,21 +308,23 @@ def _verified(candidates: DataFrame, packed: DataFrame, settings: Settings) -> D
     both = mine.join(packed.select(F.col("uid").alias("other"), "packed", "size"), "other")
 
     def check(batches: Iterator[pa.RecordBatch]):
+        last, whole = None, np.zeros(0, np.uint64)
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             for i in range(batch.num_rows):
                 value = lambda name, i=i, batch=batch: batch[name][i].as_py()
-                part = _unpacked(value("part"), value("part_size")).split()
-                words = _unpacked(value("packed"), value("size")).lower().split()
+                if value("other") != last:
+                    last = value("other")
+                    whole = shingle_hashes(word_hashes(_unpacked(value("packed"), value("size"))), settings.shingle)
+                part = shingle_hashes(word_hashes(_unpacked(value("part"), value("part_size"))), settings.shingle)
                 a, c = value("a"), value("c")
-                for s, e, x, y, alike in similar_parts(part, words[c : value("d") + settings.shingle], settings):
+                for s, e, x, y, alike in similar_parts(part, whole[c : value("d") + 1], settings):
                     row = value("uid"), a + s, a + e, value("other"), c + x, c + y, alike
                     for column, cell in zip(out, row):
                         column.append(cell)
             yield out
 
-    schema = "uid long, a_start int, a_end int, other long, b_start int, b_end int, similarity double"
-    return map_arrow(both, check, schema)
+    return map_arrow(both, check, _FOUND)
 
 
 def _head_links(members: DataFrame, heads: DataFrame) -> DataFrame:
@@ -290,35 +335,56 @@ def _head_links(members: DataFrame, heads: DataFrame) -> DataFrame:
     return both.select(high["uid"].alias("uid"), high["c"].alias("c"), low["uid"].alias("other"), low["c"].alias("oc"))
 
 
-def _open_members(members: DataFrame, heads: DataFrame, found: DataFrame, first: bool) -> DataFrame:
+def _open_members(members: DataFrame, heads: DataFrame, found: DataFrame, first: bool, settings: Settings) -> DataFrame:
     """The members of the next round: without the heads, of keys with a place not settled.
 
     No earlier document can cover a place of a key's first one, so these count as settled;
     heads to come still meet them.
     """
+    mine = found.select("uid", "other", "a_start", "a_end")
+    theirs = found.select(F.col("other").alias("uid"), F.col("uid").alias("other"), F.col("b_start").alias("a_start"), F.col("b_end").alias("a_end"))
+    place = ["k", "uid", "c", "first"]
+    own = heads.select("k", F.col("uid").alias("other")).distinct()
     covered = (
-        members.where("NOT settled").select("uid", "c").distinct()
-        .join(found.select("uid", "a_start", "a_end").distinct(), "uid")
-        .where("c >= a_start AND c < a_end")
-        .select("uid", "c", F.lit(True).alias("covered")).distinct()
+        members.where("NOT settled").drop("settled").join(own, "k").join(mine.union(theirs).distinct(), ["uid", "other"])
+        .where((F.col("first") >= F.col("a_start")) & (F.col("last") + settings.shingle <= F.col("a_end")))
+        .select(*place, F.lit(True).alias("covered")).distinct()
     )
-    rest = members.join(heads.select("k", "uid", "c"), ["k", "uid", "c"], "left_anti").join(covered, ["uid", "c"], "left")
+    rest = members.join(heads.select("k", "uid", "c"), ["k", "uid", "c"], "left_anti").join(covered, place, "left")
     settled = F.col("settled") | F.coalesce("covered", F.lit(False))
     if first:
         rest = rest.join(heads.select("k", F.col("uid").alias("least")), "k")
         settled = settled | (F.col("uid") == F.col("least"))
-    rest = rest.select("k", "uid", "c", settled.alias("settled"))
+    rest = rest.select(*place, "last", settled.alias("settled"))
     keys = rest.groupBy("k").agg((~F.every("settled") & (F.min("uid") < F.max("uid"))).alias("open")).where("open")
-    return rest.join(keys.select("k"), "k")
+    return rest.join(keys.select("k"), "k").select(*members.columns)
 
 
-def _near_passages(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """The keyed documents, and verified pairs by key."""
-    keyed = _keyed(docs)
-    members = stored(_members(stored(_window_table(keyed, settings), "windows")), "members")
-    packed = stored(_packed(keyed).join(members.select("uid").distinct(), "uid", "left_semi"), "packed")
-    members, count, found = members.withColumn("settled", F.lit(False)), 1, None
-    while found is None or not members.isEmpty():
+def _copies(keyed: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """The first row of every text, and the pairs of its copies with it."""
+    marked = keyed.withColumn("same", F.sha2("text", 256))
+    firsts = marked.groupBy("same").agg(F.min("uid").alias("least"), F.count("*").alias("rows"))
+    firsts = stored(firsts, "firsts")
+    distinct = keyed.join(firsts.select(F.col("least").alias("uid")), "uid", "left_semi")
+    repeated = marked.join(firsts.where("rows > 1"), "same").where("uid <> least").select("uid", "least", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            sizes = np.array([len(t.encode().split()) for t in batch["text"].to_pylist()], np.int32)
+            long, n = pa.array(sizes >= settings.words), pa.array(sizes)
+            zero, one = pa.array(np.zeros(len(sizes), np.int32)), pa.array(np.ones(len(sizes)))
+            yield [x.filter(long) for x in (batch["uid"], zero, n, batch["least"], zero, n, one)]
+
+    return distinct, map_arrow(repeated, run, _FOUND)
+
+
+def _near_passages(keyed: DataFrame, settings: Settings) -> DataFrame:
+    """Verified pairs by key (``_FOUND``) of the rows ``uid, text``."""
+    distinct, copies = _copies(keyed, settings)
+    members = stored(_members(stored(_window_table(distinct, settings), "windows"), settings), "members")
+    packed = stored(_packed(distinct.join(members.select("uid").distinct(), "uid", "left_semi")), "packed")
+    members, count, found = members.withColumn("settled", F.lit(False)), 1, copies
+    while count == 1 or not members.isEmpty():
         if count == 1:
             heads = members.groupBy("k").agg(F.min(F.struct("uid", "c")).alias("head")).select("k", "head.*")
         else:
@@ -327,22 +393,24 @@ def _near_passages(docs: DataFrame, settings: Settings) -> tuple[DataFrame, Data
             heads = stored(heads.select("k", "uid", "c"), "heads")
         links = _head_links(members, heads)
         now = stored(_verified(_candidates(links, settings), packed, settings), "passages")
-        members = stored(_open_members(members, heads, now, count == 1), "members")
-        found, count = now if found is None else found.union(now), 4 * count
-    return keyed, found.distinct()
+        members = stored(_open_members(members, heads, now, count == 1, settings), "members")
+        found, count = found.union(now), _MORE_HEADS * count
+    return found.distinct()
 
 
 def near_passages(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Verified pairs of near-duplicate passages of different documents.
 
     ``doc_id, start_word, end_word, other_doc_id, other_start_word, other_end_word,
-    similarity``, with ends exclusive. The other document is a head, a smaller id that many may
-    share; two documents with one head at one place are not listed with each other again.
-    Documents without such a passage give no row; null and short texts have none; repeated rows pair like other documents.
+    similarity``, with ends exclusive. The other document is a head, a smaller id that many
+    may share; two documents with one head at one place are not listed with each other again,
+    and a copy of a whole text only with the text's first document. Documents without such a
+    passage give no row; null and short texts have none; repeated rows pair like other
+    documents.
     """
-    keyed, found = _near_passages(docs, settings)
+    keyed = _keyed(docs)
     ids = keyed.select("uid", "doc_id")
-    named = found.join(ids, "uid").join(ids.toDF("other", "other_doc_id"), "other")
+    named = _near_passages(keyed, settings).join(ids, "uid").join(ids.toDF("other", "other_doc_id"), "other")
     return named.select(
         "doc_id", F.col("a_start").alias("start_word"), F.col("a_end").alias("end_word"), "other_doc_id",
         F.col("b_start").alias("other_start_word"), F.col("b_end").alias("other_end_word"), "similarity",
@@ -365,23 +433,34 @@ def _without(text: str | None, spans: list | None) -> str | None:
 
 
 def drop_repeated_passages(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with every near-duplicate passage cut from all documents but the first.
+    """``docs`` with every near-duplicate passage cut from all rows but the first.
 
-    All rows and columns stay; ``n_chars``, where there is one, follows the new text. Rows
-    without an id stay as they are.
+    All rows and columns stay; ``n_chars``, where there is one, follows the new text. The
+    first is that of the smallest id; where ids repeat or are missing, rows are told apart by
+    a stored number and the order is that of the numbers.
     """
-    keyed, found = _near_passages(docs.where(F.col("doc_id").isNotNull()), settings)
-    spans = found.join(keyed.select("uid", "doc_id"), "uid").groupBy("doc_id").agg(
-        F.collect_set(F.struct("uid", "a_start", "a_end")).alias("spans")
-    )
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
-    joined = plain.join(spans.withColumnRenamed("doc_id", key), key, "left")
-    cut = F.udf(lambda t, s: _without(t, [x[1:] for x in s or []]), "string")
-    new = F.when(F.col("spans").isNotNull(), cut(F.col(text), F.col("spans"))).otherwise(F.col(text))
-    joined = joined.withColumn(text, new)
+    rows, ids = plain.agg(F.count("*"), F.countDistinct(key)).first()
+    if rows == ids:
+        numbered = plain.withColumn("uid", F.col(key).cast("long"))
+    else:
+        numbered = stored(plain.withColumn("uid", F.monotonically_increasing_id()), "numbered")
+    keyed = numbered.select("uid", F.col(key).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    spans = _near_passages(keyed, settings).groupBy("uid").agg(F.collect_set(F.struct("a_start", "a_end")).alias("spans"))
+    joined = numbered.join(spans, "uid", "left").select(*plain.columns, "spans")
+    at = plain.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            columns = list(batch.columns)
+            listed = [None if s is None else [(x["a_start"], x["a_end"]) for x in s] for s in columns.pop().to_pylist()]
+            columns[at] = [_without(t, s) for t, s in zip(columns[at].to_pylist(), listed)]
+            yield [*columns, [s is not None for s in listed]]
+
+    done = map_arrow(joined, run, StructType([*plain.schema.fields, StructField("cut", BooleanType())]))
     if "n_chars" in names:
         chars = f"c{names.index('n_chars')}"
-        joined = joined.withColumn(chars, F.when(F.col("spans").isNotNull(), F.length(text)).otherwise(F.col(chars)).cast(plain.schema[chars].dataType))
-    return joined.select(*plain.columns).toDF(*names)
+        done = done.withColumn(chars, F.when(F.col("cut"), F.length(text)).otherwise(F.col(chars)).cast(plain.schema[chars].dataType))
+    return done.select(*plain.columns).toDF(*names)

@@ -199,3 +199,31 @@ def test_a_head_without_the_passage_hides_no_pair(spark):
     found = {(r.doc_id, r.other_doc_id) for r in passages.near_passages(docs).collect()}
     assert {a for a, _ in found} == {*[10 * j + i for j in range(1, 5) for i in (1, 2)], 90}
     assert all(a // 10 == b // 10 or a == 90 and b // 10 == 1 for a, b in found)
+
+
+def test_a_passage_with_another_head_hides_no_pair(spark):
+    rng, rows, wanted = random.Random(5), [], []
+    fresh = lambda k: " ".join(f"w{rng.getrandbits(40)}" for _ in range(k))
+    for g in range(20):
+        line, start, a, b = fresh(48), fresh(3), fresh(30), fresh(30)
+        texts = [f"{fresh(30)} {line} {fresh(30)}", f"{fresh(30)} {line} {a}", f"{fresh(30)} {line} {b}",
+                 f"{fresh(30)} {start} {line} {a}", f"{fresh(30)} {start} {line} {b}"]
+        rows += [(10 * g + i, t) for i, t in enumerate(texts)]
+        wanted.append((10 * g + 4, 10 * g + 3))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.other_doc_id) for r in passages.near_passages(docs).collect()}
+    heads = lambda d: {b for a, b in found if a == d}
+    assert [p for p in wanted if p not in found and not heads(p[0]) & (heads(p[1]) | {p[1]})] == []
+
+
+def test_passages_of_copies_and_of_repeated_ids_with_different_texts(spark):
+    a, b = prose(120, 31), prose(70, 32) + " " + prose(60, 33)
+    rows = [(1, a, 9), (2, a, 9), (2, prose(20, 34) + " " + prose(60, 33), 9), (3, b, 9), (None, a, 9), (4, None, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, cut int").coalesce(1)
+    left = passages.drop_repeated_passages(docs)
+    assert left.columns == docs.columns
+    assert {(r.doc_id, (r.text or "").strip()) for r in left.collect()} == {
+        (1, a), (2, ""), (2, rows[2][1]), (3, prose(70, 32)), (None, ""), (4, ""),
+    }
+    pairs = [(r.doc_id, r.other_doc_id) for r in passages.near_passages(docs).collect()]
+    assert sorted(pairs, key=str) == sorted([(2, 1), (None, 1), (3, 2)], key=str)
