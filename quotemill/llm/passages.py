@@ -40,7 +40,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 
 from quotemill.session import stored
 
-from .substring_repeats import _keyed, _packed, _unpacked
+from .substring_repeats import _keyed, _unpacked
 from .tables import map_arrow
 
 
@@ -53,7 +53,7 @@ class Settings(NamedTuple):
 
 _SEED = 0x9E3779B97F4A7C15
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-_BASE = 0x9E3779B97F4A7C15
+_BASE = 0x9E3779B97F4A7C15  #: odd, so that it has an inverse
 #: Growth of the heads of a key from round to round.
 _MORE_HEADS = 8
 _FOUND = "uid long, a_start int, a_end int, other long, b_start int, b_end int, similarity double"
@@ -65,23 +65,52 @@ def shingles(words: list[bytes], size: int) -> list[bytes]:
     return [b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)]
 
 
-class _WordHashes(dict):
-    """Hashes of the words met so far; emptied when it has grown large."""
+def _table(n: int, seed: int) -> np.ndarray:
+    return _spread(np.arange(1, n + 1, dtype=np.uint64), seed)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 20:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
 
+class Words:
+    """Where the words of a text are (bytes, ends exclusive) and one 64-bit hash of each.
 
-_HASHES = _WordHashes()
+    A word's hash is a polynomial over its bytes with A-Z in lower case, taken for all words
+    at once from the running sum of the text.
+    """
+
+    def __init__(self, text: bytes):
+        data = np.frombuffer(text, np.uint8)
+        inside = np.zeros(len(data) + 2, np.int8)
+        inside[1:-1] = ~((data == 32) | ((data >= 9) & (data <= 13)))
+        edge = np.diff(inside)
+        self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.hashes = np.zeros(len(self.start), np.uint64)
+        for i in range(0, len(self.start), _BLOCK):
+            start, end = self.start[i : i + _BLOCK], self.end[i : i + _BLOCK]
+            part = data[start[0] : end[-1]]
+            power, back = _powers(_BASE, len(part)), _powers(pow(_BASE, -1, 1 << 64), len(part))
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_BYTES[part] * power[: len(part)], out=sums[1:])
+            words = (sums[end - start[0]] - sums[start - start[0]]) * back[start - start[0]]
+            self.hashes[i : i + _BLOCK] = _spread(words, _SEED + 2)
+
+
+#: Words hashed at once.
+_BLOCK = 1 << 18
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """Powers of a base by place, kept for the next text and more than ``n``."""
+    known = _POWERS.get(base)
+    if known is None or len(known) <= n:
+        steps = np.full(max(1 << 16, n + 1), base, np.uint64)
+        steps[0] = 1
+        known = _POWERS[base] = np.cumprod(steps)
+    return known
 
 
 def word_hashes(text: bytes) -> np.ndarray:
     """One hash per word of a text, A-Z in lower case."""
-    words = text.lower().split()
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return Words(text).hashes
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -98,6 +127,11 @@ def _spread(hashes: np.ndarray, seed: int) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
+#: A number per byte; upper case has that of lower case.
+_BYTES = _table(256, _SEED)
+_BYTES[65:91] = _BYTES[97:123]
+
+
 def least_run(settings: Settings) -> int:
     """Shingles that two passages just similar enough share in one unchanged run, at least.
 
@@ -173,8 +207,9 @@ def _window_table(keyed: DataFrame, settings: Settings) -> DataFrame:
                     _, c, _ = compact_windows(values, width)
                     c = c.astype(np.int64)
                     row = [pa.array(values[c].view(np.int64)), pa.array(np.full(len(c), uid)), pa.array(c + at, pa.int32())]
-                    for first, last in _stretches(width):
-                        row.append(_stretch_hashes(near, c + (at - low), first, last))
+                    sides = _stretches(width)
+                    sums = _runs(near, sides[0][1] - sides[0][0] + 1)
+                    row += [_at(sums, c + (at - low) + first) for first, _ in sides]
                     for column, part in zip(out, row):
                         column.append(part)
             yield [pa.concat_arrays(column) for column in out]
@@ -182,17 +217,31 @@ def _window_table(keyed: DataFrame, settings: Settings) -> DataFrame:
     return map_arrow(keyed, run, "key long, uid long, c int, behind int, about int, before int")
 
 
-def _stretch_hashes(values: np.ndarray, c: np.ndarray, first: int, last: int) -> pa.Array:
-    inside = (c + first >= 0) & (c + last < len(values))
-    sums = np.zeros(len(c), np.uint64)
-    at = c[inside]
-    for d in range(first, last + 1):
-        sums[inside] = sums[inside] * np.uint64(0x9E3779B97F4A7C15) + values[at + d]
-    return pa.array((_spread(sums, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32), mask=~inside)
+def _runs(values: np.ndarray, length: int) -> np.ndarray:
+    """32-bit hashes of all runs of ``length`` values."""
+    n = len(values) - length + 1
+    if n <= 0:
+        return np.zeros(0, np.int32)
+    total, done, part, size = np.zeros(n, np.uint64), 0, values, 1
+    while done < length:
+        if length & size:
+            total = total * np.uint64(pow(_BASE, size, 1 << 64)) + part[done : done + n]
+            done += size
+        if done < length:
+            part = part[: len(part) - size] * np.uint64(pow(_BASE, size, 1 << 64)) + part[size:]
+            size *= 2
+    return (_spread(total, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _at(sums: np.ndarray, places: np.ndarray) -> pa.Array:
+    """The values at places; none for places outside."""
+    outside = (places < 0) | (places >= len(sums))
+    values = sums[np.where(outside, 0, places)] if len(sums) else np.zeros(len(places), np.int32)
+    return pa.array(values, pa.int32(), mask=outside)
 
 
 def _members(windows: DataFrame, settings: Settings) -> DataFrame:
-    """``k, uid, c, first, last``: the places of every key that two documents have.
+    """``k, uid, c, first, last, settled``: the places of every key that two documents have.
 
     ``first`` and ``last`` are the shingles at the ends of the key's stretch.
     """
@@ -204,58 +253,59 @@ def _members(windows: DataFrame, settings: Settings) -> DataFrame:
     ]
     listed = stored(windows.join(shared, "key").select(F.inline(F.array_compact(F.array(*sides))), "uid", "c"), "places")
     keys = listed.groupBy("k").agg(several.alias("several")).where("several").select("k")
-    return listed.join(keys, "k").select("k", "uid", "c", "first", "last")
+    members = listed.join(keys, "k").select("k", "uid", "c", "first", "last", F.lit(False).alias("settled"))
+    members = stored(members, "members")
+    _forget(listed)
+    return members
+
+
+#: Width of a band of diagonals.
+BAND = 64
 
 
 def _candidates(links: DataFrame, settings: Settings) -> DataFrame:
-    """``uid, other, regions`` of linked centres ``uid, c, other, oc``.
+    """``uid, other, a, b, c, d`` of linked centres ``uid, c, other, oc``.
 
-    A region is a_start, a_end, b_start, b_end in shingles (ends inclusive), flat.
+    A region per pair and band of diagonals, in shingles (ends inclusive) that may pass those
+    of the texts. Parts of a passage without a run of their own are at most twice as long as
+    those with one, which bounds its ends; of a passage that lies in several bands the region
+    of one holds all.
     """
-    listed = links.groupBy("uid", "other").agg(F.collect_set(F.struct("c", "oc")).alias("links"))
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            found = []
-            for links in batch["links"]:
-                found.append(regions(*[c.to_numpy().astype(np.int64) for c in links.values.flatten()], settings))
-            yield batch["uid"], batch["other"], found
+    run, n = least_run(settings), settings.words
+    band = F.floor((F.col("c") - F.col("oc")) / BAND).cast("int").alias("band")
+    ends = [f("c" if i < 2 else "oc").alias(x) for i, (f, x) in enumerate(zip((F.min, F.max, F.min, F.max), "lhxy"))]
+    more = 2 * (F.col("h") - F.col("l") + 2 * run) + n
+    return links.groupBy("uid", "other", band).agg(*ends).select(
+        "uid", "other", F.greatest(F.lit(0), F.col("l") - more).alias("a"), (F.col("h") + more).alias("b"),
+        F.greatest(F.lit(0), F.col("x") - more).alias("c"), (F.col("y") + more).alias("d"),
+    )
 
-    return map_arrow(listed, run, "uid long, other long, regions array<int>")
 
+class Shingles:
+    """Shingle hashes of the text that others are compared with, numbered and sorted."""
 
-def regions(c, oc, settings: Settings) -> list[int]:
-    """Where passages around linked centres can lie; ends may pass those of the texts.
+    def __init__(self, values: np.ndarray):
+        self.values = values
+        self.listed, self.first, self.number = np.unique(values, return_index=True, return_inverse=True)
 
-    Centres near one diagonal and near each other form a region. Parts of a passage without
-    a run of their own are at most twice as long as those with one, which bounds its ends.
-    """
-    run, n = least_run(settings), settings.words
-    out: list[int] = []
-    order = np.lexsort((c, c - oc))
-    for band in np.split(order, np.flatnonzero(np.diff((c - oc)[order]) > settings.gap) + 1):
-        band = band[np.argsort(c[band], kind="stable")]
-        for part in np.split(band, np.flatnonzero(np.diff(c[band]) > 2 * n) + 1):
-            low, high = int(c[part].min()), int(c[part].max())
-            more = 2 * (high - low + 2 * run) + n
-            out += [
-                max(0, low - more), high + more, max(0, int(oc[part].min()) - more), int(oc[part].max()) + more,
-            ]
-    return out
+    def numbers(self, mine: np.ndarray) -> np.ndarray:
+        """The number of every given shingle here; -1 for those that are not here."""
+        if not len(self.listed):
+            return np.full(len(mine), -1)
+        at = np.minimum(np.searchsorted(self.listed, mine), len(self.listed) - 1)
+        return np.where(self.listed[at] == mine, at, -1)
 
 
-def similar_parts(mine: np.ndarray, others: np.ndarray, settings: Settings) -> list[tuple[int, int, int, int, float]]:
-    """Passages of a text with similar ones in another, both as shingle hashes.
+def similar_parts(mine: np.ndarray, others: Shingles, settings: Settings) -> list[tuple[int, int, int, int, float]]:
+    """Passages of a text (its shingle hashes) with similar ones in another.
 
     Ends are exclusive and count words. Shingles of ``mine`` that ``others`` has too are cut
     where the gap is passed; a part that is not similar enough is cut again at its widest
     gap, as long as the pieces can be passages.
     """
-    order = np.argsort(others, kind="stable")
-    listed = others[order]
-    at = np.minimum(np.searchsorted(listed, mine), max(0, len(listed) - 1))
-    met = np.flatnonzero(listed[at] == mine) if len(listed) else np.zeros(0, np.int64)
-    place = order[at[met]] if len(met) else met
+    numbers = others.numbers(mine)
+    met = np.flatnonzero(numbers >= 0)
+    shift = others.first[numbers[met]] - met
     tail, out = settings.shingle - 1, []
     ends = [0, *(np.flatnonzero(np.diff(met) > settings.gap) + 1).tolist(), len(met)]
     waiting = list(zip(ends, ends[1:]))
@@ -264,17 +314,20 @@ def similar_parts(mine: np.ndarray, others: np.ndarray, settings: Settings) -> l
         if x == y or met[y - 1] + 1 - met[x] + tail < settings.words:
             continue
         start, end = int(met[x]), int(met[y - 1]) + 1
-        offset = int(np.median(place[x:y] - met[x:y]))
-        low, high = max(0, start + offset - settings.gap), min(len(others), end + offset + settings.gap)
-        ours = np.unique(mine[start:end])
-        inside = np.flatnonzero(np.isin(others[low:high], ours))
+        offset = int(np.median(shift[x:y]))
+        low, high = max(0, start + offset - settings.gap), min(len(others.values), end + offset + settings.gap)
+        ours = np.zeros(len(others.listed), bool)
+        ours[numbers[met[x:y]]] = True
+        inside = np.flatnonzero(ours[others.number[low:high]])
         if len(inside):
             low, high = low + int(inside[0]), low + int(inside[-1]) + 1
-            theirs = np.unique(others[low:high])
-            common = len(np.intersect1d(ours, theirs, assume_unique=True))
-            similarity = common / (len(ours) + len(theirs) - common)
-            if similarity >= settings.similarity:
-                out.append((start, end + tail, low, high + tail, similarity))
+            theirs = np.zeros(len(others.listed), bool)
+            theirs[others.number[low:high]] = True
+            alone = mine[start:end][numbers[start:end] < 0]
+            common = int((ours & theirs).sum())
+            union = int((ours | theirs).sum()) + len(np.unique(alone))
+            if common / union >= settings.similarity:
+                out.append((start, end + tail, low, high + tail, common / union))
                 continue
         gaps = np.diff(met[x:y])
         widest = int(np.argmax(gaps)) + 1 if len(gaps) else 0
@@ -283,43 +336,53 @@ def similar_parts(mine: np.ndarray, others: np.ndarray, settings: Settings) -> l
     return sorted(out)
 
 
+def _packed(keyed: DataFrame) -> DataFrame:
+    """``uid, packed, size``: texts lightly compressed for their way through a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            data = [t.encode() for t in batch["text"].to_pylist()]
+            yield batch["uid"], [pa.compress(d, "zstd", asbytes=True) if d else b"" for d in data], [len(d) for d in data]
+
+    return map_arrow(keyed, run, "uid long, packed binary, size long")
+
+
 def _verified(candidates: DataFrame, packed: DataFrame, settings: Settings) -> DataFrame:
     """``uid, a_start, a_end, other, b_start, b_end, similarity``, ends exclusive, in words."""
 
     def cut(batches: Iterator[pa.RecordBatch]):
-        last, words = None, []
+        last, data, words = None, b"", Words(b"")
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for i in range(batch.num_rows):
-                if batch["uid"][i].as_py() != last:
-                    last = batch["uid"][i].as_py()
-                    words = _unpacked(batch["packed"][i].as_py(), batch["size"][i].as_py()).lower().split()
-                listed = batch["regions"][i].as_py()
-                for a, b, c, d in zip(*[iter(listed)] * 4):
-                    part = b" ".join(words[a : b + settings.shingle])
-                    row = batch["uid"][i].as_py(), batch["other"][i].as_py(), a, c, d, pa.compress(part, "zstd", asbytes=True)
-                    for column, value in zip(out, (*row[:5], (len(part), row[5]))):
-                        column.append(value)
-            sizes, parts = [p[0] for p in out[5]], [p[1] for p in out[5]]
-            yield *out[:5], sizes, parts
+            sizes, parts = [], []
+            for uid, a, b, i in zip(*[batch[x].to_pylist() for x in ("uid", "a", "b")], range(batch.num_rows)):
+                if uid != last:
+                    last, data = uid, _unpacked(batch["packed"][i].as_py(), batch["size"][i].as_py())
+                    words = Words(data)
+                end = min(b + settings.shingle, len(words.end))
+                part = data[words.start[a] : words.end[end - 1]] if a < end else b""
+                sizes.append(len(part))
+                parts.append(pa.compress(part, "zstd", asbytes=True) if part else b"")
+            yield *[batch[x] for x in ("uid", "other", "a", "c", "d")], sizes, parts
 
     schema = "uid long, other long, a int, c int, d int, part_size long, part binary"
-    mine = map_arrow(candidates.join(packed.drop("doc_id"), "uid"), cut, schema)
+    mine = map_arrow(candidates.join(packed, "uid"), cut, schema)
     both = mine.join(packed.select(F.col("uid").alias("other"), "packed", "size"), "other")
 
     def check(batches: Iterator[pa.RecordBatch]):
-        last, whole = None, np.zeros(0, np.uint64)
+        last, whole, ends, there = None, np.zeros(0, np.uint64), None, None
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
-            for i in range(batch.num_rows):
-                value = lambda name, i=i, batch=batch: batch[name][i].as_py()
-                if value("other") != last:
-                    last = value("other")
-                    whole = shingle_hashes(word_hashes(_unpacked(value("packed"), value("size"))), settings.shingle)
-                part = shingle_hashes(word_hashes(_unpacked(value("part"), value("part_size"))), settings.shingle)
-                a, c = value("a"), value("c")
-                for s, e, x, y, alike in similar_parts(part, whole[c : value("d") + 1], settings):
-                    row = value("uid"), a + s, a + e, value("other"), c + x, c + y, alike
+            listed = [batch[x].to_pylist() for x in ("uid", "other", "a", "c", "d", "part_size", "part")]
+            for i, (uid, other, a, c, d, size, part) in enumerate(zip(*listed)):
+                if other != last:
+                    last, ends = other, None
+                    whole = shingle_hashes(word_hashes(_unpacked(batch["packed"][i].as_py(), batch["size"][i].as_py())), settings.shingle)
+                if ends != (c, min(d + 1, len(whole))):
+                    ends = c, min(d + 1, len(whole))
+                    there = Shingles(whole[ends[0] : ends[1]])
+                mine = shingle_hashes(word_hashes(_unpacked(part, size)), settings.shingle)
+                for s, e, x, y, alike in similar_parts(mine, there, settings):
+                    row = uid, a + s, a + e, other, c + x, c + y, alike
                     for column, cell in zip(out, row):
                         column.append(cell)
             yield out
@@ -381,23 +444,37 @@ def _copies(keyed: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]
 def _near_passages(keyed: DataFrame, settings: Settings) -> DataFrame:
     """Verified pairs by key (``_FOUND``) of the rows ``uid, text``."""
     distinct, copies = _copies(keyed, settings)
-    members = stored(_members(stored(_window_table(distinct, settings), "windows"), settings), "members")
+    windows = stored(_window_table(distinct, settings), "windows")
+    members = _members(windows, settings)
+    _forget(windows)
     packed = stored(_packed(distinct.join(members.select("uid").distinct(), "uid", "left_semi")), "packed")
-    members, count, found = members.withColumn("settled", F.lit(False)), 1, copies
+    count, found = 1, copies
     while count == 1 or not members.isEmpty():
         if count == 1:
             heads = members.groupBy("k").agg(F.min(F.struct("uid", "c")).alias("head")).select("k", "head.*")
         else:
             order = Window.partitionBy("k").orderBy("uid", "c")
             heads = members.where("NOT settled").withColumn("n", F.row_number().over(order)).where(F.col("n") <= count)
-            heads = stored(heads.select("k", "uid", "c"), "heads")
+            heads = heads.select("k", "uid", "c")
+        heads = stored(heads, "heads")
         links = _head_links(members, heads)
         now = stored(_verified(_candidates(links, settings), packed, settings), "passages")
-        members = stored(_open_members(members, heads, now, count == 1, settings), "members")
-        found, count = found.union(now), _MORE_HEADS * count
+        rest = stored(_open_members(members, heads, now, count == 1, settings), "members")
+        _forget(members)
+        _forget(heads)
+        members, found, count = rest, found.union(now), _MORE_HEADS * count
     return found.distinct()
 
 
+def _forget(table: DataFrame) -> None:
+    """Delete a stored table that no later step reads."""
+    files = table.inputFiles()
+    if files:
+        jvm, session = table.sparkSession._jvm, table.sparkSession._jsparkSession
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(session.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def near_passages(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Verified pairs of near-duplicate passages of different documents.
 
