@@ -218,7 +218,7 @@ def _window_table(keyed: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _runs(values: np.ndarray, length: int) -> np.ndarray:
-    """32-bit hashes of all runs of ``length`` values."""
+    """24-bit hashes of all runs of ``length`` values."""
     n = len(values) - length + 1
     if n <= 0:
         return np.zeros(0, np.int32)
@@ -230,7 +230,7 @@ def _runs(values: np.ndarray, length: int) -> np.ndarray:
         if done < length:
             part = part[: len(part) - size] * np.uint64(pow(_BASE, size, 1 << 64)) + part[size:]
             size *= 2
-    return (_spread(total, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return (_spread(total, 1) >> np.uint64(40)).astype(np.int32)
 
 
 def _at(sums: np.ndarray, places: np.ndarray) -> pa.Array:
@@ -241,19 +241,21 @@ def _at(sums: np.ndarray, places: np.ndarray) -> pa.Array:
 
 
 def _members(windows: DataFrame, settings: Settings) -> DataFrame:
-    """``k, uid, c, first, last, settled``: the places of every key that two documents have.
+    """``k, uid, c, first, last, settled, hu, hc``: the places of every key that two documents have.
 
-    ``first`` and ``last`` are the shingles at the ends of the key's stretch.
+    ``first`` and ``last`` are the shingles at the ends of the key's stretch, ``hu, hc`` is
+    the key's first head.
     """
-    several = F.min("uid") < F.max("uid")
-    shared = windows.groupBy("key").agg(several.alias("several")).where("several").select("key")
+    shared = windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     sides = [
         F.when(F.col(x).isNotNull(), F.struct(F.xxhash64("key", F.lit(i), x).alias("k"), (F.col("c") + a).alias("first"), (F.col("c") + b).alias("last")))
         for i, (x, (a, b)) in enumerate(zip(("behind", "about", "before"), _stretches(least_run(settings))))
     ]
     listed = stored(windows.join(shared, "key").select(F.inline(F.array_compact(F.array(*sides))), "uid", "c"), "places")
-    keys = listed.groupBy("k").agg(several.alias("several")).where("several").select("k")
-    members = listed.join(keys, "k").select("k", "uid", "c", "first", "last", F.lit(False).alias("settled"))
+    head, several = F.min(F.struct("uid", "c")).alias("head"), (F.min("uid") < F.max("uid")).alias("several")
+    keys = listed.groupBy("k").agg(head, several).where("several")
+    keys = keys.select("k", F.col("head.uid").alias("hu"), F.col("head.c").alias("hc"))
+    members = listed.join(keys, "k").select("k", "uid", "c", "first", "last", F.lit(False).alias("settled"), "hu", "hc")
     members = stored(members, "members")
     _forget(listed)
     return members
@@ -390,37 +392,43 @@ def _verified(candidates: DataFrame, packed: DataFrame, settings: Settings) -> D
     return map_arrow(both, check, _FOUND)
 
 
-def _head_links(members: DataFrame, heads: DataFrame) -> DataFrame:
+def _head_links(members: DataFrame, heads: DataFrame | None) -> DataFrame:
     """``uid, c, other, oc``: places of a key with its heads, the larger document first."""
-    own = heads.select("k", F.struct("uid", "c").alias("b"))
-    both = members.select("k", F.struct("uid", "c").alias("a")).join(own, "k").where("a.uid <> b.uid")
+    own = F.struct("uid", "c").alias("a")
+    if heads is None:
+        both = members.select(own, F.struct(F.col("hu").alias("uid"), F.col("hc").alias("c")).alias("b"))
+    else:
+        both = members.select("k", own).join(heads.select("k", F.struct("uid", "c").alias("b")), "k")
     high, low = F.greatest("a", "b"), F.least("a", "b")
-    return both.select(high["uid"].alias("uid"), high["c"].alias("c"), low["uid"].alias("other"), low["c"].alias("oc"))
+    named = [high["uid"].alias("uid"), high["c"].alias("c"), low["uid"].alias("other"), low["c"].alias("oc")]
+    return both.where("a.uid <> b.uid").select(named)
 
 
-def _open_members(members: DataFrame, heads: DataFrame, found: DataFrame, first: bool, settings: Settings) -> DataFrame:
+def _open_members(members: DataFrame, heads: DataFrame | None, found: DataFrame, settings: Settings) -> DataFrame:
     """The members of the next round: without the heads, of keys with a place not settled.
 
     No earlier document can cover a place of a key's first one, so these count as settled;
-    heads to come still meet them.
+    heads to come still meet them. Without ``heads`` they are the members' own first ones.
     """
     mine = found.select("uid", "other", "a_start", "a_end")
     theirs = found.select(F.col("other").alias("uid"), F.col("uid").alias("other"), F.col("b_start").alias("a_start"), F.col("b_end").alias("a_end"))
-    place = ["k", "uid", "c", "first"]
-    own = heads.select("k", F.col("uid").alias("other")).distinct()
+    place, waiting, settled = ["k", "uid", "c", "first"], members.where("NOT settled"), F.col("settled")
+    if heads is None:
+        met = waiting.where("uid <> hu").select(*place, "last", F.col("hu").alias("other"))
+        rest = members.where("uid <> hu OR c <> hc")
+        settled = settled | (F.col("uid") == F.col("hu"))
+    else:
+        met = waiting.join(heads.select("k", F.col("uid").alias("other")).distinct(), "k")
+        rest = members.join(heads.select("k", "uid", "c"), ["k", "uid", "c"], "left_anti")
     covered = (
-        members.where("NOT settled").drop("settled").join(own, "k").join(mine.union(theirs).distinct(), ["uid", "other"])
+        met.join(mine.union(theirs).distinct(), ["uid", "other"])
         .where((F.col("first") >= F.col("a_start")) & (F.col("last") + settings.shingle <= F.col("a_end")))
         .select(*place, F.lit(True).alias("covered")).distinct()
     )
-    rest = members.join(heads.select("k", "uid", "c"), ["k", "uid", "c"], "left_anti").join(covered, place, "left")
-    settled = F.col("settled") | F.coalesce("covered", F.lit(False))
-    if first:
-        rest = rest.join(heads.select("k", F.col("uid").alias("least")), "k")
-        settled = settled | (F.col("uid") == F.col("least"))
-    rest = rest.select(*place, "last", settled.alias("settled"))
+    settled = settled | F.coalesce("covered", F.lit(False))
+    rest = rest.join(covered, place, "left").select(*place, "last", settled.alias("settled"))
     keys = rest.groupBy("k").agg((~F.every("settled") & (F.min("uid") < F.max("uid"))).alias("open")).where("open")
-    return rest.join(keys.select("k"), "k").select(*members.columns)
+    return rest.join(keys.select("k"), "k").select("k", "uid", "c", "first", "last", "settled")
 
 
 def _copies(keyed: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
@@ -450,25 +458,23 @@ def _near_passages(keyed: DataFrame, settings: Settings) -> DataFrame:
     packed = stored(_packed(distinct.join(members.select("uid").distinct(), "uid", "left_semi")), "packed")
     count, found = 1, copies
     while count == 1 or not members.isEmpty():
-        if count == 1:
-            heads = members.groupBy("k").agg(F.min(F.struct("uid", "c")).alias("head")).select("k", "head.*")
-        else:
+        heads = None
+        if count > 1:
             order = Window.partitionBy("k").orderBy("uid", "c")
             heads = members.where("NOT settled").withColumn("n", F.row_number().over(order)).where(F.col("n") <= count)
-            heads = heads.select("k", "uid", "c")
-        heads = stored(heads, "heads")
+            heads = stored(heads.select("k", "uid", "c"), "heads")
         links = _head_links(members, heads)
         now = stored(_verified(_candidates(links, settings), packed, settings), "passages")
-        rest = stored(_open_members(members, heads, now, count == 1, settings), "members")
-        _forget(members)
-        _forget(heads)
+        rest = stored(_open_members(members, heads, now, settings), "members")
+        for done in (members, heads):
+            _forget(done)
         members, found, count = rest, found.union(now), _MORE_HEADS * count
     return found.distinct()
 
 
-def _forget(table: DataFrame) -> None:
+def _forget(table: DataFrame | None) -> None:
     """Delete a stored table that no later step reads."""
-    files = table.inputFiles()
+    files = table.inputFiles() if table is not None else []
     if files:
         jvm, session = table.sparkSession._jvm, table.sparkSession._jsparkSession
         folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
