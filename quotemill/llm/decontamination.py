@@ -214,7 +214,9 @@ def _cut(text: str | None, spans: list[int]) -> str | None:
 
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with the hit spans cut from ``text``; columns and rows stay the same."""
-    found = find(docs, benchmark)
+    # What is found takes the place of columns of that name: the table's go under plain names.
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    found = find(docs.toDF(*at.values()).withColumnRenamed(at["text"], "text"), benchmark)
     cut = F.udf(_cut, "string")
     text = F.when(F.size("hit_spans") > 0, cut("text", "hit_spans")).otherwise(F.col("text"))
-    return found.withColumn("text", text).drop("n_words", "hit_spans", "hit_items")
+    return found.withColumn("text", text).drop("n_words", "hit_spans", "hit_items").toDF(*docs.columns)
