@@ -18,8 +18,11 @@ from quotemill.session import stored
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject."""
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    scored = toxicity.score(docs, toxicity.fit(docs, labels))
-    return scored.where(F.col("score") < 0.5).drop("score")
+    # The score takes the place of a column of that name: the table's columns go under plain names.
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    plain = docs.toDF(*at.values()).withColumnRenamed(at["text"], "text")
+    scored = toxicity.score(plain, toxicity.fit(docs, labels))
+    return scored.where(F.col("score") < 0.5).drop("score").toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
