@@ -13,13 +13,18 @@ are averaged by their tokens. Normalisers of all contexts, of which there are at
 Tasks hold the counts of the ``Settings.head`` most frequent words, a fixed number. Counts
 of all other words are joined to the texts that hold them, so vocabularies of any size are
 counted exactly.
+
+After the count texts are split into words once more and stored as numbers, from which all
+rounds and the scores are taken. Rounds start their random numbers by partition and average
+over partitions, so the parameters depend on how the table is split, within the noise of the
+estimation; counts and base scores do not.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import compress, repeat
+from itertools import chain, compress, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -108,17 +113,42 @@ class Model(NamedTuple):
     bias: np.ndarray
 
 
-def _tokens(batch: list[list[bytes]], head: dict[bytes, int], classes: int) -> tuple[np.ndarray, ...]:
+#: A text as numbers: places of its words in the head (32 bits each, -1 outside) and the
+#: words outside with their times.
+_NUMBERED = "row long, doc_id long, training boolean, places binary, words array<binary>, times array<int>"
+
+
+def numbered(docs: DataFrame, counts: Counts, training: Column | None = None) -> DataFrame:
+    """A stored table of all texts as numbers (``_NUMBERED``), with a number for every row."""
+    head = counts.head
+    chosen = F.lit(True) if training is None else F.coalesce(training, F.lit(False))
+    # Columns of ``docs`` may be named like these.
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), chosen.alias("training"))
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        part, row = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            listed = [words(t) for t in batch["text"].to_pylist()]
+            edge = np.cumsum([0] + [len(w) for w in listed])
+            place = np.fromiter(map(head.get, chain.from_iterable(listed), repeat(-1)), np.int32, int(edge[-1]))
+            outside = place < 0
+            tails = [Counter(compress(w, outside[a:b])) if outside[a:b].any() else {} for w, a, b in zip(listed, edge, edge[1:])]
+            rows = (part << 33) + row + np.arange(len(listed))
+            row += len(listed)
+            yield (
+                rows, batch["doc_id"], batch["training"], [place[a:b].tobytes() for a, b in zip(edge, edge[1:])],
+                [list(t) for t in tails], [list(t.values()) for t in tails],
+            )
+
+    return stored(map_arrow(given, run, _NUMBERED), "numbered-texts")
+
+
+def _tokens(places: list[bytes], classes: int) -> tuple[np.ndarray, ...]:
     """Head places of all words; classes of all tokens (ends included) and of the two before."""
-    lengths = np.array([len(b) for b in batch], np.int64)
-    total = int(lengths.sum())
-    place = np.empty(total, np.int64)
-    at = 0
-    for b in batch:
-        place[at : at + len(b)] = np.fromiter(map(head.get, b, repeat(-1)), np.int64, len(b))
-        at += len(b)
+    lengths = np.array([len(p) // 4 for p in places], np.int64)
+    place = np.frombuffer(b"".join(places), np.int32)
     ends = np.cumsum(lengths + 1) - 1
-    token = np.full(total + len(batch), END, np.int64)
+    token = np.full(len(place) + len(places), END, np.int64)
     inner = np.ones(len(token), bool)
     inner[ends] = False
     token[inner] = np.where((place >= 0) & (place < classes), place + 2, RARE)
@@ -176,6 +206,11 @@ class _Trainer:
 
 def fit(docs: DataFrame, counts: Counts, settings: Settings = Settings()) -> Model:
     """Train on all texts of ``docs`` by averaged rounds. Without texts the start is kept."""
+    return _fit(numbered(docs, counts), counts, settings)
+
+
+def _fit(table: DataFrame, counts: Counts, settings: Settings) -> Model:
+    """Train on the training rows of texts as numbers."""
     classes = min(settings.classes, len(counts.head))
     size = classes + 2
     unigram = np.zeros(size)
@@ -190,8 +225,8 @@ def fit(docs: DataFrame, counts: Counts, settings: Settings = Settings()) -> Mod
         rng.normal(0, 0.1, (size, settings.width)),
         np.log(unigram),
     )
-    head = {w: i for w, i in counts.head.items() if i < classes}
     shapes = [p.shape for p in model]
+    given = table.where("training").select("places")
 
     for round_ in range(settings.rounds):
 
@@ -199,7 +234,7 @@ def fit(docs: DataFrame, counts: Counts, settings: Settings = Settings()) -> Mod
             part = TaskContext.get().partitionId()
             trainer, seen = _Trainer(start, unigram, settings, part * settings.rounds + round_), 0
             for batch in batches:
-                _, _, *tokens = _tokens([words(t) for t in batch["text"].to_pylist()], head, classes)
+                _, _, *tokens = _tokens(batch["places"].to_pylist(), classes)
                 order = trainer._rng.permutation(len(tokens[0]))
                 for at in range(0, len(order), settings.batch):
                     chosen = order[at : at + settings.batch]
@@ -218,7 +253,7 @@ def fit(docs: DataFrame, counts: Counts, settings: Settings = Settings()) -> Mod
                 yield [0], [seen], [total.tobytes()]
 
         schema = "part int, seen long, sums binary"
-        learnt = map_arrow(texts(docs), learn, schema).repartition(8, "part")
+        learnt = map_arrow(given, learn, schema).repartition(8, "part")
         sums = map_arrow(learnt, add, schema).collect()
         if sums:
             flat = sum(np.frombuffer(r[2]) for r in sums) / sum(r[1] for r in sums)
@@ -246,10 +281,15 @@ def score(docs: DataFrame, counts: Counts, model: Model, settings: Settings = Se
     texts are an end alone; repeated rows score alike. Without any training text every word
     is unseen.
     """
+    return _score(numbered(docs, counts), counts, model)
+
+
+def _score(table: DataFrame, counts: Counts, model: Model) -> DataFrame:
+    """Scores of texts as numbers."""
     classes = len(model.bias) - 2
     norm = normalisers(model)
     single = Model(*(p.astype(np.float32) for p in model))
-    head, ends, log_held = counts.head, int(counts.ends > 0), np.log10(counts.held + 1.0)
+    ends, log_held = int(counts.ends > 0), np.log10(counts.held + 1.0)
     rare_tokens = counts.tokens - counts.ends - int(counts.held[:classes].sum())
     rare_words = counts.distinct - ends - classes
     log_rare = np.log10(rare_tokens + rare_words + 1)
@@ -257,10 +297,8 @@ def score(docs: DataFrame, counts: Counts, model: Model, settings: Settings = Se
     log_ends = np.log10(counts.ends + 1)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        part, row = TaskContext.get().partitionId(), 0
         for batch in batches:
-            listed = [words(t) for t in batch["text"].to_pylist()]
-            place, lengths, token, one, two = _tokens(listed, head, classes)
+            place, lengths, token, one, two = _tokens(batch["places"].to_pylist(), classes)
             logp = np.empty(len(token))
             for at in range(0, len(token), 1 << 15):
                 p = slice(at, at + (1 << 15))
@@ -275,28 +313,19 @@ def score(docs: DataFrame, counts: Counts, model: Model, settings: Settings = Se
             rare = (place < 0) | (place >= classes)
             base = upto(held) + log_ends - (lengths + 1) * log_all
             rough = by_class + upto(held * rare) - upto(rare) * log_rare
-            tails = [Counter(compress(w, ~known[a:b])) for w, a, b in zip(listed, edge, edge[1:])]
-            rows = (part << 33) + row + np.arange(len(listed))
-            row += len(listed)
             n_known = np.round(upto(known)).astype(np.int64) + ends
-            yield (
-                rows, batch["doc_id"], lengths + 1, n_known, base, rough,
-                [list(t) for t in tails], [list(t.values()) for t in tails],
-            )
+            yield batch["row"], batch["doc_id"], lengths + 1, n_known, base, rough
 
-    schema = (
-        "row long, doc_id long, n_tokens long, n_known long, base double, rough double,"
-        " words array<binary>, times array<int>"
-    )
-    own = stored(map_arrow(texts(docs), run, schema), "scores")
-    tail = own.select("row", F.inline(F.arrays_zip("words", "times"))).withColumnRenamed("words", "word")
+    schema = "row long, doc_id long, n_tokens long, n_known long, base double, rough double"
+    own = map_arrow(table.select("row", "doc_id", "places"), run, schema)
+    tail = table.select("row", F.inline(F.arrays_zip("words", "times"))).withColumnRenamed("words", "word")
     least = int(counts.held[-1]) if len(counts.held) else 0
     rest = tail.join(counts.table.where(F.col("held") <= least), "word").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.col("held") + 1)).alias("log_rest"),
         F.sum("times").alias("known_rest"),
     )
     or_none = lambda name: F.coalesce(F.col(name), F.lit(0))
-    return own.drop("words", "times").join(rest, "row", "left").select(
+    return own.join(rest, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("n_known") + or_none("known_rest")).alias("n_known"),
@@ -310,4 +339,5 @@ def fit_and_score(docs: DataFrame, training: Column, settings: Settings = Settin
     """Learn from the rows of ``docs`` that ``training`` holds for, score all."""
     chosen = docs.where(training)
     counts = count_words(chosen, settings)
-    return score(docs, counts, fit(chosen, counts, settings), settings)
+    table = numbered(docs, counts, training)
+    return _score(table, counts, _fit(table, counts, settings))
