@@ -38,10 +38,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from quotemill.session import stored
-
 from .substring_repeats import _keyed, _unpacked
-from .tables import map_arrow
+from .tables import map_arrow, kept
 
 
 class Settings(NamedTuple):
@@ -251,12 +249,12 @@ def _members(windows: DataFrame, settings: Settings) -> DataFrame:
         F.when(F.col(x).isNotNull(), F.struct(F.xxhash64("key", F.lit(i), x).alias("k"), (F.col("c") + a).alias("first"), (F.col("c") + b).alias("last")))
         for i, (x, (a, b)) in enumerate(zip(("behind", "about", "before"), _stretches(least_run(settings))))
     ]
-    listed = stored(windows.join(shared, "key").select(F.inline(F.array_compact(F.array(*sides))), "uid", "c"), "places")
+    listed = kept(windows.join(shared, "key").select(F.inline(F.array_compact(F.array(*sides))), "uid", "c"), "places")
     head, several = F.min(F.struct("uid", "c")).alias("head"), (F.min("uid") < F.max("uid")).alias("several")
     keys = listed.groupBy("k").agg(head, several).where("several")
     keys = keys.select("k", F.col("head.uid").alias("hu"), F.col("head.c").alias("hc"))
     members = listed.join(keys, "k").select("k", "uid", "c", "first", "last", F.lit(False).alias("settled"), "hu", "hc")
-    members = stored(members, "members")
+    members = kept(members, "members")
     _forget(listed)
     return members
 
@@ -435,7 +433,7 @@ def _copies(keyed: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]
     """The first row of every text, and the pairs of its copies with it."""
     marked = keyed.withColumn("same", F.sha2("text", 256))
     firsts = marked.groupBy("same").agg(F.min("uid").alias("least"), F.count("*").alias("rows"))
-    firsts = stored(firsts, "firsts")
+    firsts = kept(firsts, "firsts")
     distinct = keyed.join(firsts.select(F.col("least").alias("uid")), "uid", "left_semi")
     repeated = marked.join(firsts.where("rows > 1"), "same").where("uid <> least").select("uid", "least", "text")
 
@@ -452,20 +450,20 @@ def _copies(keyed: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]
 def _near_passages(keyed: DataFrame, settings: Settings) -> DataFrame:
     """Verified pairs by key (``_FOUND``) of the rows ``uid, text``."""
     distinct, copies = _copies(keyed, settings)
-    windows = stored(_window_table(distinct, settings), "windows")
+    windows = kept(_window_table(distinct, settings), "windows")
     members = _members(windows, settings)
     _forget(windows)
-    packed = stored(_packed(distinct.join(members.select("uid").distinct(), "uid", "left_semi")), "packed")
+    packed = kept(_packed(distinct.join(members.select("uid").distinct(), "uid", "left_semi")), "packed")
     count, found = 1, copies
     while count == 1 or not members.isEmpty():
         heads = None
         if count > 1:
             order = Window.partitionBy("k").orderBy("uid", "c")
             heads = members.where("NOT settled").withColumn("n", F.row_number().over(order)).where(F.col("n") <= count)
-            heads = stored(heads.select("k", "uid", "c"), "heads")
+            heads = kept(heads.select("k", "uid", "c"), "heads")
         links = _head_links(members, heads)
-        now = stored(_verified(_candidates(links, settings), packed, settings), "passages")
-        rest = stored(_open_members(members, heads, now, settings), "members")
+        now = kept(_verified(_candidates(links, settings), packed, settings), "passages")
+        rest = kept(_open_members(members, heads, now, settings), "members")
         for done in (members, heads):
             _forget(done)
         members, found, count = rest, found.union(now), _MORE_HEADS * count
@@ -529,7 +527,7 @@ def drop_repeated_passages(docs: DataFrame, settings: Settings = Settings()) ->
     if rows == ids:
         numbered = plain.withColumn("uid", F.col(key).cast("long"))
     else:
-        numbered = stored(plain.withColumn("uid", F.monotonically_increasing_id()), "numbered")
+        numbered = kept(plain.withColumn("uid", F.monotonically_increasing_id()), "numbered")
     keyed = numbered.select("uid", F.col(key).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     spans = _near_passages(keyed, settings).groupBy("uid").agg(F.collect_set(F.struct("a_start", "a_end")).alias("spans"))
     joined = numbered.join(spans, "uid", "left").select(*plain.columns, "spans")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from quotemill.session import stored
+
 #: Rows of one Arrow batch. Texts can be very long, so batches are kept short.
 BATCH_ROWS = 500
 
@@ -20,6 +22,25 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's own removal of a query's shuffle files at its end.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, and the shuffle files of the write go once it is done.
+
+    Work in many rounds would otherwise keep the shuffles of all of them on disk until the
+    driver collects its garbage. The result is read from the table, so nothing asks for them.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_TIDY, "false")
+    conf.set(_TIDY, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.set(_TIDY, before)
+
+
 def texts(docs: DataFrame, *others: str) -> DataFrame:
     """``doc_id`` as long and ``text`` with null as empty; other columns only where named."""
     return docs.select(
