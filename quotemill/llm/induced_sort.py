@@ -10,7 +10,8 @@ part in memory and the rest in an unnamed file of the task; the sequence itself
 map.
 
 The starting suffixes are sorted by the same sweeps over their substrings, which names them;
-where names repeat, the sequence of names is ranked by comparing three ranks at a time.
+where names repeat, the sequence of names is ranked by comparing several ranks at a time, until
+equal strings are as long as what is asked for.
 """
 
 from __future__ import annotations
@@ -160,6 +161,12 @@ class _Sweep:
             self._queues.push(int(symbol[a]), pair[:, a:b])
 
 
+def _repeated(sorted_: np.ndarray) -> np.ndarray:
+    """Where a sorted array holds a value that it holds more than once."""
+    same = sorted_[1:] == sorted_[:-1]
+    return np.flatnonzero(np.append(same, False) | np.append(False, same))
+
+
 class RepeatFinder:
     """Places of a sequence whose string of ``length`` also starts elsewhere.
 
@@ -195,9 +202,9 @@ class RepeatFinder:
         while len(open_):
             # Past the end stands the lowest symbol, which no other place holds.
             differ = self._sevens[np.minimum(at, last)] ^ self._sevens[np.minimum(bt, last)]
-            gain = np.full(len(open_), 7)
-            for k in reversed(range(7)):
-                gain[(differ >> np.uint64(9 * k)) & np.uint64(511) != 0] = k
+            # The lowest bit that differs, a power of two and so exact as a float, tells the symbol.
+            lowest = (differ & (~differ + np.uint64(1))).astype(float)
+            gain = np.where(differ == 0, 7, (np.frexp(lowest)[1] - 1) // 9)
             out[open_] += gain
             more = np.flatnonzero((gain == 7) & (out[open_] < cap[open_]))
             open_, at, bt = open_[more], at[more] + 7, bt[more] + 7
@@ -286,19 +293,37 @@ class RepeatFinder:
         name[own] = np.cumsum(~same)
         name[-1] = 0
         # Ranks of growing length over the sequence of names, until the strings are long enough.
-        step, count = 1, len(starts)
-        several = 3 if count + 1 < 1 << 21 else 2
-        while step <= self._length and name[:-1].max() < count:
-            key = name[:-1].copy()
+        # A rank is one more than the number of smaller strings; only those that several places
+        # hold and that are shorter than what is asked for are told apart further.
+        count = len(starts)
+        order, bits = own, (count + 1).bit_length()
+        several, step = 63 // bits, 1
+        name[order] = np.maximum.accumulate(np.where(same, 0, np.arange(count))) + 1
+        open_ = _repeated(name[order])
+        reach = np.append(starts, n)
+        while len(open_):
+            at = order[open_]
+            key = name[at]
             for k in range(1, several):
-                key = key * (count + 1) + name[np.minimum(np.arange(count) + k * step, count)]
-            own = np.argsort(key)
-            key = key[own]
-            name[own] = np.cumsum(np.append(True, key[1:] != key[:-1]))
+                key = (key << bits) + name[np.minimum(at + k * step, count)]
+            by = np.argsort(key)
+            key, at, old = key[by], at[by], name[at[by]]
+            order[open_] = at
+            new = np.append(True, key[1:] != key[:-1])
+            group = np.append(True, old[1:] != old[:-1])
+            places = np.arange(len(at))
+            heads = np.maximum.accumulate(np.where(new, places, 0)) - np.maximum.accumulate(np.where(group, places, 0))
+            name[at] = old + heads
             step *= several
-        own = np.argsort(name[:-1], kind="stable")
-        order = starts[own]
-        return order, np.append(0, self._common(order[:-1], order[1:], self._length))
+            some = _repeated(name[at])
+            short = reach[np.minimum(at[some] + step, count)] - starts[at[some]] < self._length
+            open_ = open_[some[short]]
+        # Strings of one rank are as long as what is asked for.
+        common = np.full(count, self._length, np.int64)
+        common[0] = 0
+        differ = np.flatnonzero(np.diff(name[order]))
+        common[differ + 1] = self._common(starts[order[differ]], starts[order[differ + 1]], self._length)
+        return starts[order], common
 
     def places(self) -> np.ndarray:
         """A mask over all places."""
