@@ -16,6 +16,8 @@ from .ordered import running_counts
 
 # Terms of the limiting series.
 TERMS = 100
+# Significant digits by which two values count as different.
+DIGITS = 12
 
 
 def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
@@ -29,13 +31,27 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
     return F.when(scaled < 0.04, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
 
 
+def without_noise(value: Column) -> Column:
+    """The value to ``DIGITS`` significant digits; NaN, infinities and tiny values as they are.
+
+    Sums of the same numbers in another order differ in their last bits. Such values are ties.
+    """
+    size = F.abs(value)
+    scale = F.pow(F.lit(10.0), F.lit(DIGITS - 1) - F.floor(F.log10(size)))
+    plain = (size > 1e-290) & (size < float("inf"))
+    return F.when(plain, F.rint(value * scale) / scale).otherwise(value)
+
+
 def ks_statistics(
     samples: DataFrame, by: Sequence[str], value: str, current: str
 ) -> DataFrame:
-    """KS distance, sizes and means of the rows where ``current`` is false versus true."""
+    """KS distance, sizes and means of the rows where ``current`` is false versus true.
+
+    Values that differ by the noise of their arithmetic only are one step of the distributions.
+    """
     by = list(by)
     is_new = F.col(current)
-    counts = samples.groupBy(*by, value).agg(
+    counts = samples.withColumn(value, without_noise(F.col(value))).groupBy(*by, value).agg(
         F.count_if(~is_new).alias("_b"), F.count_if(is_new).alias("_c")
     )
     placed = running_counts(counts, by, value, ["_b", "_c"])

@@ -151,6 +151,18 @@ def test_ks_statistic(spark):
     assert got.baseline_mean == pytest.approx(base.mean()) and got.current_mean == pytest.approx(new.mean())
 
 
+def test_ks_takes_sums_in_another_order_as_ties(spark):
+    ends = [float("nan"), float("inf"), float("-inf"), 0.0, 5e-324, 1e308]
+    base = [0.1 + (0.2 + 0.3), 1 / 3, 10.0, *ends]
+    new = [(0.1 + 0.2) + 0.3, 1 - 2 / 3, 10.000000000000002, *ends]
+    assert base[:3] != new[:3]
+    apart = [(2.0, False), (2.00000001, True)]
+    rows = [("same", v, i > 0) for i, side in enumerate((base, new)) for v in side] + [("apart", *r) for r in apart]
+    df = spark.createDataFrame(rows, "feature string, value double, cur boolean")
+    got = {r.feature: r.ks_statistic for r in ks_statistics(df, ["feature"], "value", "cur").collect()}
+    assert got == {"same": 0.0, "apart": 1.0}
+
+
 def test_drift_flags(spark):
     day = date(2024, 2, 1)
     rows = [(day - timedelta(days=i % 20 + 1), float(i % 10), 5.0) for i in range(100)]
