@@ -200,7 +200,8 @@ def parameter_sweep(
     """
     p = {**GBT_DEFAULTS, **(base or {})}
     counts, own = sorted(n_estimators), p["max_depth"]
-    depths = [d for d in max_depth if d != own]
+    # Longest fits first, so that none of them is left to run alone.
+    depths = sorted((d for d in max_depth if d != own), reverse=True)
     stages = sorted({*counts, p["n_estimators"]} if own in max_depth else {*counts})
     jobs = [lambda: fit_gbt(train, {**p, "n_estimators": max(stages)})]
     jobs += [lambda d=d: fit_gbt(train, {**p, "max_depth": d}) for d in depths]

@@ -52,6 +52,17 @@ def test_boosting_stages_are_single_fits(split):
         M.boosting_stages(model, split.test, (6,))
 
 
+def test_sweep_starts_its_longest_fits_first(split, monkeypatch):
+    started, plain = [], M.fit_gbt
+    monkeypatch.setattr(M, "fit_gbt", lambda train, p: started.append((p["n_estimators"], p["max_depth"])) or plain(train, p))
+    params = {"n_estimators": 1, "max_depth": 2, "subsample": 1.0, "colsample": 1.0}
+    swept = M.parameter_sweep(split.train, split.test, (1, 2), (1, 2, 3), params, parallelism=1).collect()
+    assert started == [(2, 2), (1, 3), (1, 1)]
+    assert {(r.n_estimators, r.max_depth) for r in swept} == {(1, 2), (2, 2), (1, 3), (1, 1)}
+    alone = regression_metrics(M.predict(plain(split.train, {**params, "max_depth": 3}), split.test), TARGET_COLUMN, M.PREDICTION).first()
+    assert {r.max_depth: r.rmse for r in swept if r.max_depth != 2}[3] == pytest.approx(alone.rmse)
+
+
 def test_learning_curve_prefixes(split):
     curve = M.learning_curve(split.train, split.test, (0.5, 1.0), {"n_estimators": 2, "max_depth": 2}).collect()
     n = split.train.count()
