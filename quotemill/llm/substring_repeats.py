@@ -6,8 +6,9 @@ one with the same anchor hash. Anchors whose hash occurs once are settled. For t
 the stretch of bytes that their windows span goes to the shard of the hash, and every shard
 is searched by external induced sorting (``induced_sort``) without a look at other shards.
 
-Of equal stretches two copies are searched, which is enough to show a repeat; the answer
-then holds for all of them by a join. A hot stretch therefore never gathers in one task.
+A stretch that stands twice repeats as a whole, so one copy of each is searched, for the
+others of its hash; the answer then holds for all copies by a join. A hot stretch therefore
+never gathers in one task, and a hash with a single stretch has nothing to be compared.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ PIECE = 1 << 21
 SHARD = 1 << 21
 #: Stretches whose copies a task counts.
 COUNTED = 500_000
+#: Stretches with copies whose answers a task holds.
+LISTED = 50_000
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -122,16 +125,16 @@ def _anchor_table(keyed: DataFrame, length: int) -> DataFrame:
 
 
 def _stretches(packed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``h, uid, first, b, stretch``: the bytes that the wanted anchors' windows span.
+    """``h, uid, first, b, copy, stretch``: the bytes that the wanted anchors' windows span.
 
-    ``b`` is a hash of the stretch. A task gives the bytes for the first two copies that it
-    meets and null for further ones.
+    ``b`` is a hash of the stretch and ``copy`` numbers its copies in a task, 3 for all further
+    ones. The bytes come with the first; others have null.
     """
 
     def run(batches: Iterator[pa.RecordBatch]):
         met: Counter = Counter()
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[] for _ in range(6)]
             for i in range(batch.num_rows):
                 text = _unpacked(batch["packed"][i].as_py(), batch["size"][i].as_py())
                 listed = batch["anchors"][i].values
@@ -141,46 +144,55 @@ def _stretches(packed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     b = xxhash.xxh64_intdigest(stretch, 1) - (1 << 63)
                     if len(met) > COUNTED:
                         met.clear()
-                    met[h, b] += 1
-                    for column, value in zip(out, (h, batch["uid"][i].as_py(), first, b, stretch if met[h, b] < 3 else None)):
+                    met[h, b] = copy = min(met[h, b] + 1, 3)
+                    for column, value in zip(out, (h, batch["uid"][i].as_py(), first, b, copy, stretch if copy == 1 else None)):
                         column.append(value)
             yield out
 
     listed = wanted.groupBy("uid").agg(F.collect_list(F.struct("h", "loc")).alias("anchors"))
     joined = packed.join(listed, "uid").select("uid", "packed", "size", "anchors")
-    return map_arrow(joined, run, "h long, uid long, first long, b long, stretch binary")
+    return map_arrow(joined, run, "h long, uid long, first long, b long, copy int, stretch binary")
 
 
 class _Shard:
-    """Stretches in one unnamed file, ended by separators, and their repeats."""
+    """Different stretches in one unnamed file, ended by separators, and their repeats."""
 
     def __init__(self, length: int):
         self._length, self._file = length, tempfile.TemporaryFile()
-        self.size, self._keys, self._counts = 0, [], []
+        self.size, self._keys, self._whole = 0, [], []
 
     def add(self, key: tuple[int, int], stretch: bytes) -> None:
         symbols = np.zeros(len(stretch) + 1, np.int16)
         symbols[:-1] = np.frombuffer(stretch, np.uint8)
         symbols[:-1] += 1
         self._file.write(symbols.tobytes())
-        self._keys.append((key, self.size, len(stretch) - self._length + 1))
+        self._keys.append((key, self.size, self._windows(stretch)))
         self.size += len(symbols)
 
+    def settle(self, key: tuple[int, int], stretch: bytes) -> None:
+        """A stretch with copies: all its windows repeat."""
+        self._whole.append((key, self._windows(stretch)))
+
+    def _windows(self, stretch: bytes) -> int:
+        return len(stretch) - self._length + 1
+
     def spans(self) -> tuple[list, list, list]:
         """Hash, stretch and the runs of its repeated windows, as start, end, start, …"""
         out: tuple[list, list, list] = ([], [], [])
-        if not self._keys:
-            return out
-        self._file.flush()
-        hit = RepeatFinder(np.memmap(self._file, np.int16, mode="r"), self._length).places()
-        last = None
-        for key, at, count in self._keys:
-            edge = np.flatnonzero(np.diff(hit[at : at + count].astype(np.int8), prepend=0, append=0))
-            if key != last and len(edge):
-                for column, value in zip(out, (*key, edge.tolist())):
-                    column.append(value)
-            last = key
+        whole = {key for key, _ in self._whole}
+        found = [(key, [0, windows]) for key, windows in self._whole]
+        if self._keys:
+            self._file.flush()
+            hit = RepeatFinder(np.memmap(self._file, np.int16, mode="r"), self._length).places()
+            for key, at, windows in self._keys:
+                if key not in whole:
+                    edge = np.flatnonzero(np.diff(hit[at : at + windows].astype(np.int8), prepend=0, append=0))
+                    found.append((key, edge.tolist()))
         self._file.close()
+        for key, runs in found:
+            if runs:
+                for column, value in zip(out, (*key, runs)):
+                    column.append(value)
         return out
 
 
@@ -188,22 +200,36 @@ def _repeats(stretches: DataFrame, length: int) -> DataFrame:
     """``h, b, runs``: repeated windows of every distinct stretch that has any."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        shard, last, copies = _Shard(length), None, 0
+        shard, listed = _Shard(length), 0
+        last = first = None  # the stretch at hand, and that of its hash which waits for a second
+        stretch, copies = b"", 0
         for batch in batches:
             rows = zip(batch["h"].to_pylist(), batch["b"].to_pylist(), batch["stretch"])
-            for h, b, stretch in rows:
-                copies = copies + 1 if (h, b) == last else 1
-                if last is not None and h != last[0] and shard.size >= SHARD:
-                    yield shard.spans()
-                    shard = _Shard(length)
-                last = h, b
-                if copies < 3:
-                    shard.add(last, stretch.as_py())
+            for h, b, given in rows:
+                if (h, b) == last:
+                    copies += 1
+                    if copies == 2:
+                        shard.settle(last, stretch)
+                        listed += 1
+                    continue
+                if last is None or h != last[0]:
+                    if shard.size >= SHARD or listed >= LISTED:
+                        yield shard.spans()
+                        shard, listed = _Shard(length), 0
+                    first = (h, b), given.as_py()
+                    last, stretch, copies = *first, 1
+                    continue
+                if first is not None:
+                    shard.add(*first)
+                    first = None
+                last, stretch, copies = (h, b), given.as_py(), 1
+                shard.add(last, stretch)
         yield shard.spans()
 
-    given = stretches.where(F.col("stretch").isNotNull()).select("h", "b", "stretch")
+    # Two rows of a stretch tell that it has copies; the bytes are in the first.
+    given = stretches.where("copy < 3").select("h", "b", "copy", "stretch")
     count = int(given.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sharded = given.repartition(count, "h").sortWithinPartitions("h", "b")
+    sharded = given.repartition(count, "h").sortWithinPartitions("h", "b", "copy").select("h", "b", "stretch")
     return map_arrow(sharded, run, "h long, b long, runs array<int>")
 
 

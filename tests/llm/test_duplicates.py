@@ -129,6 +129,18 @@ def test_removed_substrings(spark, monkeypatch, length):
     assert substring_repeats.digest(empty(spark)).collect() == []
 
 
+def test_copies_of_a_stretch_are_searched_once(spark):
+    shared, other = prose(90, 5), prose(40, 6)
+    texts = [shared] * 4 + [other + " " + shared[:400], shared[300:] + " " + other, other, shared[250:520] + "!"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    keyed = substring_repeats._keyed(docs)
+    stretches = substring_repeats._stretches(substring_repeats._packed(keyed), substring_repeats._anchor_table(keyed, 200), 200)
+    held = stretches.where("stretch IS NOT NULL").groupBy(F.spark_partition_id(), "h", "b").count()
+    assert {r["count"] for r in held.collect()} == {1}
+    wanted = slow_removal(docs.collect(), 200)
+    assert Counter(map(tuple, substring_repeats.digest(docs).collect())) == Counter(wanted)
+
+
 def test_compact_windows_cover_every_subsequence_once():
     rng = np.random.default_rng(4)
     for n in (0, 3, 9, 30):
