@@ -11,6 +11,13 @@ passage is missed by its hashes (those that repeat their own shingles aside). Of
 long at least one of three shorter stretches around the centre lies inside it: behind, about
 and before it. Each is a key; what shares a key is a candidate, and the words decide.
 
+A stretch of one shingle again and again ("the the the ...") says little and has many places
+in one text. Passages need more in common, next to the run of that shingle or elsewhere, unless
+the run alone is as long as a passage. So such a stretch gives way to two that pass the ends of
+its run by one shingle, and to a few inside, whose key is for runs alone: there those as long as
+a passage meet the first document, and shorter ones the last of the long, which may hold them;
+shorter ones do not meet each other.
+
 Equal texts are one text here: copies of one are listed with its first document, as wholes.
 Places of one key are not all compared with each other but with heads, the first of the key.
 A place is settled for its key when a verified passage with a head of this key holds the
@@ -183,15 +190,17 @@ def compact_windows(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndar
 
 
 def _window_table(keyed: DataFrame, settings: Settings) -> DataFrame:
-    """``key, uid, c, behind, about, before``: centres with hashes of the stretches there.
+    """``key, uid, c, behind, about, before, alone, long``: centres with hashes of the stretches.
 
-    A stretch that an end of the text cuts off has no hash.
+    A stretch that an end of the text cuts off has no hash, nor has one of a single shingle
+    again and again. What stands for those follows in rows of its own, in ``before`` and
+    ``alone``; ``long`` is false where the run of ``alone`` is shorter than a passage.
     """
     width = least_run(settings)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            out: list[list] = [[pa.array([], t)] for t in (pa.int64(), pa.int64(), *[pa.int32()] * 4)]
+            out: list[list] = [[pa.array([], t)] for t in (pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.bool_())]
             for uid, text in zip(batch["uid"].to_pylist(), batch["text"].to_pylist()):
                 words = word_hashes(text.encode())
                 if len(words) < settings.words:
@@ -203,16 +212,34 @@ def _window_table(keyed: DataFrame, settings: Settings) -> DataFrame:
                     values = _spread(whole[at : at + PIECE + width - 1], _SEED)
                     near = _spread(whole[low : at + PIECE + 2 * width], _SEED)
                     _, c, _ = compact_windows(values, width)
-                    c = c.astype(np.int64)
-                    row = [pa.array(values[c].view(np.int64)), pa.array(np.full(len(c), uid)), pa.array(c + at, pa.int32())]
+                    c = c.astype(np.int64) + (at - low)
                     sides = _stretches(width)
-                    sums = _runs(near, sides[0][1] - sides[0][0] + 1)
-                    row += [_at(sums, c + (at - low) + first) for first, _ in sides]
+                    size = sides[0][1] - sides[0][0] + 1
+                    sums = _runs(near, size)
+                    runs = _Uniform(near, size)
+                    inside = [runs.holding(c + first) for first, _ in sides]
+                    used = np.unique(np.concatenate(inside))
+                    head, tail = runs.ends(used[used >= 0])
+                    told = np.min(inside, 0) < 0
+                    c, inside = c[told], [held[told] for held in inside]
+                    edge = np.concatenate([head - 1, tail + 2 - size])
+                    fresh = ~np.isin(edge, c[inside[2] < 0])
+                    edge, of = edge[fresh], np.concatenate([head, head])[fresh]
+                    long = tail - head + settings.shingle >= settings.words
+                    within, own = runs.places(head, np.where(long, tail + 1 - size, head), settings.words + width)
+                    kind = np.repeat([0, 1, 2], [len(c), len(edge), len(within)])
+                    key, place = near[np.concatenate([c, of, within])], np.concatenate([c, edge, within])
+                    row = [pa.array(key.view(np.int64)), pa.array(np.full(len(place), uid)), pa.array(place + low, pa.int32())]
+                    for (first, _), held in zip(sides, inside):
+                        without = kind > (1 if first == 0 else 0)
+                        without[: len(c)] = held >= 0
+                        row.append(_at(sums, place + first, without))
+                    row += [_at(sums, place, kind < 2), pa.array(np.append(np.ones(len(c) + len(edge), bool), long[own]))]
                     for column, part in zip(out, row):
                         column.append(part)
             yield [pa.concat_arrays(column) for column in out]
 
-    return map_arrow(keyed, run, "key long, uid long, c int, behind int, about int, before int")
+    return map_arrow(keyed, run, "key long, uid long, c int, behind int, about int, before int, alone int, long boolean")
 
 
 def _runs(values: np.ndarray, length: int) -> np.ndarray:
@@ -231,9 +258,40 @@ def _runs(values: np.ndarray, length: int) -> np.ndarray:
     return (_spread(total, 1) >> np.uint64(40)).astype(np.int32)
 
 
-def _at(sums: np.ndarray, places: np.ndarray) -> pa.Array:
-    """The values at places; none for places outside."""
-    outside = (places < 0) | (places >= len(sums))
+class _Uniform:
+    """Runs of one value again and again, at least ``size`` long (none, if that is one)."""
+
+    def __init__(self, values: np.ndarray, size: int):
+        self._size = size
+        first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+        last = np.append(first[1:], len(values)) - 1
+        long = (last - first + 1 >= size) & (size > 1)
+        self._first, self._last = first[long], last[long]
+
+    def holding(self, places: np.ndarray) -> np.ndarray:
+        """The number of the run that holds the whole stretch from each place; -1 for none."""
+        if not len(self._first):
+            return np.full(len(places), -1)
+        run = np.searchsorted(self._first, places, "right") - 1
+        return np.where((run >= 0) & (places + self._size - 1 <= self._last[run]), run, -1)
+
+    def ends(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last place of runs."""
+        return self._first[runs], self._last[runs]
+
+    @staticmethod
+    def places(first: np.ndarray, last: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places from each first to its last, both included, not further apart than ``step``;
+        and the number of their pair."""
+        count = -(-(last - first) // step) + 1
+        own = np.repeat(np.arange(len(first)), count)
+        at = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+        return np.minimum(first[own] + step * at, last[own]), own
+
+
+def _at(sums: np.ndarray, places: np.ndarray, without: np.ndarray) -> pa.Array:
+    """The values at places; none for places outside and where ``without`` says so."""
+    outside = without | (places < 0) | (places >= len(sums))
     values = sums[np.where(outside, 0, places)] if len(sums) else np.zeros(len(places), np.int32)
     return pa.array(values, pa.int32(), mask=outside)
 
@@ -242,18 +300,21 @@ def _members(windows: DataFrame, settings: Settings) -> DataFrame:
     """``k, uid, c, first, last, settled, hu, hc``: the places of every key that two documents have.
 
     ``first`` and ``last`` are the shingles at the ends of the key's stretch, ``hu, hc`` is
-    the key's first head.
+    the key's first head; for a run shorter than a passage the last that is as long.
     """
     shared = windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    stretches = _stretches(least_run(settings))
     sides = [
         F.when(F.col(x).isNotNull(), F.struct(F.xxhash64("key", F.lit(i), x).alias("k"), (F.col("c") + a).alias("first"), (F.col("c") + b).alias("last")))
-        for i, (x, (a, b)) in enumerate(zip(("behind", "about", "before"), _stretches(least_run(settings))))
+        for i, (x, (a, b)) in enumerate(zip(("behind", "about", "before", "alone"), [*stretches, stretches[-1]]))
     ]
-    listed = kept(windows.join(shared, "key").select(F.inline(F.array_compact(F.array(*sides))), "uid", "c"), "places")
-    head, several = F.min(F.struct("uid", "c")).alias("head"), (F.min("uid") < F.max("uid")).alias("several")
-    keys = listed.groupBy("k").agg(head, several).where("several")
-    keys = keys.select("k", F.col("head.uid").alias("hu"), F.col("head.c").alias("hc"))
-    members = listed.join(keys, "k").select("k", "uid", "c", "first", "last", F.lit(False).alias("settled"), "hu", "hc")
+    listed = kept(windows.join(shared, "key").select(F.inline(F.array_compact(F.array(*sides))), "uid", "c", "long"), "places")
+    place = F.struct("uid", "c")
+    ends = F.min(place).alias("head"), F.max(F.when(F.col("long"), place)).alias("tail")
+    keys = listed.groupBy("k").agg(*ends, (F.min("uid") < F.max("uid")).alias("several")).where("several AND tail IS NOT NULL")
+    met = F.when(F.col("long"), F.col("head")).otherwise(F.col("tail"))
+    members = listed.join(keys.select("k", "head", "tail"), "k").withColumn("met", met).where("long OR uid < met.uid")
+    members = members.select("k", "uid", "c", "first", "last", (~F.col("long")).alias("settled"), F.col("met.uid").alias("hu"), F.col("met.c").alias("hc"))
     members = kept(members, "members")
     _forget(listed)
     return members

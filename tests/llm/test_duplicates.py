@@ -151,6 +151,20 @@ def test_compact_windows_cover_every_subsequence_once():
                 holders = [k for k in range(len(c)) if l[k] <= i <= c[k] <= j <= r[k]]
                 assert [c[k] for k in holders] == [i + int(np.argmin(values[i : j + 1]))]
 
+def test_runs_of_one_word_share_few_keys(spark):
+    short = [" ".join([f"a{i}"] * 31 + ["the"] * 31 + [f"b{i}"] * 31) for i in range(40)]
+    texts = short + ["the " * 300 + "end", "the " * 60 + prose(40, 3), prose(60, 4) + " the" * 90]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    keyed = passages._keyed(docs)
+    members = passages._members(passages._window_table(keyed, passages.Settings()), passages.Settings())
+    assert members.groupBy("k", "uid").count().agg(F.max("count")).first()[0] <= 6
+    found = passages.near_passages(docs).collect()
+    pairs = {(r.doc_id, r.other_doc_id) for r in found}
+    # Runs as long as a passage have the first document, shorter ones the last of the long.
+    assert {(40, 0), (41, 0), (42, 0), (42, 1), (42, 39)} <= pairs and len(pairs) < 100
+    covered = {w for r in found if r.doc_id == 40 for w in range(r.start_word, r.end_word)}
+    assert set(range(300)) <= covered
+
 
 def test_near_passages(spark):
     shared = prose(90, 1).split()
