@@ -15,14 +15,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .tables import map_arrow, texts
+from .tables import held, map_arrow, texts
 
 MARK = "▁"
 #: Words whose ids a worker keeps; the table is emptied when it is full.
@@ -248,10 +247,9 @@ class PieceCodec:
         return not self.is_byte[first] and first != self.unknown
 
 
-@lru_cache(maxsize=2)
 def codec(model_file: str) -> PieceCodec:
-    """One codec per worker process and model."""
-    return PieceCodec(model_file)
+    """One codec per worker process and model, until the worker does other work."""
+    return held(("codec", model_file), lambda: PieceCodec(model_file))
 
 
 def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:

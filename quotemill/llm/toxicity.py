@@ -43,7 +43,7 @@ class Model(NamedTuple):
 # Letters in lower case; digits and what is not ASCII stay; other bytes become blanks.
 _PLAIN = bytes(ord(chr(b).lower()) if b < 128 and chr(b).isalnum() else b if b >= 128 else 32 for b in range(256))
 #: Bytes that are hashed at a time; longer texts are taken in overlapping pieces.
-PIECE = 1 << 20
+PIECE = 1 << 17
 
 
 def _joined(batch: list[str], orders: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:

@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 
 from quotemill.llm import token_files
 from quotemill.llm.sentencepiece_codec import PieceCodec, decode_documents, encode_documents, round_trip_digest
+from quotemill.llm.tables import map_arrow
 from tests.llm.tables import awkward, empty, prose
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -46,6 +47,23 @@ def test_full_tables_do_not_change_ids(monkeypatch):
     assert PieceCodec(PIECES).encode(prose(50)) == sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(prose(50))
 
 
+def test_a_worker_drops_the_codec_for_other_work(spark):
+    def left(batches):
+        import gc
+
+        from quotemill.llm.sentencepiece_codec import PieceCodec
+
+        for batch in batches:
+            gc.collect()
+            yield [[sum(isinstance(x, PieceCodec) for x in gc.get_objects())] * batch.num_rows]
+
+    docs = spark.createDataFrame([(i, prose(20, i)) for i in range(16)], "doc_id long, text string").repartition(8)
+    for _ in range(2):
+        assert round_trip_digest(docs, PIECES).count() == 16
+        round_trip_digest(docs, PIECES).write.format("noop").mode("overwrite").save()
+        assert {r.n for r in map_arrow(docs, left, "n int").collect()} == {0}
+
+
 def test_round_trip_of_awkward_rows(spark):
     docs = awkward(spark)
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
