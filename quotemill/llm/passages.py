@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
+from .components import components
 from .substring_repeats import _keyed, _unpacked
 from .tables import map_arrow, kept
 
@@ -357,6 +358,19 @@ class Shingles:
         return np.where(self.listed[at] == mine, at, -1)
 
 
+def _possible(mine: np.ndarray, alone: np.ndarray, settings: Settings) -> bool:
+    """Whether any part as long as a passage has few enough shingles without a partner."""
+    least, lost = settings.words - settings.shingle + 1, np.flatnonzero(alone)
+    if len(mine) < least:
+        return False
+    if len(np.unique(mine[lost])) < len(lost):
+        return True  # repeated ones count once, so their places say nothing
+    # A little is forgiven, so that no sum is too small by rounding.
+    sums = np.append(0.0, np.cumsum(1 - settings.similarity - alone)) + 1e-9 * np.arange(len(mine) + 1)
+    highest = np.maximum.accumulate(sums[:least - 1 : -1])[::-1]
+    return bool((sums[: len(highest)] <= highest).any())
+
+
 def similar_parts(mine: np.ndarray, others: Shingles, settings: Settings) -> list[tuple[int, int, int, int, float]]:
     """Passages of a text (its shingle hashes) with similar ones in another.
 
@@ -366,6 +380,8 @@ def similar_parts(mine: np.ndarray, others: Shingles, settings: Settings) -> lis
     """
     numbers = others.numbers(mine)
     met = np.flatnonzero(numbers >= 0)
+    if not _possible(mine, numbers < 0, settings):
+        return []
     shift = others.first[numbers[met]] - met
     tail, out = settings.shingle - 1, []
     ends = [0, *(np.flatnonzero(np.diff(met) > settings.gap) + 1).tolist(), len(met)]
@@ -451,13 +467,19 @@ def _verified(candidates: DataFrame, packed: DataFrame, settings: Settings) -> D
     return map_arrow(both, check, _FOUND)
 
 
+def _class_of(table: DataFrame, name: str = "root") -> list:
+    return [F.col("root").alias(name)] if "root" in table.columns else []
+
+
 def _head_links(members: DataFrame, heads: DataFrame | None) -> DataFrame:
     """``uid, c, other, oc``: places of a key with its heads, the larger document first."""
     own = F.struct("uid", "c").alias("a")
     if heads is None:
         both = members.select(own, F.struct(F.col("hu").alias("uid"), F.col("hc").alias("c")).alias("b"))
     else:
-        both = members.select("k", own).join(heads.select("k", F.struct("uid", "c").alias("b")), "k")
+        both = members.select("k", own, *_class_of(members)).join(heads.select("k", F.struct("uid", "c").alias("b"), *_class_of(heads, "met")), "k")
+        if "root" in members.columns:
+            both = both.where("root <> met")
     high, low = F.greatest("a", "b"), F.least("a", "b")
     named = [high["uid"].alias("uid"), high["c"].alias("c"), low["uid"].alias("other"), low["c"].alias("oc")]
     return both.where("a.uid <> b.uid").select(named)
@@ -508,14 +530,20 @@ def _copies(keyed: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]
     return distinct, map_arrow(repeated, run, _FOUND)
 
 
-def _near_passages(keyed: DataFrame, settings: Settings) -> DataFrame:
-    """Verified pairs by key (``_FOUND``) of the rows ``uid, text``."""
+def _prepared(keyed: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members, texts packed for comparison, and the pairs of copies."""
     distinct, copies = _copies(keyed, settings)
     windows = kept(_window_table(distinct, settings), "windows")
     members = _members(windows, settings)
     _forget(windows)
     packed = kept(_packed(distinct.join(members.select("uid").distinct(), "uid", "left_semi")), "packed")
-    count, found = 1, copies
+    return members, packed, copies
+
+
+def _near_passages(keyed: DataFrame, settings: Settings) -> DataFrame:
+    """Verified pairs by key (``_FOUND``) of the rows ``uid, text``."""
+    members, packed, found = _prepared(keyed, settings)
+    count = 1
     while count == 1 or not members.isEmpty():
         heads = None
         if count > 1:
@@ -531,6 +559,66 @@ def _near_passages(keyed: DataFrame, settings: Settings) -> DataFrame:
     return found.distinct()
 
 
+def _merged(roots: DataFrame | None, found: DataFrame) -> DataFrame:
+    """``uid, root``: the smallest document that verified pairs lead to, after more of them."""
+    pairs = found.select(F.col("uid").alias("u"), F.col("other").alias("v"))
+    if roots is None:
+        return components(pairs).toDF("uid", "root")
+    u, v = roots.toDF("u", "ru"), roots.toDF("v", "rv")
+    pairs = pairs.join(u, "u", "left").join(v, "v", "left").select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v"))
+    more = components(pairs).toDF("root", "into")
+    old = roots.join(more, "root", "left").select("uid", F.coalesce("into", "root").alias("root"))
+    return old.union(more.toDF("uid", "root").join(roots, "uid", "left_anti"))
+
+
+def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+
+
+def _joining_passages(keyed: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """Verified pairs (``_FOUND``) that lead from every document to all of its class; and ``uid, root``.
+
+    A document meets the head of most of its keys first, then its other heads, then in rounds
+    the members of keys that hold several classes still, unless the two are in one class by
+    then. Every two members of a key are compared or in one class at the end (of runs shorter
+    than a passage, those that the key compares at all).
+    """
+    members, packed, copies = _prepared(keyed, settings)
+    met = members.where("uid <> hu").groupBy("uid", "hu").agg(F.count("*").alias("n"))
+    most = met.groupBy("uid").agg(F.min(F.struct((-F.col("n")).alias("n"), "hu"))["hu"].alias("hu"))
+    most = kept(most, "most")
+    now = kept(_verified(_candidates(_head_links(members.join(most, ["uid", "hu"]), None), settings), packed, settings), "passages")
+    found, roots, count = now, kept(_merged(None, now), "roots"), 1
+    apart = _rooted(members.join(most, ["uid", "hu"], "left_anti"), roots)
+    apart = apart.join(roots.toDF("hu", "met"), "hu", "left").where(F.col("root") != F.coalesce("met", "hu"))
+    now = kept(_verified(_candidates(_head_links(apart, None), settings), packed, settings), "passages")
+    rest = members.where("uid <> hu OR c <> hc").select("k", "uid", "c", "settled")
+    while True:
+        found = found.union(now)
+        if not now.isEmpty():
+            roots = kept(_merged(roots, now), "roots")
+        left = kept(_of_several(_rooted(rest, roots)), "members")
+        _forget(members)
+        members = left
+        if members.isEmpty():
+            return found.union(copies), kept(_merged(roots, copies), "roots")
+        own, all_of = Window.partitionBy("k", "root").orderBy("uid", "c"), Window.partitionBy("k").orderBy("n", "uid", "c")
+        heads = members.where("NOT settled").withColumn("n", F.row_number().over(own)).where(F.col("n") <= count)
+        heads = heads.withColumn("m", F.row_number().over(all_of)).where(F.col("m") <= _MORE_HEADS * count)
+        heads = kept(heads.select("k", "uid", "c", "root"), "heads")
+        links = _head_links(members, heads)
+        now = kept(_verified(_candidates(links, settings), packed, settings), "passages")
+        rest = members.join(heads.select("k", "uid", "c"), ["k", "uid", "c"], "left_anti").select("k", "uid", "c", "settled")
+        count *= _MORE_HEADS
+
+
+def _of_several(rooted: DataFrame) -> DataFrame:
+    """The members of keys whose places to be settled are of several classes."""
+    root = F.when(~F.col("settled"), F.col("root"))
+    keys = rooted.groupBy("k").agg((F.min(root) < F.max(root)).alias("several")).where("several")
+    return rooted.join(keys.select("k"), "k")
+
+
 def _forget(table: DataFrame | None) -> None:
     """Delete a stored table that no later step reads."""
     files = table.inputFiles() if table is not None else []
@@ -559,6 +647,30 @@ def near_passages(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
     )
 
 
+def linked_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Classes of documents that near-duplicate passages link, one row per document.
+
+    ``doc_id, component_id, start_word, end_word, other_doc_id, other_start_word,
+    other_end_word, similarity``: the smallest id that passages lead to, directly or over
+    others (its own, if there is none), and the longest passage of those that were verified
+    for it, null without one. Documents of one class are not all compared with each other:
+    the work follows the documents, not the pairs that are similar.
+    """
+    keyed = _keyed(docs)
+    found, roots = _joining_passages(keyed, settings)
+    other = found.select("other", "b_start", "b_end", "uid", "a_start", "a_end", "similarity")
+    width, columns = (F.col("a_end") - F.col("a_start")).alias("width"), found.columns[1:]
+    longest = found.union(other).groupBy("uid").agg(F.max(F.struct(width, *columns)).alias("p")).select("uid", *[f"p.{c}" for c in columns])
+    ids = keyed.select("uid", "doc_id")
+    least = roots.join(ids, "uid").groupBy("root").agg(F.min("doc_id").alias("least"))
+    named = ids.join(roots, "uid", "left").join(least, "root", "left").join(longest, "uid", "left")
+    named = named.join(ids.toDF("other", "other_doc_id"), "other", "left")
+    return named.select(
+        "doc_id", F.coalesce("least", "doc_id").alias("component_id"), F.col("a_start").alias("start_word"), F.col("a_end").alias("end_word"),
+        "other_doc_id", F.col("b_start").alias("other_start_word"), F.col("b_end").alias("other_end_word"), "similarity",
+    )
+
+
 def _without(text: str | None, spans: list | None) -> str | None:
     """The text without the words of the spans and what stands between them."""
     if not text or not spans:

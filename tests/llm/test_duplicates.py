@@ -253,3 +253,48 @@ def test_passages_of_copies_and_of_repeated_ids_with_different_texts(spark):
     }
     pairs = [(r.doc_id, r.other_doc_id) for r in passages.near_passages(docs).collect()]
     assert sorted(pairs, key=str) == sorted([(2, 1), (None, 1), (3, 2)], key=str)
+
+
+def test_classes_of_documents_do_not_compare_all_of_a_family(spark, monkeypatch):
+    rng, rows = random.Random(3), []
+    fresh = lambda k: [f"w{rng.getrandbits(40)}" for _ in range(k)]
+    base = fresh(400)
+    for i in range(60):
+        rows.append((i, " ".join(w if rng.random() > 0.03 else fresh(1)[0] for w in base)))
+    line, chain = fresh(30), [fresh(60) for _ in range(6)]
+    rows += [(100 + i, " ".join(fresh(40) + line + fresh(40))) for i in range(5)]
+    rows += [(200 + i, " ".join(fresh(20) + chain[i] + fresh(9) + chain[i + 1])) for i in range(5)]
+    rows += [(300, rows[5][1]), (301, "short text"), (302, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs, verified = [], passages._verified
+    monkeypatch.setattr(passages, "_verified", lambda links, *rest: pairs.append(links.count()) or verified(links, *rest))
+    got = {r.doc_id: r for r in passages.linked_documents(docs).collect()}
+    # Far fewer than the 1770 pairs of the family.
+    assert len(got) == len(rows) and sum(pairs) < 350
+    wanted = {i: 0 if i < 100 or i == 300 else 200 if 200 <= i < 205 else i for i, _ in rows}
+    assert {i: r.component_id for i, r in got.items()} == wanted
+    texts = {i: (t or "").split() for i, t in rows}
+    for r in got.values():
+        linked = r.doc_id < 60 or 200 <= r.doc_id < 205 or r.doc_id == 300
+        assert (r.other_doc_id is not None) == linked
+        if linked:
+            mine, others = texts[r.doc_id][r.start_word : r.end_word], texts[r.other_doc_id][r.other_start_word : r.other_end_word]
+            mine, others = ({*passages.shingles([w.encode() for w in x], 5)} for x in (mine, others))
+            assert abs(len(mine & others) / len(mine | others) - r.similarity) < 1e-9 and r.similarity >= 0.8
+
+
+def test_classes_equal_those_of_all_listed_passages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    listed = passages.near_passages(docs).select(F.col("doc_id").alias("u"), F.col("other_doc_id").alias("v"))
+    wanted = {r.node: r.root for r in components(listed).collect()}
+    got = passages.linked_documents(docs).collect()
+    assert len(got) == docs.count() and wanted
+    assert {r.doc_id: r.component_id for r in got} == {r.doc_id: wanted.get(r.doc_id, r.doc_id) for r in got}
+
+
+def test_classes_of_awkward_rows(spark):
+    got = passages.linked_documents(awkward(spark)).collect()
+    assert len(got) == awkward(spark).count()
+    assert {r.component_id for r in got if r.doc_id in (7, 8)} == {7} and {r.component_id for r in got if r.doc_id in (0, 1)} == {0}
+    assert {r.component_id for r in got if r.doc_id == 12} == {12}
+    assert passages.linked_documents(empty(spark)).collect() == []
